@@ -1,0 +1,5 @@
+"""Intentionally empty: all inputs of this library are bounded history tables.
+
+None of the supported operators has event-time, watermark or late-data
+semantics, so there is no streaming surface to offer.
+"""
