@@ -4,7 +4,7 @@ An ordered window needs all rows of a group in one task.  A key that owns a
 large share of the table would therefore serialise the job.  Here such keys are
 found by a cheap count, cut at quantiles of the order column and tagged with a
 piece number, so a window runs per (key, piece) and piece totals are combined
-afterwards.  All other keys keep piece 0 and pay one map-side aggregate.
+afterwards.  All other keys carry piece -1 and pay one map-side aggregate.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 ROWS_PER_PIECE = 1_000_000
 PIECES = 1024
+UNCUT = -1
 
 
 def _count_below(cuts: Column, value: Column, pieces: int) -> Column:
@@ -52,7 +53,7 @@ def split_hot_groups(df: DataFrame, keys: Sequence[str], order: Column, piece: s
     found = F.when(F.col("__ord").isNotNull(), _count_below(F.col("__cuts"), F.col("__ord"), pieces))
     return (
         tagged.join(cuts, keys, "left")
-        .withColumn(piece, F.when(F.col("__cuts").isNotNull(), F.coalesce(found, F.lit(0))).otherwise(F.lit(0)))
+        .withColumn(piece, F.when(F.col("__cuts").isNotNull(), F.coalesce(found, F.lit(0))).otherwise(F.lit(UNCUT)))
         .drop("__ord", "__cuts")
     )
 
@@ -60,16 +61,16 @@ def split_hot_groups(df: DataFrame, keys: Sequence[str], order: Column, piece: s
 def piece_offsets(df: DataFrame, keys: Sequence[str], size: Column, piece: str = "__piece") -> DataFrame:
     """Rows before each piece and in the whole group, for groups with several pieces.
 
-    At most ``PIECES`` rows per hot key; groups that were never cut are left out.
+    At most ``PIECES`` rows per hot key; uncut groups are left out, and because the
+    piece is a grouping key that filter reaches the join that found the hot keys.
     """
     keys = list(keys)
-    totals = df.groupBy(*keys, piece).agg(F.sum(size).alias("__piece_n"))
+    totals = df.where(F.col(piece) != UNCUT).groupBy(*keys, piece).agg(F.sum(size).alias("__piece_n"))
     group = Window.partitionBy(*keys)
     before = group.orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
     return (
         totals.withColumn("__before", F.coalesce(F.sum("__piece_n").over(before), F.lit(0)))
         .withColumn("__group_n", F.sum("__piece_n").over(group))
-        .where(F.col("__group_n") > F.col("__piece_n"))
         .drop("__piece_n")
     )
 
