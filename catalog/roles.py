@@ -26,7 +26,7 @@ def _pick(expr: str, values: list[str]) -> str:
     return f"case {expr} {cases} end"
 
 
-def _application(dialect: str, labelled: bool) -> str:
+def _application(dialect: str, labelled: bool | None) -> str:
     k = "c.c_custkey"
     num = {
         "AMT_INCOME_TOTAL": f"25000 + ({k} * 7919) % 320000",
@@ -77,11 +77,14 @@ def _application(dialect: str, labelled: bool) -> str:
         "EMERGENCYSTATE_MODE": _pick(f"{k} % 8", ["No", "Yes", "No"]),
     }
     cols = [f"{k} as SK_ID_CURR"]
+    label = "case when c.c_acctbal < 0 then 1 else 0 end"
     if labelled:
-        cols.append("cast(case when c.c_acctbal < 0 then 1 else 0 end as int) as TARGET")
+        cols.append(f"cast({label} as int) as TARGET")
+    elif labelled is None:
+        cols.append(f"cast(case when {k} % 5 = 0 then null else {label} end as int) as TARGET")
     cols += [f"cast({e} as int) as {c}" for c, e in ints.items()]
     cols += [f"cast({e} as double) as {c}" for c, e in num.items()] + [f"{e} as {c}" for c, e in strs.items()]
-    side = f"{k} % 5 <> 0" if labelled else f"{k} % 5 = 0"
+    side = {True: f"{k} % 5 <> 0", False: f"{k} % 5 = 0", None: "true"}[labelled]
     return (f"select {', '.join(cols)} from customer c join nation n on c.c_nationkey = n.n_nationkey "
             f"join region r on n.n_regionkey = r.r_regionkey where {side}")
 
@@ -207,6 +210,7 @@ from events"""
 
 
 ROLES = {
+    "application": lambda d: _application(d, None),
     "application_train": lambda d: _application(d, True), "application_test": lambda d: _application(d, False),
     "bureau": _bureau, "bureau_balance": _bureau_balance, "previous_application": _previous,
     "installments_payments": _installments, "POS_CASH_balance": _pos, "credit_card_balance": _card,
@@ -220,9 +224,6 @@ def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A credit table as a DataFrame over the benchmark tables."""
-    if name == "application":
-        return role(spark, sf_dir, "application_train").unionByName(
-            role(spark, sf_dir, "application_test"), allowMissingColumns=True)
     text = ROLES[name]("spark")
     for t in BASE:
         text = text.replace(f"from {t}", f"from {{{t}}}").replace(f"join {t}", f"join {{{t}}}")
@@ -232,6 +233,4 @@ def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def role_sql(name: str) -> str:
     """The same table as an oracle subquery."""
-    if name == "application":
-        return f"({ROLES['application_train']('duckdb')} union all by name {ROLES['application_test']('duckdb')})"
     return f"({ROLES[name]('duckdb')})"

@@ -36,18 +36,17 @@ def value_ladder(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
     extra_aggs = [expr.alias(name) for name, expr in (extras or {}).items()]
     counts = long.groupBy(*by, "feature", "value").agg(F.count(F.lit(1)).alias("cnt"), *extra_aggs)
     group = [*by, "feature"]
-    tagged = split_hot_groups(counts, group, F.col("value"), rows_per_piece=rows_per_piece)
+    tagged, cut = split_hot_groups(counts, group, F.col("value"), rows_per_piece)
     local = Window.partitionBy(*group, "__piece")
     upto = local.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offsets = piece_offsets(tagged, group, F.col("cnt"))
-    return (
-        tagged.withColumn("__upto", F.sum("cnt").over(upto))
-        .withColumn("__local_n", F.sum("cnt").over(local))
-        .join(offsets, [*group, "__piece"], "left")
-        .withColumn("first_pos", F.coalesce(F.col("__before"), F.lit(0)) + F.col("__upto") - F.col("cnt"))
-        .withColumn("n", F.coalesce(F.col("__group_n"), F.col("__local_n")))
-        .drop("__piece", "__upto", "__local_n", "__before", "__group_n")
-    )
+    out = tagged.withColumn("first_pos", F.sum("cnt").over(upto) - F.col("cnt")).withColumn(
+        "n", F.sum("cnt").over(local))
+    if cut:
+        offsets = piece_offsets(tagged, group, F.col("cnt"))
+        out = (out.join(offsets, [*group, "__piece"], "left")
+               .withColumn("first_pos", F.col("first_pos") + F.coalesce(F.col("__before"), F.lit(0)))
+               .withColumn("n", F.coalesce(F.col("__group_n"), F.col("n"))).drop("__before", "__group_n"))
+    return out.drop("__piece")
 
 
 def quantile_name(p: float) -> str:

@@ -14,31 +14,41 @@ from ledgerloom.operators.quantiles import value_ladder
 from ledgerloom.operators.skew import PIECES, ROWS_PER_PIECE, UNCUT, split_hot_groups
 
 
+def stat_table(df: DataFrame, keys: Sequence[str], stats: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """One row per group with the statistics ``out: (column, function)``."""
+    spec: dict[str, list[str]] = {}
+    for column, fn in stats.values():
+        spec.setdefault(column, [])
+        if fn not in spec[column]:
+            spec[column].append(fn)
+    table = group_agg(df, spec, list(keys), "__g_")
+    return table.select(*keys, *[F.col(f"`__g_{c}_{fn.upper()}`").alias(out) for out, (c, fn) in stats.items()])
+
+
 def group_stats(df: DataFrame, keys: Sequence[str], stats: Mapping[str, tuple[str, str]]) -> DataFrame:
-    """Attach group statistics ``out: (column, function)`` to every row.
+    """Attach group statistics to every row.
 
     The statistics are pre-aggregated and left-joined rather than computed in a
     window, so a hot group is combined map-side and never sorted in one task;
     the small side is broadcast only if its measured size allows it.
     """
-    keys = list(keys)
-    spec: dict[str, list[str]] = {}
-    for column, fn in stats.values():
-        spec.setdefault(column, [])
-        if fn not in spec[column]:
-            spec[column].append(fn)
-    table = group_agg(df, spec, keys, "__g_")
-    renamed = table.select(*keys, *[F.col(f"__g_{c}_{fn.upper()}").alias(out) for out, (c, fn) in stats.items()])
-    return df.join(renamed, keys, "left")
+    return df.join(stat_table(df, keys, stats), list(keys), "left")
+
+
+def attach_stats(df: DataFrame, wanted: Sequence[tuple[Sequence[str], Mapping[str, tuple[str, str]]]]) -> DataFrame:
+    """Several statistics tables, all computed from ``df`` itself, joined to it."""
+    tables = [(list(keys), stat_table(df, keys, stats)) for keys, stats in wanted]
+    return reduce(lambda out, item: out.join(item[1], item[0], "left"), tables, df)
+
+
+def interaction_spec(key_lists: Sequence[Sequence[str]], spec: Spec):
+    """Statistics named COL_FN_AGG_key1_key2... for every key list."""
+    return [(keys, {f"{c}_{fn.upper()}_AGG_{'_'.join(keys)}": (c, fn) for c, fns in spec.items() for fn in fns})
+            for keys in key_lists]
 
 
 def interaction_stats(df: DataFrame, key_lists: Sequence[Sequence[str]], spec: Spec) -> DataFrame:
-    """Group statistics for several key lists, named COL_FN_AGG_key1_key2..."""
-    out = df
-    for keys in key_lists:
-        stats = {f"{c}_{fn.upper()}_AGG_{'_'.join(keys)}": (c, fn) for c, fns in spec.items() for fn in fns}
-        out = group_stats(out, keys, stats)
-    return out
+    return attach_stats(df, interaction_spec(key_lists, spec))
 
 
 def lookup_map(df: DataFrame, key: str, column: str, fn: str, out: str) -> DataFrame:
@@ -76,7 +86,7 @@ def ewma(df: DataFrame, cols: Sequence[str], alpha: float, by: Sequence[str], or
     first order column; piece summaries are chained with at most PIECES steps.
     """
     by, q, size = list(by), 1.0 - alpha, _chunk_rows(alpha)
-    tagged = split_hot_groups(df, by, F.col(order[0]), rows_per_piece=rows_per_piece)
+    tagged, cut = split_hot_groups(df, by, F.col(order[0]), rows_per_piece)
     group = [*by, "__piece"]
     ordered = Window.partitionBy(*group).orderBy(*[F.col(c).asc_nulls_first() for c in order])
     numbered = tagged.withColumn("__rn", F.row_number().over(ordered) - 1).withColumns({
@@ -103,16 +113,17 @@ def ewma(df: DataFrame, cols: Sequence[str], alpha: float, by: Sequence[str], or
         values[f"__here{i}"] = F.when(x.isNotNull(), F.struct(num.alias("num"), den.alias("den"), F.col("__rn").alias("rn")))
     local = numbered.withColumns(sums).withColumns(states).withColumns(values).withColumns(
         {f"__seen{i}": F.last(F.col(f"__here{i}"), ignorenulls=True).over(upto) for i in range(len(cols))})
-    carried = _carry_over(local, by, q, len(cols))
-    joined = local.join(carried, group, "left")
+    joined = local.join(_carry_over(local, by, q, len(cols)), group, "left") if cut else local
     out = {}
     for i, c in enumerate(cols):
-        seen, carry = F.col(f"__seen{i}"), F.col(f"__carry{i}")
-        age = F.pow(F.lit(q), (seen["rn"] + F.lit(1) + carry["gap"]).cast("double"))
-        mixed = (seen["num"] + carry["num"] * age) / (seen["den"] + carry["den"] * age)
-        plain = seen["num"] / seen["den"]
-        out[prefix + c] = F.when(seen.isNotNull(), F.when(carry.isNotNull(), mixed).otherwise(plain)).otherwise(
-            carry["num"] / carry["den"])
+        seen = F.col(f"__seen{i}")
+        out[prefix + c] = seen["num"] / seen["den"]
+        if cut:
+            carry = F.col(f"__carry{i}")
+            age = F.pow(F.lit(q), (seen["rn"] + F.lit(1) + carry["gap"]).cast("double"))
+            mixed = (seen["num"] + carry["num"] * age) / (seen["den"] + carry["den"] * age)
+            entered = F.when(seen.isNotNull(), mixed).otherwise(carry["num"] / carry["den"])
+            out[prefix + c] = F.when(carry.isNotNull(), entered).otherwise(seen["num"] / seen["den"])
     return joined.withColumns(out).select(*[F.col(f"`{c}`") for c in df.columns], *[prefix + c for c in cols])
 
 

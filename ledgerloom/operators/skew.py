@@ -1,10 +1,11 @@
 """Splitting of hot groups into ordered pieces.
 
 An ordered window needs all rows of a group in one task.  A key that owns a
-large share of the table would therefore serialise the job.  Here such keys are
-found by a cheap count, cut at quantiles of the order column and tagged with a
-piece number, so a window runs per (key, piece) and piece totals are combined
-afterwards.  All other keys carry piece -1 and pay one map-side aggregate.
+large share of the table would therefore serialise the job.  One counting pass
+over the key columns (map-side combined) tells whether any group exceeds a row
+budget.  If none does, a plain window is planned.  Otherwise the hot groups are
+cut at quantiles of the order column and tagged with a piece number, so windows
+run per (key, piece) and the small piece totals are combined afterwards.
 """
 
 from __future__ import annotations
@@ -19,6 +20,11 @@ PIECES = 1024
 UNCUT = -1
 
 
+def hot_groups(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    return counts.where(F.col("__n") > limit).drop("__n")
+
+
 def _count_below(cuts: Column, value: Column, pieces: int) -> Column:
     """Number of cut points below ``value``: binary search with halving steps."""
     steps = [1 << i for i in reversed(range(pieces.bit_length()))]
@@ -31,43 +37,35 @@ def _count_below(cuts: Column, value: Column, pieces: int) -> Column:
     )
 
 
-def split_hot_groups(df: DataFrame, keys: Sequence[str], order: Column, piece: str = "__piece",
-                     rows_per_piece: int = ROWS_PER_PIECE, pieces: int = PIECES) -> DataFrame:
-    """Tag every row with an order-preserving piece number inside its group.
+def split_hot_groups(df: DataFrame, keys: Sequence[str], order: Column, rows_per_piece: int = ROWS_PER_PIECE,
+                     pieces: int = PIECES) -> tuple[DataFrame, bool]:
+    """Tag rows with an order-preserving ``__piece`` number inside their group.
 
-    ``order`` must be numeric; equal order values always share a piece.
+    ``order`` must be numeric; equal order values always share a piece.  Rows of
+    groups within budget carry ``UNCUT``.  The flag says whether anything was cut.
     """
     keys = list(keys)
-    if not keys:
-        keyed = df.withColumn("__all", F.lit(0))
-        return split_hot_groups(keyed, ["__all"], order, piece, rows_per_piece, pieces).drop("__all")
+    hot = hot_groups(df, keys, rows_per_piece)
+    if hot.isEmpty():
+        return df.withColumn("__piece", F.lit(UNCUT)), False
     tagged = df.withColumn("__ord", order.cast("double"))
-    hot = tagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > rows_per_piece)
     probs = [i / pieces for i in range(1, pieces)]
-    cuts = (
-        tagged.select(*keys, "__ord")
-        .join(hot.select(*keys), keys, "left_semi")
-        .groupBy(*keys)
-        .agg(F.percentile_approx("__ord", probs, 10 * pieces).alias("__cuts"))
-    )
-    found = F.when(F.col("__ord").isNotNull(), _count_below(F.col("__cuts"), F.col("__ord"), pieces))
-    return (
-        tagged.join(cuts, keys, "left")
-        .withColumn(piece, F.when(F.col("__cuts").isNotNull(), F.coalesce(found, F.lit(0))).otherwise(F.lit(UNCUT)))
-        .drop("__ord", "__cuts")
-    )
-
-
-def piece_offsets(df: DataFrame, keys: Sequence[str], size: Column, piece: str = "__piece") -> DataFrame:
-    """Rows before each piece and in the whole group, for groups with several pieces.
-
-    At most ``PIECES`` rows per hot key; uncut groups are left out, and because the
-    piece is a grouping key that filter reaches the join that found the hot keys.
-    """
-    keys = list(keys)
-    totals = df.where(F.col(piece) != UNCUT).groupBy(*keys, piece).agg(F.sum(size).alias("__piece_n"))
-    group = Window.partitionBy(*keys)
-    before = group.orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
+    cuts_of = F.percentile_approx("__ord", probs, 10 * pieces).alias("__cuts")
+    if keys:
+        cuts = tagged.select(*keys, "__ord").join(hot, keys, "left_semi").groupBy(*keys).agg(cuts_of)
+        joined = tagged.join(cuts, keys, "left")
+    else:
+        joined = tagged.withColumn("__cuts", tagged.agg(cuts_of).scalar())
+    piece = F.coalesce(_count_below(F.col("__cuts"), F.col("__ord"), pieces), F.lit(0))
+    return joined.withColumn("__piece", F.when(F.col("__cuts").isNotNull(), piece).otherwise(F.lit(UNCUT))).drop(
+        "__ord", "__cuts"), True
+
+
+def piece_offsets(df: DataFrame, keys: Sequence[str], size: Column) -> DataFrame:
+    """``__before`` and ``__group_n`` per piece: at most ``PIECES`` rows per hot group."""
+    totals = df.where(F.col("__piece") != UNCUT).groupBy(*keys, "__piece").agg(F.sum(size).alias("__piece_n"))
+    group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    before = group.orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
     return (
         totals.withColumn("__before", F.coalesce(F.sum("__piece_n").over(before), F.lit(0)))
         .withColumn("__group_n", F.sum("__piece_n").over(group))
@@ -83,15 +81,14 @@ def positions(df: DataFrame, keys: Sequence[str], order: Sequence[Column], sort_
     ``order`` (ascending); the remaining keys break ties.
     """
     keys = list(keys)
-    group_keys = keys or ["__all"]
-    base = df if keys else df.withColumn("__all", F.lit(0))
-    tagged = split_hot_groups(base, group_keys, sort_number, rows_per_piece=rows_per_piece)
-    local = Window.partitionBy(*group_keys, "__piece").orderBy(*order)
-    offsets = piece_offsets(tagged, group_keys, F.lit(1))
-    out_df = (
-        tagged.withColumn("__local", F.row_number().over(local))
-        .join(offsets, [*group_keys, "__piece"], "left")
-        .withColumn(out, (F.col("__local") + F.coalesce(F.col("__before"), F.lit(0))).cast("long"))
+    tagged, cut = split_hot_groups(df, keys, sort_number, rows_per_piece)
+    local = F.row_number().over(Window.partitionBy(*keys, "__piece").orderBy(*order)).cast("long")
+    if not cut:
+        return tagged.withColumn(out, local).drop("__piece")
+    offsets = piece_offsets(tagged, keys, F.lit(1))
+    return (
+        tagged.withColumn("__local", local)
+        .join(offsets, [*keys, "__piece"], "left")
+        .withColumn(out, F.col("__local") + F.coalesce(F.col("__before"), F.lit(0)))
         .drop("__local", "__before", "__group_n", "__piece")
     )
-    return out_df if keys else out_df.drop("__all")
