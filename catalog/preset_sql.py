@@ -201,12 +201,13 @@ def trend(column: str, k: int) -> str:
             f"else regr_slope({column}, x) filter (where x < {k}) end as {q(f'{k}_TREND_{column}')}")
 
 
-def installments() -> str:
+def installments(detailed: bool = True) -> str:
     blocks = [block("INS_", specs.INSTALLMENTS_GENERAL)]
     blocks += [block(f"INS_{m}M_", specs.INSTALLMENTS_RECENT, f"LAST_DAY >= {-30 * m}") for m in specs.INSTALLMENT_WINDOWS]
     blocks += [block("INSTAL_", {"NUM_INSTALMENT_VERSION": ["nunique"]}),
-               block("INS_D365", specs.INSTALLMENTS_YEAR, "DAYS_ENTRY_PAYMENT >= -365"),
-               block("INS_GEN_", specs.INSTALLMENTS_DETAILED), "count(*) as INSTAL_COUNT"]
+               block("INS_D365", specs.INSTALLMENTS_YEAR, "DAYS_ENTRY_PAYMENT >= -365"), "count(*) as INSTAL_COUNT"]
+    if detailed:
+        blocks.append(block("INS_GEN_", specs.INSTALLMENTS_DETAILED))
     trends = ", ".join(trend(c, k) for k in specs.TREND_PERIODS for c in ("DPD", "PAID_OVER_AMOUNT"))
     last = ", ".join(f"{measure(c, fn)} as {q(f'LAST_LOAN_{c}_{fn}')}" for c, fns in specs.LAST_LOAN.items() for fn in fns)
     return f"""
@@ -349,7 +350,7 @@ select * exclude ({drops}) from (select * replace ({codes}) from j)"""
 
 
 def master() -> str:
-    named = {"app": application(), "bur": bureau(), "prv": previous(), "psc": pos(), "ins": installments(), "crd": card()}
+    named = {"app": application(), "bur": bureau(), "prv": previous(), "psc": pos(), "ins": installments(detailed=False), "crd": card()}
     joins = " ".join(f"left join {k} on app.SK_ID_CURR = {k}.SK_ID_CURR" for k in list(named)[1:])
     stars = ", ".join(f"{k}.* exclude (SK_ID_CURR)" for k in list(named)[1:])
     stats = ", ".join(f"{measure(c, fn)} as {q(f'CTAR_{c}_{fn.upper()}')}"

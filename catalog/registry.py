@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from catalog.compare import features_sql, fixed, fixed_features, r
 from catalog.roles import BASE, base_table, role, role_sql
+from ledgerloom.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,8 +25,7 @@ class Tables:
 
     def scratch(self) -> str:
         """A new folder that all executors can reach."""
-        shared = self.spark.conf.get("spark.checkpoint.dir", "")
-        return f"{shared.rstrip('/')}/ledgerloom-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="ledgerloom-")
+        return shared_folder(self.spark)
 
 
 def query(sql: str | None = None, rnd: str = "", keys: str = ""):

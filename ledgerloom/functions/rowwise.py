@@ -89,10 +89,14 @@ def row_kurtosis(cols: Sequence[Column | str]) -> Column:
     n = len(cols)
     if n < 4:
         raise ValueError("row kurtosis needs at least four columns")
+    # power sums of the distances to the first cell: one short expression per sum
     cells = [as_col(c).cast("double") for c in cols]
-    mean = reduce(add, cells) / F.lit(float(n))
-    m2 = reduce(add, ((c - mean) * (c - mean) for c in cells))
-    m4 = reduce(add, (F.pow(c - mean, F.lit(4.0)) for c in cells))
+    d = [c - cells[0] for c in cells]
+    s1, s2 = reduce(add, d), reduce(add, (x * x for x in d))
+    s3, s4 = reduce(add, (x * x * x for x in d)), reduce(add, (x * x * x * x for x in d))
+    mean = s1 / F.lit(float(n))
+    m2 = s2 - s1 * mean
+    m4 = s4 - F.lit(4.0) * mean * s3 + F.lit(6.0) * mean * mean * s2 - F.lit(3.0) * s1 * mean * mean * mean
     scale = F.lit(n * (n + 1) * (n - 1) / ((n - 2) * (n - 3)))
     shift = F.lit(3.0 * (n - 1) ** 2 / ((n - 2) * (n - 3)))
     return F.when(m2.isNull(), None).when(m2 == 0, F.lit(0.0)).otherwise(scale * m4 / (m2 * m2) - shift)

@@ -138,8 +138,9 @@ def box_stats(df: DataFrame, column: str, by: str) -> DataFrame:
 def _pair_corr(a: str, b: str) -> Column:
     x, y = F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double")
     both = x.isNotNull() & y.isNotNull()
-    out = F.corr(F.when(both, x), F.when(both, y))
-    return F.when(~F.isnan(out), out)
+    x, y = F.when(both, x), F.when(both, y)
+    # built from its parts: a constant column gives missing instead of an error
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
 def correlation(df: DataFrame, cols: Sequence[str], block: int = 400) -> DataFrame:

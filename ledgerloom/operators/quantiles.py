@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.skew import ROWS_PER_PIECE, piece_offsets, split_hot_groups
+from ledgerloom.operators.skew import piece_offsets, split_hot_groups
 
 
 def to_long(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -24,7 +24,7 @@ def to_long(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> Dat
 
 def value_ladder(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
                  extras: dict[str, Column] | None = None, keep: Sequence[str] = (),
-                 rows_per_piece: int = ROWS_PER_PIECE) -> DataFrame:
+                 rows_per_piece: int | None = None) -> DataFrame:
     """Distinct values of each column with their counts and sorted positions.
 
     Columns out: by..., feature, value, cnt, first_pos (0-based), n, extras...
@@ -54,7 +54,7 @@ def quantile_name(p: float) -> str:
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
-                    rows_per_piece: int = ROWS_PER_PIECE) -> DataFrame:
+                    rows_per_piece: int | None = None) -> DataFrame:
     """One row per (by..., feature) with ``n`` and one column per probability."""
     ladder = value_ladder(df, cols, by, rows_per_piece=rows_per_piece)
     aggs, finals = [F.max("n").alias("n")], []
@@ -72,7 +72,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 
 
 def quantiles_wide(df: DataFrame, wanted: Sequence[tuple[str, str, float]], by: Sequence[str],
-                   rows_per_piece: int = ROWS_PER_PIECE) -> DataFrame:
+                   rows_per_piece: int | None = None) -> DataFrame:
     """One row per group with columns ``out`` for (out, column, probability)."""
     cols = list(dict.fromkeys(c for _, c, _ in wanted))
     probs = sorted({p for _, _, p in wanted})

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators.aggspec import Spec, group_agg, segmented_agg, Segment, top_rows_per_group
 from ledgerloom.operators.quantiles import value_ladder
-from ledgerloom.operators.skew import PIECES, ROWS_PER_PIECE, UNCUT, split_hot_groups
+from ledgerloom.operators.skew import PIECES, UNCUT, split_hot_groups
 
 
 def stat_table(df: DataFrame, keys: Sequence[str], stats: Mapping[str, tuple[str, str]]) -> DataFrame:
@@ -75,14 +75,14 @@ def _chunk_rows(alpha: float) -> int:
 
 
 def ewma(df: DataFrame, cols: Sequence[str], alpha: float, by: Sequence[str], order: Sequence[str],
-         prefix: str = "EXP_", rows_per_piece: int = ROWS_PER_PIECE) -> DataFrame:
+         prefix: str = "EXP_", rows_per_piece: int | None = None) -> DataFrame:
     """Exponentially weighted mean per group in ascending ``order``.
 
     Weights are normalised; missing cells get no weight but still age the
     earlier ones, and carry the last value forward.  Rows are numbered inside
     chunks short enough that the decay powers cannot overflow: a chunk needs
     only the closing sums of the chunk before it, since anything older weighs
-    less than 1e-120.  Groups above ``rows_per_piece`` rows are cut along the
+    less than 1e-120.  Groups above ``rows_per_piece`` rows (default: the row budget of ``skew``) are cut along the
     first order column; piece summaries are chained with at most PIECES steps.
     """
     by, q, size = list(by), 1.0 - alpha, _chunk_rows(alpha)
@@ -204,7 +204,7 @@ def last_n_entities(df: DataFrame, by: str, entity: str, newest: Column, n: int,
     return kept.groupBy(by).agg(*outer_agg)
 
 
-def empirical_cdf(df: DataFrame, column: str, by: Sequence[str] = (), rows_per_piece: int = ROWS_PER_PIECE) -> DataFrame:
+def empirical_cdf(df: DataFrame, column: str, by: Sequence[str] = (), rows_per_piece: int | None = None) -> DataFrame:
     """Run-length form of the empirical distribution: one row per distinct value.
 
     Positions are i/(n-1); a run of equal values covers [cdf_first, cdf_last].

@@ -37,7 +37,7 @@ def _count_below(cuts: Column, value: Column, pieces: int) -> Column:
     )
 
 
-def split_hot_groups(df: DataFrame, keys: Sequence[str], order: Column, rows_per_piece: int = ROWS_PER_PIECE,
+def split_hot_groups(df: DataFrame, keys: Sequence[str], order: Column, rows_per_piece: int | None = None,
                      pieces: int = PIECES) -> tuple[DataFrame, bool]:
     """Tag rows with an order-preserving ``__piece`` number inside their group.
 
@@ -45,7 +45,7 @@ def split_hot_groups(df: DataFrame, keys: Sequence[str], order: Column, rows_per
     groups within budget carry ``UNCUT``.  The flag says whether anything was cut.
     """
     keys = list(keys)
-    hot = hot_groups(df, keys, rows_per_piece)
+    hot = hot_groups(df, keys, ROWS_PER_PIECE if rows_per_piece is None else rows_per_piece)
     if hot.isEmpty():
         return df.withColumn("__piece", F.lit(UNCUT)), False
     tagged = df.withColumn("__ord", order.cast("double"))
@@ -74,7 +74,7 @@ def piece_offsets(df: DataFrame, keys: Sequence[str], size: Column) -> DataFrame
 
 
 def positions(df: DataFrame, keys: Sequence[str], order: Sequence[Column], sort_number: Column,
-              out: str = "position", rows_per_piece: int = ROWS_PER_PIECE) -> DataFrame:
+              out: str = "position", rows_per_piece: int | None = None) -> DataFrame:
     """Exact 1-based position of each row in its group without one task per group.
 
     ``sort_number`` is a numeric expression that orders like the first key of

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,17 +28,25 @@ def local_session(app: str = "ledgerloom", cores: int | str = 8, **conf: str) ->
     return session
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` with a checkpoint that outlives executors.
+def shared_folder(spark: SparkSession) -> str:
+    """A new path below the folder the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is whatever the cluster names in ``spark.checkpoint.dir``.  Only
-    a local master without that setting falls back to a folder of its own.
+    Only a local master without that setting falls back to a folder of its own.
     """
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", ""):
-        context = spark.sparkContext
-        if not context.master.startswith("local"):
+    base = spark.conf.get("spark.checkpoint.dir", "")
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerloom-ckpt-", dir=os.environ.get("TMPDIR")))
-    return df.checkpoint(eager=True)
+        base = tempfile.mkdtemp(prefix="ledgerloom-")
+    return f"{base.rstrip('/')}/ledgerloom-{uuid.uuid4().hex}"
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Cut the lineage of ``df``: write it once to shared storage, continue from there.
+
+    The written table survives lost executors and, unlike a row checkpoint, later
+    steps read only the columns they need.
+    """
+    path = shared_folder(df.sparkSession)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
