@@ -9,24 +9,21 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+def _rounded(column: str) -> str:
+    return f"cast(cast(round(cast(`{column}` as double), 8) as float) as double) + 0D as `{column}`"
 
 
 def fixed(df: DataFrame, *cols: str) -> DataFrame:
     """Round the named columns (default: every fractional column)."""
-    types = dict(df.dtypes)
-    names = cols or [c for c, t in types.items() if t in ("float", "double")]
-    return df.withColumns({
-        c: F.round(F.col(f"`{c}`").cast("double"), 8).cast("float").cast("double") + F.lit(0.0) for c in names})
+    names = set(cols or [c for c, t in df.dtypes if t in ("float", "double")])
+    return df.selectExpr(*[_rounded(c) if c in names else f"`{c}`" for c in df.columns])
 
 
 def fixed_features(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys unchanged, every other column as a rounded double."""
-    names = [c for c, t in df.dtypes if c not in keys]
-    return df.select(*[F.col(f"`{c}`") for c in keys], *[
-        (F.round(F.col(f"`{c}`").cast("double"), 8).cast("float").cast("double") + F.lit(0.0)).alias(c) for c in names])
+    return df.selectExpr(*[f"`{c}`" if c in keys else _rounded(c) for c in df.columns])
 
 
 def r(expr: str, name: str | None = None) -> str:

@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import add, mul
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 __all__ = [
-    "as_col", "safe_div", "ratios", "differences", "sums", "products", "powers",
+    "as_col", "safe_div", "sql_text", "ratios", "differences", "sums", "products", "powers",
     "weighted_sum", "sum_skip_missing", "row_stat", "row_kurtosis", "flag",
     "flag_unless_zero", "clamp_at_zero", "value_if_flag", "step_label", "cut",
     "pair_label", "days_to_years", "absolute",
@@ -30,23 +30,29 @@ def safe_div(num: Column | str, den: Column | str) -> Column:
     return F.try_divide(as_col(num).cast("double"), as_col(den).cast("double"))
 
 
+def sql_text(value: str) -> str:
+    """A string as a Spark SQL literal."""
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def ratios(df: DataFrame, triples: Sequence[tuple[str, str, str]]) -> DataFrame:
     """Add ``name = numerator / denominator`` for every triple."""
-    return df.withColumns({name: safe_div(f"`{a}`", f"`{b}`") for name, a, b in triples})
+    return df.withColumns({name: F.expr(f"try_divide(cast(`{a}` as double), cast(`{b}` as double))")
+                           for name, a, b in triples})
 
 
 def differences(df: DataFrame, triples: Sequence[tuple[str, str, str]]) -> DataFrame:
-    return df.withColumns({name: F.col(a) - F.col(b) for name, a, b in triples})
+    return df.withColumns({name: F.expr(f"`{a}` - `{b}`") for name, a, b in triples})
 
 
 def sums(df: DataFrame, specs: Mapping[str, Sequence[str]], skip_missing: bool = False) -> DataFrame:
     """Add ``name = a + b + ...``; missing propagates unless ``skip_missing``."""
-    build = sum_skip_missing if skip_missing else (lambda cols: reduce(add, map(as_col, cols)))
-    return df.withColumns({name: build(cols) for name, cols in specs.items()})
+    cell = "coalesce(`{}`, 0)" if skip_missing else "`{}`"
+    return df.withColumns({name: F.expr(" + ".join(cell.format(c) for c in cols)) for name, cols in specs.items()})
 
 
 def products(df: DataFrame, specs: Mapping[str, Sequence[str]]) -> DataFrame:
-    return df.withColumns({name: reduce(mul, map(as_col, cols)) for name, cols in specs.items()})
+    return df.withColumns({name: F.expr(" * ".join(f"`{c}`" for c in cols)) for name, cols in specs.items()})
 
 
 def powers(df: DataFrame, specs: Mapping[str, tuple[str, float]]) -> DataFrame:

@@ -14,10 +14,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.rowwise import safe_div
+from ledgerloom.functions.rowwise import safe_div, sql_text
 from ledgerloom.operators.quantiles import quantiles_wide
 
 Spec = Mapping[str, Sequence[str]]
+ORDERED = ("first", "last")
 EXACT = {"median": (0.5,), "iqr": (0.25, 0.75)}
 
 
@@ -42,30 +43,28 @@ def value_at(value: Column, order: Sequence[Column], newest: bool = True, where:
     return F.max_by(value, rank) if newest else F.min_by(value, rank)
 
 
-def _expression(value: Column, fn: str, where: Column | None, order: Sequence[Column]) -> Column:
-    masked = value if where is None else F.when(where, value)
-    if fn in ("min", "max"):
-        return getattr(F, fn)(masked)
-    if fn == "mean":
-        return F.avg(masked.cast("double"))
-    if fn == "var":
-        return F.var_samp(masked.cast("double"))
-    if fn == "std":
-        return F.stddev_samp(masked.cast("double"))
-    if fn == "skew":
-        return F.skewness(masked.cast("double"))
-    if fn == "kurt":
-        return F.kurtosis(masked.cast("double"))
-    if fn in ("last", "first"):
-        if not order:
-            raise ValueError("first/last need an explicit order")
-        return value_at(value, order, fn == "last", where)
-    rows = F.count(F.lit(1) if where is None else F.when(where, F.lit(1)))
-    total = {"sum": lambda: F.coalesce(F.sum(masked), F.lit(0)), "count": lambda: F.count(masked),
-             "size": lambda: rows}
-    if fn not in total:
+# Spark SQL text per function name; {v} is the (segment-masked) value.  One parsed
+# text per output keeps the building of specs with hundreds of outputs cheap.
+FUNCTIONS = {
+    "min": "min({v})", "max": "max({v})", "mean": "avg(cast({v} as double))",
+    "var": "var_samp(cast({v} as double))", "std": "stddev_samp(cast({v} as double))",
+    "skew": "skewness(cast({v} as double))", "kurt": "kurtosis(cast({v} as double))",
+}
+COUNTED = {"sum": "coalesce(sum({v}), 0)", "count": "count({v})", "size": "count({rows})"}
+
+
+def _expression(column: str, fn: str, name: str, inside: str | None = None) -> Column:
+    """One aggregate; ``inside`` names a boolean column that marks the segment's rows."""
+    value = f"`{column}`" if inside is None else f"case when `{inside}` then `{column}` end"
+    rows = "1" if inside is None else f"case when `{inside}` then 1 end"
+    if fn in FUNCTIONS:
+        text = FUNCTIONS[fn].format(v=value)
+    elif fn in COUNTED:
+        text = COUNTED[fn].format(v=value, rows=rows)
+        text = text if inside is None else f"case when count({rows}) > 0 then {text} end"
+    else:
         raise ValueError(f"unknown aggregate {fn!r}")
-    return total[fn]() if where is None else F.when(rows > 0, total[fn]())
+    return F.expr(f"{text} as `{name}`")
 
 
 def segmented_agg(df: DataFrame, by: str | Sequence[str], segments: Sequence[Segment],
@@ -74,12 +73,15 @@ def segmented_agg(df: DataFrame, by: str | Sequence[str], segments: Sequence[Seg
 
     Groups with no row in a segment get NULL in all of that segment's columns.
     Distinct counts run as their own narrow two-step aggregate (no row
-    expansion) and exact medians through the value ladder; both are joined on
-    the key, on which the blocks are already partitioned.
+    expansion), first/last values as a sort-based one and exact medians through
+    the value ladder; all are joined on the key, on which the blocks are already
+    partitioned.  Wide specs gain from ``co_locate`` beforehand.
     """
     keys = [by] if isinstance(by, str) else list(by)
     rows = df.where(reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys)))
-    plain, distinct, exact = list(extra), [], []
+    inside = [None if seg.where is None else f"__seg{i}" for i, seg in enumerate(segments)]
+    rows = rows.withColumns({m: seg.where for m, seg in zip(inside, segments) if m is not None})
+    plain, ordered, distinct, exact = list(extra), [], [], []
     for i, seg in enumerate(segments):
         for column, fns in seg.spec.items():
             for fn in fns:
@@ -88,27 +90,33 @@ def segmented_agg(df: DataFrame, by: str | Sequence[str], segments: Sequence[Seg
                     distinct.append((name, column, i))
                 elif fn in EXACT:
                     exact.append((name, column, fn, i))
+                elif fn in ORDERED:
+                    if not seg.order:
+                        raise ValueError("first/last need an explicit order")
+                    where = None if inside[i] is None else F.col(inside[i])
+                    ordered.append(value_at(F.col(f"`{column}`"), seg.order, fn == "last", where).alias(name))
                 else:
-                    plain.append(_expression(F.col(f"`{column}`"), fn, seg.where, seg.order).alias(name))
+                    plain.append(_expression(column, fn, name, inside[i]))
     order = [out_name(s.prefix, c, f) for s in segments for c, fs in s.spec.items() for f in fs]
     blocks = []
-    if plain or not (distinct or exact):
+    if ordered:
+        # ordering by a struct needs a sort-based aggregate; the rest stays hash-based
+        blocks.append(rows.groupBy(*keys).agg(*ordered))
+    if plain or not (ordered or distinct or exact):
         blocks.append(rows.groupBy(*keys).agg(*(plain or [F.count(F.lit(1)).alias("__rows")])))
     for column in dict.fromkeys(c for _, c, _ in distinct):
         wanted = [(n, i) for n, c, i in distinct if c == column]
         flags, outs = [], []
         for name, i in wanted:
-            where = segments[i].where
-            inside = F.lit(1) if where is None else F.when(where, F.lit(1)).otherwise(F.lit(0))
-            flags.append(F.max(inside).alias(f"__in_{name}"))
-            seen = F.max(f"__in_{name}")
-            counted = F.count(F.when(F.col(f"__in_{name}") == 1, F.col("__value")))
-            outs.append((counted if where is None else F.when(seen == 1, counted)).alias(name))
+            mark = inside[i]
+            flags.append(F.expr(f"max({'true' if mark is None else f'coalesce(`{mark}`, false)'}) as `__in_{name}`"))
+            counted = f"count(case when `__in_{name}` then __value end)"
+            outs.append(F.expr(f"{counted if mark is None else f'case when max(`__in_{name}`) then {counted} end'} as `{name}`"))
         pairs = rows.withColumn("__value", F.col(f"`{column}`")).groupBy(*keys, "__value")
         blocks.append(pairs.agg(*flags).groupBy(*keys).agg(*outs))
     for i in dict.fromkeys(i for *_, i in exact):
         seg = segments[i]
-        subset = rows if seg.where is None else rows.where(seg.where)
+        subset = rows if inside[i] is None else rows.where(F.col(inside[i]))
         wanted, finals = [], []
         for name, column, fn, j in exact:
             if j != i:
@@ -118,8 +126,9 @@ def segmented_agg(df: DataFrame, by: str | Sequence[str], segments: Sequence[Seg
             finals.append((F.col(parts[-1]) - F.col(parts[0]) if fn == "iqr" else F.col(parts[0])).alias(name))
         blocks.append(quantiles_wide(subset, wanted, keys).select(*keys, *finals))
     joined = reduce(lambda a, b: a.join(b, keys, "left"), blocks)
-    extras = [c for c in blocks[0].columns if c not in order and c not in keys and c != "__rows"]
-    return joined.select(*keys, *[F.col(f"`{c}`") for c in order], *extras)
+    known = {*order, *keys, "__rows"}
+    extras = [c for c in joined.columns if c not in known]
+    return joined.select(*keys, *[f"`{c}`" for c in order], *[f"`{c}`" for c in extras])
 
 
 def group_agg(df: DataFrame, spec: Spec, by: str | Sequence[str], prefix: str = "",
@@ -142,12 +151,11 @@ def category_share(df: DataFrame, by: str | Sequence[str], domains: Mapping[str,
 
 def share_columns(domains: Mapping[str, Sequence[str]], prefix: str = "", suffix: str = "_MEAN",
                   where: Column | None = None) -> list[Column]:
-    out = []
-    for column, values in domains.items():
-        for value in values:
-            hit = F.when(F.col(column) == F.lit(value), F.lit(1.0)).otherwise(F.lit(0.0))
-            out.append(F.avg(hit if where is None else F.when(where, hit)).alias(f"{prefix}{column}_{value}{suffix}"))
-    return out
+    if where is not None:
+        return [F.avg(F.when(where, F.when(F.col(c) == F.lit(v), F.lit(1.0)).otherwise(F.lit(0.0)))).alias(
+            f"{prefix}{c}_{v}{suffix}") for c, values in domains.items() for v in values]
+    return [F.expr(f"avg(case when `{c}` = {sql_text(v)} then 1D else 0D end) as `{prefix}{c}_{v}{suffix}`")
+            for c, values in domains.items() for v in values]
 
 
 def two_level_agg(df: DataFrame, outer: str, inner: str, inner_aggs: Sequence[Column],
@@ -192,7 +200,7 @@ def group_table(df: DataFrame, by: str | Sequence[str], cols: Sequence[str], fn:
     """Plain table of group means or counts."""
     keys = [by] if isinstance(by, str) else list(by)
     rows = df.where(reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys)))
-    return rows.groupBy(*keys).agg(*[_expression(F.col(c), fn, None, ()).alias(out_name("", c, fn)) for c in cols])
+    return rows.groupBy(*keys).agg(*[_expression(c, fn, out_name("", c, fn)) for c in cols])
 
 
 def top_rows_per_group(df: DataFrame, by: str, order: Sequence[Column], k: int) -> DataFrame:

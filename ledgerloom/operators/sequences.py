@@ -22,7 +22,7 @@ def stat_table(df: DataFrame, keys: Sequence[str], stats: Mapping[str, tuple[str
         if fn not in spec[column]:
             spec[column].append(fn)
     table = group_agg(df, spec, list(keys), "__g_")
-    return table.select(*keys, *[F.col(f"`__g_{c}_{fn.upper()}`").alias(out) for out, (c, fn) in stats.items()])
+    return table.selectExpr(*[f"`{k}`" for k in keys], *[f"`__g_{c}_{fn.upper()}` as `{out}`" for out, (c, fn) in stats.items()])
 
 
 def group_stats(df: DataFrame, keys: Sequence[str], stats: Mapping[str, tuple[str, str]]) -> DataFrame:
@@ -124,7 +124,7 @@ def ewma(df: DataFrame, cols: Sequence[str], alpha: float, by: Sequence[str], or
             mixed = (seen["num"] + carry["num"] * age) / (seen["den"] + carry["den"] * age)
             entered = F.when(seen.isNotNull(), mixed).otherwise(carry["num"] / carry["den"])
             out[prefix + c] = F.when(carry.isNotNull(), entered).otherwise(seen["num"] / seen["den"])
-    return joined.withColumns(out).select(*[F.col(f"`{c}`") for c in df.columns], *[prefix + c for c in cols])
+    return joined.withColumns(out).select(*[f"`{c}`" for c in df.columns], *[f"`{prefix}{c}`" for c in cols])
 
 
 def _carry_over(local: DataFrame, by: Sequence[str], q: float, n: int) -> DataFrame:

@@ -25,6 +25,22 @@ def hot_groups(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
     return counts.where(F.col("__n") > limit).drop("__n")
 
 
+def co_locate(df: DataFrame, key: str, source: DataFrame | None = None, limit: int | None = None) -> DataFrame:
+    """Bring the rows of each key together before a wide aggregate.
+
+    The partial buffers of a spec with hundreds of outputs are far larger than
+    the rows they summarise, so moving the rows once and aggregating in place is
+    cheaper, and later joins on the key need no exchange.  The key counts are
+    checked first (in ``source``, a cheap ancestor with the same keys): with a
+    group above the row budget the rows stay put and are combined map-side.
+    """
+    keyed = df.where(F.col(key).isNotNull())
+    checked = (source if source is not None else df).where(F.col(key).isNotNull())
+    if hot_groups(checked, [key], ROWS_PER_PIECE if limit is None else limit).isEmpty():
+        return keyed.repartition(F.col(key))
+    return keyed
+
+
 def _count_below(cuts: Column, value: Column, pieces: int) -> Column:
     """Number of cut points below ``value``: binary search with halving steps."""
     steps = [1 << i for i in reversed(range(pieces.bit_length()))]

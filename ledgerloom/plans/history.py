@@ -15,6 +15,7 @@ from ledgerloom.operators.clean import null_outside, null_sentinels, rename
 from ledgerloom.operators.encode import domains_of, one_hot
 from ledgerloom.operators.sequences import (entities_active_since, ewma, last_k_trend, last_n_entities,
                                             latest_entity_stats, partition_total)
+from ledgerloom.operators.skew import co_locate
 from ledgerloom.plans import specs
 
 KEY = "SK_ID_CURR"
@@ -57,6 +58,7 @@ def bureau_features(bureau: DataFrame, balance: DataFrame) -> DataFrame:
     rows = bureau_rows(bureau).join(balance_history_summary(balance), "SK_ID_BUREAU", "left")
     rows = rows.withColumn("STATUS_SUM", sum_skip_missing([f"STATUS_{i}" for i in range(1, 6)]))
     rows = cohort_mean(rows, "MONTHS_BALANCE_SIZE", specs.COHORT_FEATURES, "LL_")
+    rows = co_locate(rows, KEY, source=bureau)
     active, kind = F.col("CREDIT_ACTIVE"), F.col("CREDIT_TYPE")
     rows = rows.withColumns({
         **{f"CREDIT_ACTIVE_{v}": F.when(active == v, 1).otherwise(0) for v in specs.BUREAU_STATUSES},
@@ -69,8 +71,10 @@ def bureau_features(bureau: DataFrame, balance: DataFrame) -> DataFrame:
         *[Segment(f"BUREAU_LAST{m}M_", specs.BUREAU_RECENT, F.col("DAYS_CREDIT") >= -DAYS_PER_MONTH * m)
           for m in (12, 24)],
     ]
-    newest = value_at(F.col("AMT_CREDIT_MAX_OVERDUE"), [F.col("DAYS_CREDIT"), F.col("SK_ID_BUREAU")])
-    out = segmented_agg(rows, KEY, segments, [newest.alias("BUREAU_LAST_LOAN_MAX_OVERDUE")])
+    segments.append(Segment("BUREAU_NEWEST_", {"AMT_CREDIT_MAX_OVERDUE": ["last"]}, None,
+                            (F.col("DAYS_CREDIT"), F.col("SK_ID_BUREAU"))))
+    out = rename(segmented_agg(rows, KEY, segments),
+                 {"BUREAU_NEWEST_AMT_CREDIT_MAX_OVERDUE_LAST": "BUREAU_LAST_LOAN_MAX_OVERDUE"})
     return ratios(out, [
         ("BUREAU_DEBT_OVER_CREDIT", "BUREAU_AMT_CREDIT_SUM_DEBT_SUM", "BUREAU_AMT_CREDIT_SUM_SUM"),
         ("BUREAU_ACTIVE_DEBT_OVER_CREDIT", "BUREAU_ACTIVE_AMT_CREDIT_SUM_DEBT_SUM", "BUREAU_ACTIVE_AMT_CREDIT_SUM_SUM"),
@@ -130,8 +134,8 @@ def loan_payments(installments: DataFrame) -> DataFrame:
 
 def previous_features(previous: DataFrame, installments: DataFrame,
                       domains: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
-    rows = previous_rows(previous).join(loan_payments(installments), "SK_ID_PREV", "left")
-    rows = rows.withColumns({
+    paid = co_locate(previous.join(loan_payments(installments), "SK_ID_PREV", "left"), KEY, source=previous)
+    rows = previous_rows(paid).withColumns({
         "INSTALMENT_PAYMENT_DIFF": F.col("AMT_INSTALMENT") - F.col("AMT_PAYMENT"),
         "REMAINING_DEBT": F.col("AMT_CREDIT") - F.col("AMT_PAYMENT"),
         "REPAYMENT_RATIO": safe_div("AMT_PAYMENT", "AMT_CREDIT"),
@@ -199,7 +203,7 @@ def recent_late_sum(pos: DataFrame, loans: int = 3) -> DataFrame:
 
 def pos_features(pos: DataFrame, domains: Mapping[str, Sequence[str]] | None = None,
                  tiebreak: Sequence[str] = ()) -> DataFrame:
-    rows = pos_rows(pos, tiebreak)
+    rows = co_locate(pos_rows(pos, tiebreak), KEY, source=pos)
     domains = domains or domains_of(pos, ["NAME_CONTRACT_STATUS"])
     kept = [v for v in domains["NAME_CONTRACT_STATUS"] if v not in specs.POS_DROPPED_STATUSES]
     order = [F.col("MONTH"), F.col("SK_ID_PREV"), *[F.col(c) for c in tiebreak]]
@@ -240,7 +244,15 @@ def days_past_due_features(df: DataFrame, late_from: str = "DPD") -> DataFrame:
 
 
 def installment_rows(installments: DataFrame, late_from: str = "DPD") -> DataFrame:
-    df = partition_total(installments, ["SK_ID_PREV", "NUM_INSTALMENT_NUMBER"], "AMT_PAYMENT", "AMT_PAYMENT_GROUPED")
+    """Row features of instalments; payments of one instalment number are totalled first."""
+    return _installment_features(_with_payment_total(installments), late_from)
+
+
+def _with_payment_total(installments: DataFrame) -> DataFrame:
+    return partition_total(installments, ["SK_ID_PREV", "NUM_INSTALMENT_NUMBER"], "AMT_PAYMENT", "AMT_PAYMENT_GROUPED")
+
+
+def _installment_features(df: DataFrame, late_from: str) -> DataFrame:
     df = differences(df, [("PAYMENT_DIFFERENCE", "AMT_INSTALMENT", "AMT_PAYMENT_GROUPED")])
     df = ratios(df, [("PAYMENT_RATIO", "AMT_INSTALMENT", "AMT_PAYMENT_GROUPED")])
     return days_past_due_features(df, late_from)
@@ -259,7 +271,8 @@ def installment_ewma(rows: DataFrame) -> DataFrame:
 
 def installment_features(installments: DataFrame, late_from: str = "DPD", year_block: bool = True,
                          detailed: bool = False) -> DataFrame:
-    rows = entities_active_since(installment_rows(installments, late_from), "SK_ID_PREV", "DAYS_INSTALMENT")
+    raw = entities_active_since(_with_payment_total(installments), "SK_ID_PREV", "DAYS_INSTALMENT")
+    rows = _installment_features(co_locate(raw, KEY, source=installments), late_from)
     segments = [
         Segment("INS_", specs.INSTALLMENTS_GENERAL),
         *[Segment(f"INS_{m}M_", specs.INSTALLMENTS_RECENT, F.col("LAST_DAY") >= -DAYS_PER_MONTH * m)
@@ -323,7 +336,8 @@ def card_customer_ratios(card: DataFrame) -> DataFrame:
 
 
 def card_features(card: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
-    rows = entities_active_since(card_rows(card, tiebreak), "SK_ID_PREV", "MONTHS_BALANCE")
+    dated = entities_active_since(card, "SK_ID_PREV", "MONTHS_BALANCE")
+    rows = card_rows(co_locate(dated, KEY, source=card), tiebreak)
     order = (F.col("MONTHS_BALANCE"), F.col("SK_ID_PREV"), *[F.col(c) for c in tiebreak])
     blocks = segmented_agg(rows, KEY, [
         Segment("CC_", specs.CARD_GENERAL, None, order),
