@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 
 
 def _rounded(column: str) -> str:
-    return f"cast(cast(round(cast(`{column}` as double), 8) as float) as double) + 0D as `{column}`"
+    return f"cast(cast(rint(cast(`{column}` as double) * 1e8D) / 1e8D as float) as double) + 0D as `{column}`"
 
 
 def fixed(df: DataFrame, *cols: str) -> DataFrame:
@@ -26,13 +26,17 @@ def fixed_features(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.selectExpr(*[f"`{c}`" if c in keys else _rounded(c) for c in df.columns])
 
 
+def _steps(expr: str) -> str:
+    return f"round_even(cast({expr} as double) * 100000000::double, 0) / 100000000::double"
+
+
 def r(expr: str, name: str | None = None) -> str:
     """The same rounding in SQL."""
-    out = f"cast(cast(round(cast({expr} as double), 8) as float) as double) + cast(0 as double)"
+    out = f"cast(cast({_steps(expr)} as float) as double) + cast(0 as double)"
     return f'{out} as "{name}"' if name else out
 
 
 def features_sql(inner: str, keys: Sequence[str]) -> str:
     listed = ", ".join(keys)
-    return (f"select {listed}, cast(cast(round(cast(columns(* exclude ({listed})) as double), 8) as float) as double) "
+    return (f"select {listed}, cast(cast({_steps(f'columns(* exclude ({listed}))')} as float) as double) "
             f"+ cast(0 as double) from ({inner})")
