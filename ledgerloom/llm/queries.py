@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, ngram_quality, quality_rules, sentencepiece_codec, simhash
+from ledgerloom.llm import decontaminate, ngram_quality, quality_rules, sentencepiece_codec, simhash, toxicity
 from ledgerloom.session import durable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +49,12 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         (~failed & (F.col("score") >= 0.5)).alias("kept"), "score")
 
 
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @query
 def op7_ngram_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
