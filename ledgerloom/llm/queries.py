@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, ngram_quality, quality_rules, sentencepiece_codec, simhash, toxicity
+from ledgerloom.llm import decontaminate, ngram_quality, pii, quality_rules, sentencepiece_codec, simhash, toxicity
 from ledgerloom.session import durable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,16 @@ from d left join pos using (doc_id) left join its using (doc_id)
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _listed(spans: str, where: str = "true") -> str:
+    return f"array_join(transform(filter({spans}, s -> {where}), s -> concat_ws(':', s.kind, s.start, s.end)), ',')"
+
+
+@query
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    return found.selectExpr(
+        "doc_id", *[f"cast(size(filter(spans, s -> s.base and s.kind = '{k}')) as bigint) as n_{k}" for k in pii.KINDS[:4]],
+        f"sha2({_listed('spans', 's.base')}, 256) as base_sha256", f"{_listed('spans')} as spans",
+        "array_join(transform(spans, s -> format_string('%.2f', s.score)), ',') as scores")
