@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, ngram_quality, pii, quality_rules, sentencepiece_codec, simhash, toxicity
+from ledgerloom.llm import chat, decontaminate, ngram_quality, pii, quality_rules, secret_scan, sentencepiece_codec, simhash, toxicity, warc
 from ledgerloom.session import durable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,3 +109,66 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *[f"cast(size(filter(spans, s -> s.base and s.kind = '{k}')) as bigint) as n_{k}" for k in pii.KINDS[:4]],
         f"sha2({_listed('spans', 's.base')}, 256) as base_sha256", f"{_listed('spans')} as spans",
         "array_join(transform(spans, s -> format_string('%.2f', s.score)), ',') as scores")
+
+
+@query
+def op6_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.perspectives(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op6_chat_perspectives"] = r"""
+with said as (select conv_id, turn, coalesce(role, 'unknown') who, coalesce(text, '') content from conversations),
+people as (select distinct conv_id, who perspective from said where who <> 'system'),
+roles as (
+  select s.conv_id, perspective, turn, who, content,
+    case when who = perspective then 'assistant' when who = 'system' then 'system' else 'user' end "role"
+  from said s join people p on s.conv_id is not distinct from p.conv_id),
+rendered as (
+  select *, case when "role" = 'user' then who end "name",
+    '<|im_start|>' || "role" || case when "role" = 'user' then ' name=' || who else '' end || chr(10) head from roles),
+placed as (
+  select *, head || content || '<|im_end|>' || chr(10) whole,
+    row_number() over w - 1 pos, sum(length(head || content || '<|im_end|>' || chr(10))) over w - length(head || content || '<|im_end|>' || chr(10)) lead_in
+  from rendered window w as (partition by conv_id, perspective order by turn nulls first, who, content rows unbounded preceding))
+select conv_id, perspective, turn, cast(pos as bigint) "position", "role", "name", whole "text",
+  cast(lead_in + length(head) as bigint) "start", cast(lead_in + length(head) + length(content) as bigint) "end", "role" = 'assistant' trained
+from placed
+"""
+
+
+@query
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.scan(docs, secret_scan.learn(docs))
+    return found.selectExpr(
+        "doc_id", *[f"cast(size(filter(secrets, s -> s.kind = '{k}')) as bigint) as n_{k}" for k in secret_scan.KINDS[:3]],
+        f"sha2({_listed('secrets', chr(39) + 'format' + chr(39) + ' <> s.kind')}, 256) as base_sha256", f"{_listed('secrets')} as spans")
+
+
+@query
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    index = warc.write(pages, warc.folder_for(pages))
+    return warc.read(index, payload=False).select(
+        "page_id", F.col("n_bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type",
+        F.col("refers_to").cast("bigint").alias("refers_to"))
+
+
+ORACLES["op10_warc"] = r"""
+with p as (select page_id, encode(coalesce(html, '')) b, sha1(coalesce(html, '')) h from pages),
+d as (
+  select page_id, octet_length(b) n, min(page_id) over (partition by h) f,
+    array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      1 + ((cast('0x' || substr(h, 1 + 5 * (i // 4), 5) as integer) >> (15 - 5 * (i % 4))) & 31), 1) for i in range(32)], '') digest
+  from p)
+select page_id, cast(n as bigint) payload_bytes, digest payload_digest,
+  case when page_id = f then 'response' else 'revisit' end record_type, case when page_id <> f then f end refers_to
+from d
+"""
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
