@@ -16,7 +16,7 @@ from ledgerloom.session import durable
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that the n-gram model rejects."""
+    """Drop documents that the n-gram model rejects (all rows of an id, if one of them is rejected)."""
     judged = ngram_quality.judge(docs, table(spark, sf_dir, "labels"))
     return _without(docs, judged.where(~F.col("kept")))
 
@@ -27,16 +27,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows that repeat an id in one group count as copies: one stays.  Rows without an
     id all stay, as nothing tells them apart from each other.
     """
-    grouped = simhash.near_duplicates(docs)
-    kept = _without(docs, grouped.where("doc_id <> component_id"))
-    repeated = durable(docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select(F.col("doc_id").alias("twice")))
-    single = kept.join(repeated, kept.doc_id == repeated.twice, "left_anti")
-    copies = kept.join(repeated, kept.doc_id == repeated.twice, "left_semi").dropDuplicates(["doc_id"])
-    return single.unionAll(copies)
+    grouped = durable(simhash.near_duplicates(docs))
+    repeated = durable(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1 and doc_id is not null").select(
+        F.col("doc_id").alias("__twice")))
+    once = _without(docs, grouped.where("doc_id <> component_id")).join(repeated, F.col("doc_id") == F.col("__twice"), "left_anti")
+    # an id that several rows have may be one group's smallest and not another's
+    marked = simhash.with_fingerprints(docs.join(repeated, F.col("doc_id") == F.col("__twice"), "left_semi"), out="__fp")
+    first = grouped.where("doc_id = component_id").join(repeated, F.col("doc_id") == F.col("__twice"), "left_semi").select(
+        F.col("doc_id").alias("__id"), F.col("fp").alias("__print")).distinct()
+    several = marked.join(first, (F.col("doc_id") == F.col("__id")) & (F.col("__fp") == F.col("__print")), "left_semi")
+    return once.unionAll(several.dropDuplicates(["doc_id"]).select(*docs.columns))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents in which a window of a benchmark item occurs."""
+    """Drop documents in which a window of a benchmark item occurs (all rows of an id, if it occurs in one of them)."""
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
     return _without(docs, found.where("n_hit > 0"))
 

@@ -1,0 +1,177 @@
+"""Operators on single texts against plain Python."""
+
+import hashlib
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from ledgerloom.llm import pii, quality_rules, secret_scan, sentencepiece_codec
+
+LONG = "word " * 40_000
+ODD = [None, "", " ", "\n\n", "a", "x" * 50_000, LONG, "é" * 20_000, "日本語 текст 😀 \x00 \x01", "same text", "same text"]
+SCHEMA = "doc_id bigint, text string"
+
+
+@pytest.fixture(scope="module")
+def model():
+    public = pytest.importorskip("public_tokenizers")
+    return public.path("piece_bpe_32k.model")
+
+
+def pieces(alphabet, n, size, seed):
+    rng = random.Random(seed)
+    return ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, size))) for _ in range(n)]
+
+
+def test_sentencepiece_equals_library(spark, table, model):
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=model)
+    alphabet = ["a b  c", "▁", "\n", " ", "   ", "the ", " of", "é", "日本", "😀", "\t", "\0", "aaaa", "abab", "----", "====", "<s>", "</s>",
+                "<0x0A>", "0", "int main(){\n    return 0;\n}\n", "​", "████", "ﬁ", "''''"]
+    texts = [*ODD, " " * 5000, "-" * 5000, *pieces(alphabet, 800, 40, 1), *pieces("abcdetno <=-_ ", 400, 120, 2)]
+    docs = table(list(enumerate(texts)), SCHEMA)
+    m = sentencepiece_codec.Model.of(model)
+    encoded = sentencepiece_codec.encode(docs, m)
+    rows = sentencepiece_codec.decode(encoded, m).select("doc_id", "ids", "decoded").collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        want = sp.encode(texts[r.doc_id] or "") + [sp.eos_id()]
+        assert r.ids == want
+        assert r.decoded == sp.decode(want)
+
+
+def test_sentencepiece_decodes_missing_and_broken_ids(spark, model):
+    m = sentencepiece_codec.Model.of(model)
+    df = spark.createDataFrame([(1, None), (2, []), (3, [1, 2]), (4, [3 + 0xC3])], "doc_id long, ids array<int>")
+    got = {r.doc_id: r.decoded for r in sentencepiece_codec.decode(df, m).collect()}
+    assert got == {1: None, 2: "", 3: "", 4: "�"}
+
+
+def rule_counts(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    windows = [tuple(w[i:i + 5]) for i in range(len(w) - 4)]
+    seen = Counter(windows)
+    covered = {i + k for i, x in enumerate(windows) if seen[x] > 1 for k in range(5)}
+    lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(covered)
+
+
+def test_rule_statistics(spark, table):
+    texts = [*ODD, *pieces(["a ", "b ", "c\n", "a b c d e ", "## ", "é|", "\n", "\x85", "\xa0", "\x0b"], 600, 40, 3)]
+    got = quality_rules.statistics(table(list(enumerate(texts)), SCHEMA)).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == rule_counts(texts[r.doc_id])
+
+
+def test_trees_keep_their_monotonic_constraints():
+    rng = np.random.default_rng(1)
+    x = rng.random((3000, len(quality_rules.FEATURES)))
+    y = (rng.random(3000) < 0.9 - 0.7 * x[:, 0] + 0.3 * np.sin(9 * x[:, 7])).astype(float)
+    trees = quality_rules.fit_trees(x, y, list(quality_rules.FEATURES.values()))
+    for f, direction in enumerate(quality_rules.FEATURES.values()):
+        low, high = x.copy(), x.copy()
+        high[:, f] += rng.random(3000)
+        if direction:
+            assert (trees.score(high) <= trees.score(low) + 1e-12).all()
+    held = rng.random((3000, x.shape[1]))
+    truth = rng.random(3000) < 0.9 - 0.7 * held[:, 0] + 0.3 * np.sin(9 * held[:, 7])
+    p = trees.score(held)
+    assert p[truth].mean() > p[~truth].mean() + 0.1
+
+
+def test_trees_with_one_class_or_no_rows(spark):
+    x = np.random.default_rng(2).random((50, len(quality_rules.FEATURES)))
+    for rows, y in ((x, np.ones(50)), (x[:0], np.zeros(0))):
+        assert (quality_rules.fit_trees(rows, y, list(quality_rules.FEATURES.values())).score(x) > 0.5).all()
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        v = int(c) * (1 + i % 2)
+        total += v - 9 if v > 9 else v
+    return total % 10 == 0
+
+
+def personal(text):
+    out = []
+    for kind in pii.KINDS[:4]:
+        for m in re.finditer(pii.PLAIN[kind], text or ""):
+            digits = re.sub("[^0-9]", "", m[0])
+            good = (kind == "email" or kind == "phone" and 8 <= len(digits) <= 15 or kind == "card" and 16 <= len(digits) <= 19 and luhn(digits)
+                    or kind == "ip" and all(len(p.lstrip("0")) <= 3 and int(p[-4:]) <= 255 for p in m[0].split(".")))
+            if good:
+                out.append((kind, m.start(), m.end()))
+    return out
+
+
+def test_personal_data(spark, table):
+    alphabet = ["a@b.c", "@", ".", "_x@c.de", "-", "1", "255", "256", "001", "1.2.3.4", "+1 ", "(", "4532015112830366", "4532 0151 1283 0366",
+                " ", "\x01", "é", "😀", "9", "+49 30 1234567", "x", "0.0.0.0.", "a@b", "%", "+"]
+    texts = [*ODD, "a" * 20_000 + "@", "1" * 30_000, "a.a" * 9000 + "@b.c", "1 " * 9000, "+" * 9000, "a@b.c " * 3000, *pieces(alphabet, 1500, 25, 4)]
+    got = pii.personal_data(table(list(enumerate(texts)), SCHEMA)).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert [(s.kind, s.start, s.end) for s in r.spans if s.base] == personal(texts[r.doc_id])
+
+
+def test_personal_data_adds_confirmed_spans_only(spark):
+    texts = ["iban DE89370400440532013000 and DE00370400440532013000", "pay by card 378282246310005", "378282246310005 of them"]
+    got = {r.doc_id: [(s.kind, texts[r.doc_id][s.start:s.end]) for s in r.spans]
+           for r in pii.personal_data(spark.createDataFrame(list(enumerate(texts)), SCHEMA)).collect()}
+    assert got == {0: [("iban", "DE89370400440532013000")], 1: [("card", "378282246310005")], 2: []}
+
+
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+
+
+def secrets(text):
+    text = text or ""
+    out = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 12]
+    out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+    out += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
+    return [(secret_scan.KINDS[k], a, b) for a, k, b in sorted(out)]
+
+
+def test_secrets(spark, table):
+    alphabet = ["password", "PASSWD", "secret", "Token", "api_key", "apikey", "=", ":", " ", "'", '"', "abcdefghijkl", "a1b2c3d4e5f60718", "AKIA",
+                "AKIAABCDEFGHIJ1234", "é", "😀", "ſecret", "x", "-", "."]
+    texts = [*ODD, *pieces(alphabet, 3000, 18, 5)]
+    docs = table(list(enumerate(texts)), SCHEMA)
+    got = secret_scan.scan(docs, secret_scan.learn(docs)).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert [(s.kind, s.start, s.end) for s in r.secrets if s.kind != "format"] == secrets(texts[r.doc_id])
+
+
+def test_inferred_automaton_knows_its_format():
+    rng = random.Random(6)
+    values = [("AB" + "".join(rng.choice("0123456789") for _ in range(rng.randint(18, 22)))).encode() for _ in range(400)]
+    a = secret_scan.infer(values)
+    fresh = ("AB" + "".join(rng.choice("0123456789") for _ in range(20))).encode()
+    assert a.score(fresh) >= a.limit
+    assert a.score(b"mail8.example.com") == -np.inf and a.score(b"ABCDEFGHIJKLMNOPQRST") == -np.inf
+    assert len(a.step) < 60 and secret_scan.infer([]) is None
+
+
+def test_redaction(spark):
+    docs = spark.createDataFrame([(1, "é password=abcdefghijkl1 end"), (2, None), (3, "clean")], SCHEMA)
+    found = secret_scan.redacted(secret_scan.scan(docs, {}))
+    assert {r.doc_id: r.text for r in found.collect()} == {1: "é <SECRET> end", 2: None, 3: "clean"}
+
+
+def test_empty_tables(spark, model):
+    none = spark.createDataFrame([], SCHEMA)
+    labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    m = sentencepiece_codec.Model.of(model)
+    assert sentencepiece_codec.decode(sentencepiece_codec.encode(none, m), m).count() == 0
+    stats = quality_rules.statistics(none)
+    assert quality_rules.with_scores(stats, quality_rules.fit(stats, labels)).count() == 0
+    assert pii.personal_data(none).count() == 0
+    assert secret_scan.scan(none, secret_scan.learn(none)).count() == 0
+    assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
