@@ -281,6 +281,15 @@ def ewma_by_group(t):
     return Q.ewma(df, ["x", "value"], 0.7, ["user_id"], ["ts", "event_id"]).select("user_id", "event_id", "EXP_x", "EXP_value")
 
 
+@query(f"""with n as (select *, row_number() over (partition by event_type order by ts, event_id) as rn
+from (select event_type, event_id, ts, case when event_id % 7 = 3 then null else value end as x from events))
+select event_type, event_id, {ewma_columns(['x'], 0.0005, 'event_type')} from n""", keys="event_type event_id")
+def ewma_small_alpha(t):
+    """Long memory: thousands of rows of each type still weigh in."""
+    df = t("events").select("event_type", "event_id", "ts", F.when(F.col("event_id") % 7 != 3, F.col("value")).alias("x"))
+    return Q.ewma(df, ["x"], 0.0005, ["event_type"], ["ts", "event_id"]).select("event_type", "event_id", "EXP_x")
+
+
 INS_ORDER = "NUM_INSTALMENT_NUMBER nulls first, DAYS_ENTRY_PAYMENT nulls first, AMT_INSTALMENT nulls first, AMT_PAYMENT nulls first, NUM_INSTALMENT_VERSION nulls first"
 
 

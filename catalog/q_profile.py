@@ -127,6 +127,17 @@ def correlation_matrix(t):
     return P.correlation(t("application"), NUMBERS)
 
 
+WIDE = [*COLUMNS["application"]["num"], "DAYS_BIRTH", "CNT_CHILDREN"]
+
+
+@query(f"with a as {APP}, l as (select [" + ", ".join(
+    f"struct_pack(\"row\" := '{b}', \"column\" := '{a}', corr := corr({b}, {a}))" for a, b in combinations(WIDE, 2))
+    + "] as c from a) select unnest(c, recursive := true) from l", rnd="corr")
+def correlation_matrix_wide(t):
+    """All numeric applicant columns."""
+    return P.correlation(t("application"), WIDE)
+
+
 @query(f"with a as {APP} {per_column(NUMBERS, 'corr({c}, TARGET)', 'feature', 'corr')}", rnd="corr")
 def correlation_with_target(t):
     return P.target_correlation(t("application"), NUMBERS)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from catalog.preset_sql import applicant_rows, div, flag, installment_rows, previous_rows, row_kurtosis, steps
 from catalog.registry import S, query
@@ -26,6 +27,18 @@ def csv_scan(t):
     return io.read_table(t.spark, path, "csv", schema_of("bureau")).select(*t("bureau").columns)
 
 
+@query(f"select SK_ID_BUREAU, SK_ID_CURR, DAYS_CREDIT, AMT_CREDIT_SUM_DEBT, CREDIT_ACTIVE from {S('bureau')}")
+def csv_scan_missing_tokens(t):
+    """Whole numbers exported with decimals, and three words for a missing value."""
+    cols = ["SK_ID_BUREAU", "SK_ID_CURR", "DAYS_CREDIT", "AMT_CREDIT_SUM_DEBT", "CREDIT_ACTIVE"]
+    said = {"DAYS_CREDIT": F.concat(F.col("DAYS_CREDIT").cast("string"), F.lit(".0")), "AMT_CREDIT_SUM_DEBT": F.col("AMT_CREDIT_SUM_DEBT").cast("string")}
+    path = t.scratch()
+    t("bureau").select(*cols).withColumns(said).fillna("NaN", "AMT_CREDIT_SUM_DEBT").fillna("", "DAYS_CREDIT").fillna(
+        "NA", "CREDIT_ACTIVE").write.csv(path, header=True)
+    wanted = [f for f in schema_of("bureau").fields if f.name in cols]
+    return io.read_table(t.spark, path, "csv", T.StructType(wanted)).select(*cols)
+
+
 @query(f"select * from {S('bureau_balance')}")
 def csv_scan_drop_index(t):
     path = t.scratch()

@@ -11,10 +11,10 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, Logisti
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.gram import means, pair_sums
 from ledgerloom.operators.quantiles import value_ladder
 from ledgerloom.operators.skew import positions
 from ledgerloom.session import durable
@@ -194,23 +194,15 @@ def iterative_select(df: DataFrame, cols: Sequence[str], key: str, label: str =
 
 
 def gram_matrix(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
-    """Sums of products of all column pairs in one map-side combined pass (d x d numbers)."""
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    row = df.agg(*[F.sum(F.col(f"`{cols[i]}`").cast("double") * F.col(f"`{cols[j]}`").cast("double")).alias(f"s{k}")
-                   for k, (i, j) in enumerate(pairs)]).first()
-    gram = np.zeros((len(cols), len(cols)))
-    for k, (i, j) in enumerate(pairs):
-        gram[i, j] = gram[j, i] = row[f"s{k}"] or 0.0
-    return gram
+    """Sums of products of all column pairs (d x d numbers) in one pass."""
+    return pair_sums(df, cols).products
 
 
 def vif(df: DataFrame, cols: Sequence[str], centred: bool = False) -> dict[str, float]:
     """Variance inflation factor per feature; uncentred like a regression without intercept."""
     if centred:
-        vectors = assemble(df, cols, [])
-        n = df.count()
-        mean = vectors.select(Summarizer.mean(F.col("features")).alias("m")).first()["m"].toArray()
-        gram = gram_matrix(df, cols) - n * np.outer(mean, mean)
+        sums = pair_sums(df, cols, means(df, cols))
+        gram = sums.products - sums.sums * sums.sums.T / np.maximum(sums.count, 1)
     else:
         gram = gram_matrix(df, cols)
     # correlation scale keeps the inverse well conditioned; factors are unchanged

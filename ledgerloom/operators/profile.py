@@ -7,14 +7,15 @@ table with many columns is scanned once.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 from math import pi
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.rowwise import cut
 from ledgerloom.operators.clean import select_by_dtype
+from ledgerloom.operators.gram import correlations
 from ledgerloom.operators.quantiles import exact_quantiles, quantile_name, to_long
 
 
@@ -135,36 +136,20 @@ def box_stats(df: DataFrame, column: str, by: str) -> DataFrame:
         F.count(F.when(~inside, F.lit(1))).alias("outliers"))
 
 
-def _pair_corr(a: str, b: str) -> Column:
-    x, y = F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double")
-    both = x.isNotNull() & y.isNotNull()
-    x, y = F.when(both, x), F.when(both, y)
-    # built from its parts: a constant column gives missing instead of an error
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+def correlation(df: DataFrame, cols: Sequence[str], block: int | None = None) -> DataFrame:
+    """Pairwise-complete Pearson correlations, lower triangle, long form (one row for each pair of named columns).
 
-
-def correlation(df: DataFrame, cols: Sequence[str], block: int = 400) -> DataFrame:
-    """Pairwise-complete Pearson correlations, lower triangle, long form.
-
-    All pairs are aggregates of one pass (``block`` per pass for wide tables).
+    One pass serves any number of pairs; ``block`` is accepted from older callers and has no effect.
     """
-    pairs = [(b, a) for a, b in combinations(cols, 2)]
-    parts = []
-    for start in range(0, len(pairs), block):
-        chunk = pairs[start:start + block]
-        row = df.agg(*[_pair_corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(chunk)])
-        items = [F.struct(F.lit(a).alias("row"), F.lit(b).alias("column"), F.col(f"c{i}").alias("corr"))
-                 for i, (a, b) in enumerate(chunk)]
-        parts.append(row.select(F.inline(F.array(*items))))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    r = correlations(df, cols)
+    rows = [(cols[j], cols[i], None if np.isnan(r[i, j]) else float(r[i, j])) for j in range(len(cols)) for i in range(j)]
+    return df.sparkSession.createDataFrame(rows, "row string, column string, corr double")
 
 
 def target_correlation(df: DataFrame, cols: Sequence[str], target: str = "TARGET") -> DataFrame:
-    row = df.agg(*[_pair_corr(c, target).alias(c) for c in cols])
-    return _unpivot_row(row, cols, "feature", "corr").orderBy(F.desc_nulls_last("corr"), "feature")
+    r = correlations(df, [*cols, target])[:-1, -1]
+    rows = [(c, None if np.isnan(v) else float(v)) for c, v in zip(cols, r, strict=True)]
+    return df.sparkSession.createDataFrame(rows, "feature string, corr double").orderBy(F.desc_nulls_last("corr"), "feature")
 
 
 def contingency(df: DataFrame, cols: Sequence[str], target: str, bins: int = 10) -> DataFrame:

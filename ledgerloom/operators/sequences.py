@@ -9,7 +9,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.aggspec import Spec, group_agg, segmented_agg, Segment, top_rows_per_group
+from ledgerloom.operators.aggspec import Spec, group_agg, top_rows_per_group
 from ledgerloom.operators.quantiles import value_ladder
 from ledgerloom.operators.skew import PIECES, UNCUT, split_hot_groups
 
@@ -68,10 +68,10 @@ def recent_entities(df: DataFrame, entity: str, day: str, min_day: float) -> Dat
 
 
 def _chunk_rows(alpha: float) -> int:
-    """Rows over which the decay stays far inside double range."""
+    """Rows over which a weight falls to 1e-120, which is far inside double range for any alpha."""
     if not 0 < alpha < 1:
         raise ValueError("alpha must lie strictly between 0 and 1")
-    return max(2, min(4096, int(120 / -math.log10(1 - alpha))))
+    return max(2, int(120 / -math.log10(1 - alpha)))
 
 
 def ewma(df: DataFrame, cols: Sequence[str], alpha: float, by: Sequence[str], order: Sequence[str],
@@ -80,9 +80,9 @@ def ewma(df: DataFrame, cols: Sequence[str], alpha: float, by: Sequence[str], or
 
     Weights are normalised; missing cells get no weight but still age the
     earlier ones, and carry the last value forward.  Rows are numbered inside
-    chunks short enough that the decay powers cannot overflow: a chunk needs
-    only the closing sums of the chunk before it, since anything older weighs
-    less than 1e-120.  Groups above ``rows_per_piece`` rows (default: the row budget of ``skew``) are cut along the
+    chunks over which a weight falls to 1e-120, so that the decay powers cannot
+    overflow and a chunk needs only the closing sums of the chunk before it:
+    anything older weighs less than that, whatever ``alpha``.  Groups above ``rows_per_piece`` rows (default: the row budget of ``skew``) are cut along the
     first order column; piece summaries are chained with at most PIECES steps.
     """
     by, q, size = list(by), 1.0 - alpha, _chunk_rows(alpha)
@@ -217,15 +217,3 @@ def empirical_cdf(df: DataFrame, column: str, by: Sequence[str] = (), rows_per_p
 
 def partition_total(df: DataFrame, keys: Sequence[str], column: str, out: str) -> DataFrame:
     return group_stats(df, keys, {out: (column, "sum")})
-
-
-def segmented_recent_entities(df: DataFrame, by: str, day_of_entity: str, spec: Spec,
-                              windows: Mapping[str, float], order: Sequence[Column] = ()) -> DataFrame:
-    """One fused aggregate for several entity-level recency windows."""
-    segments = [Segment(prefix, spec, F.col(day_of_entity) >= F.lit(bound), tuple(order))
-                for prefix, bound in windows.items()]
-    return segmented_agg(df, by, segments)
-
-
-def all_present(cols: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in cols))

@@ -71,6 +71,18 @@ def test_ewma_long_group_does_not_overflow(spark, alpha):
     np.testing.assert_allclose(got["EXP_x"], frame["x"].ewm(alpha=alpha).mean(), rtol=1e-8, atol=1e-12)
 
 
+@pytest.mark.parametrize("budget", [1_000_000, 3000])
+@pytest.mark.parametrize("alpha", [0.0005, 0.005, 0.05, 0.7])
+def test_ewma_remembers_all_rows(spark, alpha, budget):
+    x = np.random.default_rng(6).normal(size=21_000)
+    x[:4000] = 100
+    x[::11] = np.nan
+    x[9000:9500] = np.nan
+    frame = pd.DataFrame({"k": 1, "t": np.arange(len(x)), "x": x})
+    got = Q.ewma(to_spark(spark, frame), ["x"], alpha, ["k"], ["t"], rows_per_piece=budget).toPandas().sort_values("t")
+    np.testing.assert_allclose(got["EXP_x"], frame["x"].ewm(alpha=alpha).mean(), rtol=1e-9, atol=1e-12)
+
+
 @pytest.mark.parametrize("budget", [1_000_000, 50])
 def test_exact_quantiles(spark, budget):
     frame = sample()
