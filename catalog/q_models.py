@@ -56,7 +56,7 @@ def weighted_logistic_regression(t):
 @query()
 def grid_search_cv(t):
     train, _ = prepared(t)
-    trials = M.grid_search(M.durable(M.stratified_folds(train, KEY, k=3)), grid_c=[0.1, 1.0], grid_weights=[(0.3, 4.5), (0.75, 6.0)], folds=3)
+    trials = M.grid_search(M.durable(M.stratified_folds(train, KEY)))
     rows = [(x.params["c"], *x.params["weights"], x.auc) for x in trials]
     return t.spark.createDataFrame(rows, "c double, weight_0 double, weight_1 double, auc double")
 
@@ -64,7 +64,7 @@ def grid_search_cv(t):
 @query()
 def random_search(t):
     train, _ = prepared(t)
-    trials = M.random_search(M.durable(M.stratified_folds(train, KEY)), trials=4)
+    trials = M.random_search(M.durable(M.stratified_folds(train, KEY)))
     rows = [(x.params["c"], x.params["tol"], x.params["max_iter"], x.auc) for x in trials]
     return t.spark.createDataFrame(rows, "c double, tol double, max_iter int, auc double")
 
@@ -88,12 +88,17 @@ def score_probability(t):
     return M.score(model, train.drop("TARGET").unionByName(test)).select(KEY, "score")
 
 
-@query()
+def _dealt_sql(key: str, seed: int) -> str:
+    return f"cast('0x' || substr(md5(cast({key} as varchar) || ':{seed}'), 1, 13) as bigint)"
+
+
+@query(f"select {KEY}, case when {_dealt_sql(KEY, 0)} % 100 < 75 then 1 else 0 end as is_train from {APP}")
 def train_valid_split(t):
     return M.train_valid_split(model_table(t), KEY, seed=0).select(KEY, "is_train")
 
 
-@query()
+@query(f"""select {KEY}, TARGET, cast((row_number() over (partition by TARGET order by {_dealt_sql(KEY, 42)}, {KEY}) - 1) % 5 as integer) as fold
+from {APP} where TARGET is not null""")
 def stratified_kfold(t):
     train, _ = M.split_by_label(model_table(t))
     return M.stratified_folds(train, KEY).select(KEY, "TARGET", "fold")
@@ -101,17 +106,15 @@ def stratified_kfold(t):
 
 @query()
 def drop_zero_importance(t):
-    df = model_table(t)
-    train = M.mean_impute(M.split_by_label(df)[0], M.train_means(df, FEATURES))
-    importance = M.zero_importance(train, FEATURES, KEY, max_iter=5, max_depth=3)
+    train, _ = M.split_by_label(model_table(t))
+    importance = M.zero_importance(M.mean_impute(train, M.train_means(train, FEATURES)), FEATURES, KEY)
     return t.spark.createDataFrame(list(importance.items()), "feature string, importance double")
 
 
 @query()
 def iterative_importance_selection(t):
-    df = model_table(t)
-    train = M.mean_impute(M.split_by_label(df)[0], M.train_means(df, FEATURES))
-    chosen = M.iterative_select(train, FEATURES, KEY, folds=2, keep_above=0.45, go_on_above=0.6, max_iter=4, max_depth=3)
+    train, _ = M.split_by_label(model_table(t))
+    chosen = M.iterative_select(M.mean_impute(train, M.train_means(train, FEATURES)), FEATURES, KEY)
     return t.spark.createDataFrame([(c,) for c in chosen], "feature string")
 
 
@@ -163,7 +166,7 @@ def class_balance(t):
 
 @query()
 def train_and_score(t):
-    return run_training(model_table(t), select="mutual_information", search="random", folds=3, trials=2).scores
+    return run_training(model_table(t), select="mutual_information", search="random").scores
 
 
 # ------------------------------------------------------------------ user functions

@@ -188,6 +188,15 @@ def label_encode_large_domain(t):
     return encode.label_encode(t("part").select("p_partkey", "p_name"), limit=2)
 
 
+@query("""with v as (select c_nationkey, unnest([{'column': 'c_mktsegment', 'value': c_mktsegment}, {'column': 'c_name', 'value': c_name}], recursive := true) from customer),
+n as (select c_nationkey, count(*) as "all" from customer group by 1)
+select v.c_nationkey, "column", "value", count(*) / any_value("all")::double as share from v join n on v.c_nationkey = n.c_nationkey
+where "value" is not null group by 1, 2, 3""", rnd="share")
+def one_hot_large_domain(t):
+    """Shares of every segment and of every customer name by nation, without a column for each."""
+    return encode.one_hot_long(t("customer"), "c_nationkey", ["c_mktsegment", "c_name"])
+
+
 @query("select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_discount / nullif(l_tax, 0) as share from lineitem", rnd="share")
 def inf_to_null(t):
     df = t("lineitem")
