@@ -238,6 +238,11 @@ def higher_moment_agg(t):
     return A.group_agg(t("lineitem"), MOMENTS, "l_suppkey")
 
 
+@query("select o_custkey, skewness(o_totalprice) as o_totalprice_SKEW_UNBIASED from orders group by o_custkey", rnd="o_totalprice_SKEW_UNBIASED")
+def unbiased_skew_agg(t):
+    return A.group_agg(t("orders"), {"o_totalprice": ["skew_unbiased"]}, "o_custkey")
+
+
 @query(f"select ORGANIZATION_TYPE, median(AMT_INCOME_TOTAL) as AMT_INCOME_TOTAL_MEDIAN from {S('application')} where ORGANIZATION_TYPE is not null group by 1")
 def exact_median_by_group(t):
     return A.group_agg(t("application"), {"AMT_INCOME_TOTAL": ["median"]}, "ORGANIZATION_TYPE")

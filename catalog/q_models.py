@@ -10,6 +10,7 @@ from catalog.registry import S, Tables, query
 from ledgerloom.operators import modelling as M
 from ledgerloom.operators import udfs as U
 from ledgerloom.plans.scoring import train_and_score as run_training
+from ledgerloom.sources import io
 
 APP = S("application")
 KEY = "SK_ID_CURR"
@@ -131,6 +132,15 @@ def vif_filter(t):
     return t.spark.createDataFrame(list(M.vif(train, ["AMT_INCOME_TOTAL", "AMT_CREDIT"]).items()), "feature string, vif double")
 
 
+@query(_vif_sql(), rnd="vif")
+def vif_report(t):
+    """The factors of all candidates, written as a report and read again."""
+    train, _ = M.split_by_label(model_table(t))
+    factors = M.vif(train, ["AMT_INCOME_TOTAL", "AMT_CREDIT"])
+    path = io.write_report(t.spark.createDataFrame(list(factors.items()), "feature string, vif double"), t.scratch())
+    return t.spark.read.schema("feature string, vif double").csv(path, header=True)
+
+
 @query()
 def vif_filter_wide(t):
     train, _ = M.split_by_label(model_table(t))

@@ -174,3 +174,12 @@ join {S('bureau_balance')} m on b.SK_ID_BUREAU = m.SK_ID_BUREAU group by 1, 2) w
 def distinct_per_entity(t):
     df = t("bureau").join(t("bureau_balance"), "SK_ID_BUREAU")
     return P.distinct_per_entity(df, ["SK_ID_CURR", "CREDIT_ACTIVE"], "STATUS")
+
+
+@query(f"""with a as (select NAME_INCOME_TYPE as v, TARGET as c from {APP} where TARGET is not null and NAME_INCOME_TYPE is not null),
+n as (select v, c, count(*)::double as n from a group by 1, 2),
+m as (select n, sum(n) over (partition by v) as rn, sum(n) over (partition by c) as cn, sum(n) over () as t from n)
+select 'NAME_INCOME_TYPE' as feature, sqrt(greatest(0, any_value(t) * (sum(n * n / (rn * cn)) - 1)) / (any_value(t)
+  * (least((select count(distinct v) from n), (select count(distinct c) from n)) - 1))) as cramers_v from m""", rnd="cramers_v")
+def cramers_v_of_text(t):
+    return P.cramers_v(t("application"), ["NAME_INCOME_TYPE"])

@@ -49,6 +49,9 @@ FUNCTIONS = {
     "min": "min({v})", "max": "max({v})", "mean": "avg(cast({v} as double))",
     "var": "var_samp(cast({v} as double))", "std": "stddev_samp(cast({v} as double))",
     "skew": "skewness(cast({v} as double))", "kurt": "kurtosis(cast({v} as double))",
+    # the bias-corrected form: missing below three values, zero for a constant
+    "skew_unbiased": "case when count({v}) > 2 then coalesce(nanvl(skewness(cast({v} as double)), 0), 0) "
+                     "* sqrt(count({v}) * (count({v}) - 1D)) / (count({v}) - 2) end",
 }
 COUNTED = {"sum": "coalesce(sum({v}), 0)", "count": "count({v})", "size": "count({rows})"}
 

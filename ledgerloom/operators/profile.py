@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.rowwise import cut
 from ledgerloom.operators.clean import select_by_dtype
+from ledgerloom.operators.encode import code_table
 from ledgerloom.operators.gram import correlations
 from ledgerloom.operators.quantiles import exact_quantiles, quantile_name, to_long
 
@@ -153,7 +154,20 @@ def target_correlation(df: DataFrame, cols: Sequence[str], target: str = "TARGET
 
 
 def contingency(df: DataFrame, cols: Sequence[str], target: str, bins: int = 10) -> DataFrame:
-    """Counts per (feature, equal-width bin, class) for all columns in one pass."""
+    """Counts per (feature, bin, class): equal-width bins of numbers, and values of text columns in sorted order."""
+    texts = [c for c, t in df.dtypes if c in cols and t == "string"]
+    numbers = [c for c in cols if c not in texts]
+    if not texts:
+        return _binned_cells(df, numbers, target, bins)
+    named = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").alias("value")) for c in texts])
+    said = df.where(F.col(target).isNotNull()).select(F.col(target).alias("class"), F.inline(named)).where("value is not null")
+    counted = said.groupBy("feature", "value", "class").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    codes = code_table(df, texts).withColumnRenamed("column", "feature")
+    cells = counted.join(codes, ["feature", "value"]).select("feature", F.col("code").alias("bin"), "class", "n")
+    return cells.unionByName(_binned_cells(df, numbers, target, bins)) if numbers else cells
+
+
+def _binned_cells(df: DataFrame, cols: Sequence[str], target: str, bins: int) -> DataFrame:
     ranges = df.agg(*[f(F.col(c).cast("double")).alias(f"{n}_{c}") for c in cols for n, f in (("lo", F.min), ("hi", F.max))])
     limits = ranges.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(f"lo_{c}").alias("lo"), F.col(f"hi_{c}").alias("hi")) for c in cols])))
