@@ -32,6 +32,7 @@ PRIOR = 200
 #: share of trusted documents on each side of the limits, and the widening as a share of the limit
 TAIL, MARGIN = 0.001, 0.03
 TOP_BITS = 24.0
+LARGEST = np.iinfo(np.int32).max
 
 
 def _byte_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -67,16 +68,21 @@ def count_grams(texts: DataFrame, classes: np.ndarray) -> DataFrame:
     """(gram, n) over all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: np.ndarray | None = None
+        total, room = np.zeros(SYMBOLS ** ORDER, np.int32), LARGEST
+
+        def parts() -> Iterator[pa.RecordBatch]:
+            at = np.flatnonzero(total)
+            for part in np.array_split(at, len(at) // 50_000 + 1):
+                yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part].astype(np.int64))], ["gram", "n"])
+
         for b in chunks(batches, "t"):
-            if total is None:
-                total = np.zeros(SYMBOLS ** ORDER, np.int64)
             got, n = np.unique(grams(*utf8(b.column("t")), classes), return_counts=True)
-            total[got] += n
-        if total is not None:
-            at = np.flatnonzero(total)
-            for part in np.array_split(at, max(1, len(at) // 50_000)):
-                yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], ["gram", "n"])
+            if n.sum() > room:  # before a count could overflow
+                yield from parts()
+                total[:], room = 0, LARGEST
+            total[got] += n.astype(np.int32)
+            room -= n.sum()
+        yield from parts()
 
     return texts.mapInArrow(run, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
 
@@ -166,7 +172,7 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     named = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("t"))
     classes = alphabet(named.select("t"))
     trusted = named.join(good, F.col("id") == F.col("good"), "left_semi").select("t")
-    bits = probabilities(count_grams(trusted, classes))
+    bits = probabilities(durable(count_grams(trusted, classes)))
     raw = durable(information(docs, bits, classes, id_col, text, lang))
     known = raw.join(good, F.col("id") == F.col("good"), "left_semi").where("n_bytes > 0")
     total = known.agg((F.sum("bits") / F.sum("n_bytes")).alias("mean")).first().mean
