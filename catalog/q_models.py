@@ -189,6 +189,29 @@ def grouped_map_apply(t):
                          "o_custkey long, spread double, orders double")
 
 
+@query("""with d as (select o_orderpriority, cast(substr(cast(cast(floor(o_totalprice) as bigint) as varchar), 1, 1) as bigint) as digit from orders),
+n as (select o_orderpriority, digit, count(*) as n from d group by 1, 2)
+select o_orderpriority, arg_min(digit, {'n': -n, 'd': digit}) as digit, max(n) as orders from n group by 1""")
+def grouped_reduce_digits(t):
+    """The most frequent leading digit of each priority's prices, from mergeable counts of digits."""
+    digits = [f"d{i}" for i in range(10)]
+
+    def partial(pdf: pd.DataFrame) -> dict:
+        first = pdf["o_totalprice"].floordiv(1).astype("int64").astype(str).str[0].astype(int)
+        counts = first.value_counts()
+        return {d: int(counts.get(i, 0)) for i, d in enumerate(digits)}
+
+    def merge(states: pd.DataFrame) -> dict:
+        return states[digits].sum().to_dict()
+
+    def finish(state: dict) -> dict:
+        best = max(range(10), key=lambda i: (state[digits[i]], -i))
+        return {"digit": best, "orders": state[digits[best]]}
+
+    return U.grouped_reduce(t("orders").select("o_orderpriority", "o_totalprice"), "o_orderpriority", partial, merge, finish,
+                            ", ".join(f"{d} bigint" for d in digits), "digit bigint, orders bigint")
+
+
 @query("""select user_id, event_id, sum(value) over (partition by user_id order by ts, event_id rows between unbounded preceding and current row) as total
 from events""", rnd="total")
 def grouped_transform(t):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -15,7 +15,8 @@ def grouped_map(df: DataFrame, by: str, fn: Callable[[pd.DataFrame], dict], sche
 
     Such a function needs its whole group in memory, so groups are size-checked
     where they run: a group above ``max_rows`` fails the job with a clear error
-    instead of exhausting the worker, and its rows are never dropped.
+    instead of exhausting the worker, and its rows are never dropped; functions that
+    can be put together from parts have no limit in ``grouped_reduce``.
     """
 
     def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -26,6 +27,35 @@ def grouped_map(df: DataFrame, by: str, fn: Callable[[pd.DataFrame], dict], sche
     return df.where(F.col(by).isNotNull()).groupBy(by).applyInPandas(run, schema)
 
 
+def grouped_reduce(df: DataFrame, by: str, partial: Callable[[pd.DataFrame], dict], merge: Callable[[pd.DataFrame], dict],
+                   finish: Callable[[dict], dict], state: str, schema: str, fan_in: int = 64) -> DataFrame:
+    """One result row per key from a user reducer, for groups of any size.
+
+    ``partial`` turns some rows of a key into a state (the columns of ``state``),
+    ``merge`` several states into one, and ``finish`` the last one into the result.
+    No worker sees more of a group than one Arrow batch, or than the states of one of
+    ``fan_in`` parts; ``schema`` and ``state`` name the columns besides the key.
+    """
+    kind = dict(df.dtypes)[by]
+
+    def begin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = [{by: key, **partial(part)} for key, part in pdf.groupby(by, sort=False)]
+            if rows:
+                yield pd.DataFrame(rows)
+
+    def merged(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame([{by: key[0], **merge(pdf)}])
+
+    def ended(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame([{by: key[0], **finish(merge(pdf))}])
+
+    states = df.where(F.col(by).isNotNull()).mapInPandas(begin, f"`{by}` {kind}, {state}").withColumn(
+        "__part", F.spark_partition_id() % fan_in)
+    few = states.groupBy(by, "__part").applyInPandas(merged, f"`{by}` {kind}, {state}")
+    return few.groupBy(by).applyInPandas(ended, f"`{by}` {kind}, {schema}")
+
+
 def grouped_transform(df: DataFrame, by: Sequence[str], order: Sequence[str], column: str, out: str,
                       fn: Callable[[pd.Series], pd.Series]) -> DataFrame:
     """Same-length user function over one ordered column of each group."""
