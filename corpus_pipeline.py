@@ -62,9 +62,12 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """``docs`` but for the rejected ids; a missing id rejects nothing."""
+    """``docs`` but for the rejected ids; a missing id rejects nothing.
+
+    Rejected ids grow with the documents, so both sides are shuffled at every size.
+    """
     ids = durable(rejected.select(F.col("doc_id").alias("__out")).where("__out is not null").distinct())
-    return docs.join(ids, docs.doc_id == ids["__out"], "left_anti")
+    return docs.join(ids.hint("merge"), docs.doc_id == ids["__out"], "left_anti")
 
 
 STAGES = [

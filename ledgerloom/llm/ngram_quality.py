@@ -171,7 +171,8 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     good = labels.where(F.col(label) == 1).select(F.col(id_col).alias("good")).distinct()
     named = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("t"))
     classes = alphabet(named.select("t"))
-    trusted = named.join(good, F.col("id") == F.col("good"), "left_semi").select("t")
+    # the same join at every size: labels grow with the documents
+    trusted = named.join(good.hint("merge"), F.col("id") == F.col("good"), "left_semi").select("t")
     bits = probabilities(durable(count_grams(trusted, classes)))
     raw = durable(information(docs, bits, classes, id_col, text, lang))
     known = raw.join(good, F.col("id") == F.col("good"), "left_semi").where("n_bytes > 0")
