@@ -111,6 +111,57 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         "array_join(transform(spans, s -> format_string('%.2f', s.score)), ',') as scores")
 
 
+def _pii_sql() -> str:
+    """Matches are marked and the text split at the marks, as RE2 has no positions either."""
+    kinds = " union all ".join(
+        f"select doc_id, '{k}' kind, {n} ord, string_split(regexp_replace(t, '({pii.PLAIN[k]})', chr(1) || '\\1' || chr(1), 'g'), chr(1)) p, "
+        f"'(?i)(^|[^a-z])({pii.WORDS[k]})($|[^a-z])' words from d" for n, k in enumerate(pii.KINDS))
+    digit = "cast(substr(digits, cast(length(digits) - j as bigint), 1) as integer)"
+    powers = [pow(10, k, 97) for k in range(80)]
+    listed = "coalesce(string_agg(kind || ':' || s || ':' || e, ',' order by ord, s){}, '')"
+    counts = ", ".join(f"count(*) filter (base and kind = '{k}') n_{k}" for k in pii.KINDS[:4])
+    return f"""
+with d as (select row_number() over () r, doc_id, replace(coalesce(text, ''), chr(1), chr(2)) t from documents),
+parts as (select doc_id, kind, ord, words, unnest(p) x, unnest(range(len(p))) i from ({kinds})),
+placed as (
+  select doc_id, kind, ord, words, x m, i, sum(length(x)) over w - length(x) s, sum(length(x)) over w e,
+    right(lag(x) over w, {pii.BEFORE}) || ' ' || left(lead(x) over w, {pii.AFTER}) near
+  from parts window w as (partition by doc_id, kind order by i)),
+found as (
+  select *, regexp_replace(m, '[^0-9]', '', 'g') digits, replace(m, ' ', '') bare from placed where i % 2 = 1),
+numbers as (
+  select *, substr(bare, 5) || substr(bare, 1, 4) moved from found),
+tested as (
+  select *, array_to_string([case when c between '0' and '9' then c else cast(ascii(c) - 55 as varchar) end for c in string_split(moved, '')], '') long,
+    list_sum([case when j % 2 = 0 then {digit} else {digit} * 2 - case when {digit} > 4 then 9 else 0 end end for j in range(length(digits))]) % 10 = 0 luhn
+  from numbers),
+verdict as (
+  select *, case kind when 'email' then true when 'phone' then length(digits) between 8 and 15 when 'card' then length(digits) between 16 and 19 and luhn
+      when 'ip' then list_bool_and([length(ltrim(q, '0')) <= 3 and coalesce(try_cast(ltrim(q, '0') as integer), 0) <= 255 for q in string_split(m, '.')])
+      else false end base,
+    case kind when 'card' then length(digits) between 13 and 19 and luhn
+      when 'ip' then list_bool_and([length(ltrim(q, '0')) <= 3 and coalesce(try_cast(ltrim(q, '0') as integer), 0) <= 255 for q in string_split(m, '.')])
+      when 'iban' then length(bare) between 15 and 34
+        and list_sum([cast(substr(long, cast(length(long) - j as bigint), 1) as integer) * ({powers})[j + 1] for j in range(length(long))]) % 97 = 1
+      else false end confirmed
+  from tested),
+scored as (
+  select *, case when confirmed then {pii.CONFIRMED} else {pii.PROPOSED} end + case when regexp_matches(near, words) then {pii.CONTEXT} else 0 end score from verdict),
+kept as (
+  select * from scored where base or kind = 'iban' and confirmed and score >= {pii.LEAST} or kind = 'card' and confirmed and score > {pii.CONFIRMED}),
+per_doc as (
+  select doc_id, {counts}, sha256({listed.format(' filter (base)')}) base_sha256, {listed.format('')} spans,
+    coalesce(string_agg(printf('%.2f', score), ',' order by ord, s), '') scores
+  from kept group by 1)
+select d.doc_id, {', '.join(f'coalesce(n_{k}, 0) n_{k}' for k in pii.KINDS[:4])}, coalesce(base_sha256, sha256('')) base_sha256,
+  coalesce(spans, '') spans, coalesce(scores, '') scores
+from d left join per_doc using (doc_id)
+"""
+
+
+ORACLES["op9_pii"] = _pii_sql()
+
+
 @query
 def op6_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.perspectives(table(spark, sf_dir, "conversations"))
