@@ -36,7 +36,8 @@ def value_ladder(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
     extra_aggs = [expr.alias(name) for name, expr in (extras or {}).items()]
     counts = long.groupBy(*by, "feature", "value").agg(F.count(F.lit(1)).alias("cnt"), *extra_aggs)
     group = [*by, "feature"]
-    tagged, cut = split_hot_groups(counts, group, F.col("value"), rows_per_piece)
+    # a group has no more distinct values of a feature than the table has rows of it
+    tagged, cut = split_hot_groups(counts, group, F.col("value"), rows_per_piece, source=(df, by))
     local = Window.partitionBy(*group, "__piece")
     upto = local.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = tagged.withColumn("first_pos", F.sum("cnt").over(upto) - F.col("cnt")).withColumn(

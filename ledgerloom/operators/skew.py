@@ -54,14 +54,19 @@ def _count_below(cuts: Column, value: Column, pieces: int) -> Column:
 
 
 def split_hot_groups(df: DataFrame, keys: Sequence[str], order: Column, rows_per_piece: int | None = None,
-                     pieces: int = PIECES) -> tuple[DataFrame, bool]:
+                     pieces: int = PIECES, source: tuple[DataFrame, Sequence[str]] | None = None) -> tuple[DataFrame, bool]:
     """Tag rows with an order-preserving ``__piece`` number inside their group.
 
     ``order`` must be numeric; equal order values always share a piece.  Rows of
     groups within budget carry ``UNCUT``.  The flag says whether anything was cut.
+    ``source`` is a cheap ancestor with keys of which each group has at least as many
+    rows: if none of those is hot, ``df`` isn't computed to find that out.
     """
     keys = list(keys)
-    hot = hot_groups(df, keys, ROWS_PER_PIECE if rows_per_piece is None else rows_per_piece)
+    limit = ROWS_PER_PIECE if rows_per_piece is None else rows_per_piece
+    if source is not None and hot_groups(source[0], source[1], limit).isEmpty():
+        return df.withColumn("__piece", F.lit(UNCUT)), False
+    hot = hot_groups(df, keys, limit)
     if hot.isEmpty():
         return df.withColumn("__piece", F.lit(UNCUT)), False
     tagged = df.withColumn("__ord", order.cast("double"))

@@ -110,3 +110,21 @@ def test_narrow_keeps_values(spark):
 def test_drop_sparse(spark):
     df = spark.createDataFrame([(1, None), (2, None), (3, 1)], "a int, b int")
     assert clean.drop_sparse_columns(df, 0.6).columns == ["a"]
+
+
+def test_label_codes_of_a_large_domain_are_ranked_by_several_tasks(spark):
+    values = [f"Customer#{i:05d}" for i in range(700)]
+    df = spark.createDataFrame([(v, v[::-1]) for v in values * 2] + [(None, "x")], "a string, b string")
+    table = encode.code_table(df, ["a", "b"], values_per_task=50)
+    got = {(r["column"], r["value"]): r["code"] for r in table.collect()}
+    assert got == {("a", v): i for i, v in enumerate(values)} | {("b", v): i for i, v in enumerate(sorted([*(v[::-1] for v in values), "x"]))}
+    coded = encode.label_encode(df, ["a"], limit=50)
+    assert sorted(r["a"] for r in coded.collect()) == sorted([-1, *[i for i in range(700)] * 2])
+
+
+def test_one_hot_domains(spark):
+    df = spark.createDataFrame([(1, "x"), (1, "y"), (2, None), (1, "x")], "k long, c string")
+    assert encode.domains_of(df, ["c"]) == {"c": ["x", "y"]}
+    with pytest.raises(ValueError, match="one_hot_long"):
+        encode.domains_of(df, ["c"], limit=1)
+    assert sorted(tuple(r) for r in encode.one_hot_long(df, "k", ["c"]).collect()) == [(1, "c", "x", 2 / 3), (1, "c", "y", 1 / 3)]
