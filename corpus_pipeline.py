@@ -55,8 +55,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, lang, source, ids, n_tokens, lossless): token ids, and whether decoding them gives the text back."""
     model = piece_model()
-    ids = sentencepiece_codec.encode(docs.select("doc_id", "lang", "source", "text"), model)
-    back = sentencepiece_codec.decode(ids, model)
+    back = sentencepiece_codec.encode(docs.select("doc_id", "lang", "source", "text"), model, decoded="decoded")
     return back.select("doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"),
                        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
 

@@ -32,8 +32,7 @@ def piece_model() -> sentencepiece_codec.Model:
 @query
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = piece_model()
-    ids = sentencepiece_codec.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model).drop("text")
-    return sentencepiece_codec.decode(ids, model).select(
+    return sentencepiece_codec.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model, decoded="decoded").select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -271,26 +271,32 @@ class Encoder:
         return out, total
 
 
-def encode(docs: DataFrame, model: Model, text: str = "text", out: str = "ids") -> DataFrame:
+def encode(docs: DataFrame, model: Model, text: str = "text", out: str = "ids", decoded: str | None = None) -> DataFrame:
     """Every row of ``docs`` with the ids of its whole text and an end id; missing text is empty.
 
-    A column that has the output's name is replaced.
+    ``decoded`` names a column for the text that decoding these ids gives, made by the
+    same task.  Columns that have an output's name are replaced.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)  # its size is the vocabulary's
-    keep = [c for c in docs.columns if c != out]
+    keep = [c for c in docs.columns if c not in (out, decoded)]
     names = [f"c{i}" for i in range(len(keep))]
     given = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)], F.col(f"`{text}`").alias("t"))
     kinds = dict(given.dtypes)
+    made_of = ["ids"] + ["said"] * bool(decoded)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(held.value)
         for b in chunks(batches, "t"):
             ids, n = encoder(b.column("t").to_pylist())
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(ids.astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([*(b.column(x) for x in names), lists], [*names, "ids"])
-
-    made = given.mapInArrow(run, ", ".join([*(f"{n} {kinds[n]}" for n in names), "ids array<int>"]))
-    return made.select(*[F.col(n).alias(c) for c, n in zip(keep, names, strict=True)], F.col("ids").alias(out))
+            made = [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(ids.astype(np.int32)))]
+            if decoded:
+                made.append(pa.array(held.value.decode(ids.astype(np.int64), n), pa.string()))
+            yield pa.RecordBatch.from_arrays([*(b.column(x) for x in names), *made], [*names, *made_of])
+
+    types = {"ids": "array<int>", "said": "string"}
+    found = given.mapInArrow(run, ", ".join([*(f"{n} {kinds[n]}" for n in names), *(f"{n} {types[n]}" for n in made_of)]))
+    return found.select(*[F.col(n).alias(c) for c, n in zip(keep, names, strict=True)],
+                        *[F.col(n).alias(c) for c, n in zip((out, decoded), made_of, strict=False)])
 
 
 def decode(docs: DataFrame, model: Model, ids: str = "ids", out: str = "decoded") -> DataFrame:

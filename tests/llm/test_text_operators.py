@@ -35,13 +35,13 @@ def test_sentencepiece_equals_library(spark, table, model):
     texts = [*ODD, " " * 5000, "-" * 5000, *pieces(alphabet, 800, 40, 1), *pieces("abcdetno <=-_ ", 400, 120, 2)]
     docs = table(list(enumerate(texts)), SCHEMA)
     m = sentencepiece_codec.Model.of(model)
-    encoded = sentencepiece_codec.encode(docs, m)
-    rows = sentencepiece_codec.decode(encoded, m).select("doc_id", "ids", "decoded").collect()
+    encoded = sentencepiece_codec.encode(docs, m, decoded="at once")
+    rows = sentencepiece_codec.decode(encoded, m).select("doc_id", "ids", "decoded", "at once").collect()
     assert len(rows) == len(texts)
     for r in rows:
         want = sp.encode(texts[r.doc_id] or "") + [sp.eos_id()]
         assert r.ids == want
-        assert r.decoded == sp.decode(want)
+        assert r.decoded == r["at once"] == sp.decode(want)
 
 
 def test_sentencepiece_decodes_missing_and_broken_ids(spark, model):
