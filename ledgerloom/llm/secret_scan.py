@@ -18,7 +18,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -199,13 +198,15 @@ def learn(docs: DataFrame, text: str = "text", bound: int = SAMPLE) -> dict[str,
     return out
 
 
-def scan(docs: DataFrame, automata: dict[str, Automaton], text: str = "text", out: str = "secrets") -> DataFrame:
+def scan(docs: DataFrame, automata: dict[str, Automaton], text: str = "text", out: str = "secrets", clean: bool = False) -> DataFrame:
     """Every row of ``docs`` with its spans: structs of kind, start, end in code points, by start, then kind.
 
-    A missing text is empty and has none.  A column that has the output's name is replaced.
+    With ``clean`` the spans are also replaced in the text.  A missing text is empty, has
+    none and stays missing.  A column that has the output's name is replaced.
     """
     keep = [c for c in docs.columns if c != out]
     names = [f"c{i}" for i in range(len(keep))]
+    own = names[keep.index(text)]
     given = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)], F.col(f"`{text}`").alias("t"))
     kinds = dict(given.dtypes)
     span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
@@ -227,7 +228,10 @@ def scan(docs: DataFrame, automata: dict[str, Automaton], text: str = "text", ou
             data, offsets = utf8(b.column("t"))
             flat, ends = data.tobytes(), offsets.tolist()
             got = [spans(flat[a:z]) for a, z in zip(ends, ends[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(got, pa.list_(span))], [*names, "found"])
+            cols = {n: b.column(n) for n in names}
+            if clean:
+                cols[own] = pa.array([redact(t, s) if s else t for t, s in zip(b.column("t").to_pylist(), got, strict=True)], pa.string())
+            yield pa.RecordBatch.from_arrays([*cols.values(), pa.array(got, pa.list_(span))], [*names, "found"])
 
     made = given.mapInArrow(run, ", ".join(
         [*(f"{n} {kinds[n]}" for n in names), "found array<struct<kind:string,start:bigint,end:bigint>>"]))
@@ -242,14 +246,3 @@ def redact(text: str, spans: list, mark: str = "<SECRET>") -> str:
             out += [text[done:a], mark]
         done = max(done, b)
     return "".join([*out, text[done:]])
-
-
-def redacted(found: DataFrame, text: str = "text", spans: str = "secrets") -> DataFrame:
-    """``found`` with the spans of each row replaced in its text."""
-    @F.pandas_udf("string")
-    def cleaned(texts: pd.Series, secrets: pd.Series) -> pd.Series:
-        return pd.Series([redact(t, s) for t, s in zip(texts, secrets, strict=True)], dtype=object)
-
-    hit = F.size(spans) > 0
-    made = cleaned(F.when(hit, F.col(f"`{text}`")).otherwise(F.lit("")), F.col(spans))
-    return found.withColumn(text, F.when(hit, made).otherwise(F.col(f"`{text}`")))
