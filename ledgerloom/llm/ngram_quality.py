@@ -20,6 +20,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -134,18 +135,17 @@ def probabilities(top: DataFrame) -> np.ndarray:
         return pa.table({"symbol": pa.array([own], pa.int32()), "bits": pa.array([bits.tobytes()], pa.binary())})
 
     sharded = joined.where("k > 1").withColumn("symbol", F.expr(f"cast(gram div {a} % {a} as int)"))
-    parts = sharded.groupBy("symbol").applyInArrow(shard, "symbol int, bits binary").collect()  # SYMBOLS rows
+    parts = sharded.groupBy("symbol").applyInArrow(shard, "symbol int, bits binary")
     out = np.empty((a ** (ORDER - 2), a, a), np.float16)
     out[:] = -np.log2(np.maximum(unigram, 2.0 ** -TOP_BITS))
-    for r in parts:
+    for r in parts.toLocalIterator():  # SYMBOLS rows, a partition at a time
         out[:, r.symbol, :] = np.frombuffer(r.bits, np.float16).reshape(-1, a)
     return out.ravel()
 
 
-def information(docs: DataFrame, bits: np.ndarray, classes: np.ndarray, id_col: str = "doc_id", text: str = "text",
+def information(docs: DataFrame, held: Broadcast, classes: np.ndarray, id_col: str = "doc_id", text: str = "text",
                 lang: str = "lang") -> DataFrame:
-    """(id, lang, n_bytes, bits) for each row; the table of probabilities has a fixed size."""
-    held = docs.sparkSession.sparkContext.broadcast(bits.tobytes())
+    """(id, lang, n_bytes, bits) for each row; ``held`` has the table of probabilities as bytes, of fixed size."""
     given = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,8 +173,10 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     classes = alphabet(named.select("t"))
     # the same join at every size: labels grow with the documents
     trusted = named.join(good.hint("merge"), F.col("id") == F.col("good"), "left_semi").select("t")
-    bits = probabilities(durable(count_grams(trusted, classes)))
-    raw = durable(information(docs, bits, classes, id_col, text, lang))
+    table = probabilities(durable(count_grams(trusted, classes))).tobytes()
+    held = docs.sparkSession.sparkContext.broadcast(table)
+    raw = durable(information(docs, held, classes, id_col, text, lang))
+    held.destroy()  # the written rows are all that is needed from here on
     known = raw.join(good, F.col("id") == F.col("good"), "left_semi").where("n_bytes > 0")
     total = known.agg((F.sum("bits") / F.sum("n_bytes")).alias("mean")).first().mean
     per_lang = known.groupBy("lang").agg((F.sum("bits") / F.sum("n_bytes")).alias("mean"))
