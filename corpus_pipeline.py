@@ -22,21 +22,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each SimHash group.
+    """Keep one row of each SimHash group: the smallest id's, of several such rows the first by key.
 
-    Rows that repeat an id in one group count as copies: one stays.  Rows without an
-    id all stay, as nothing tells them apart from each other.
+    Groups are told apart by their root, as one id may have rows in several of them.
+    Rows without an id all stay.
     """
-    grouped = durable(simhash.near_duplicates(docs))
-    repeated = durable(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1 and doc_id is not null").select(
-        F.col("doc_id").alias("__twice")))
-    once = _without(docs, grouped.where("doc_id <> component_id")).join(repeated, F.col("doc_id") == F.col("__twice"), "left_anti")
-    # an id that several rows have may be one group's smallest and not another's
-    marked = simhash.with_fingerprints(docs.join(repeated, F.col("doc_id") == F.col("__twice"), "left_semi"), out="__fp")
-    first = grouped.where("doc_id = component_id").join(repeated, F.col("doc_id") == F.col("__twice"), "left_semi").select(
-        F.col("doc_id").alias("__id"), F.col("fp").alias("__print")).distinct()
-    several = marked.join(first, (F.col("doc_id") == F.col("__id")) & (F.col("__fp") == F.col("__print")), "left_semi")
-    return once.unionAll(several.dropDuplicates(["doc_id"]).select(*docs.columns))
+    keyed = _keyed(docs)
+    grouped = durable(simhash.near_duplicates(keyed, keep=["__row"]).select("doc_id", "root", "__row"))
+    first = grouped.where("doc_id is not null").groupBy("root").agg(F.min(F.struct("doc_id", "__row")).alias("first")).select("first.__row")
+    kept = durable(first.unionAll(grouped.where("doc_id is null").select("__row")))
+    return keyed.join(kept.hint("merge"), "__row", "left_semi").select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,6 +54,11 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` and a key ``__row`` for each row, written so that rerun tasks see the same keys."""
+    return durable(docs.withColumn("__row", F.monotonically_increasing_id()))
+
+
 def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     """``docs`` but for the rejected ids; a missing id rejects nothing.
 

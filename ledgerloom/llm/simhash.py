@@ -272,18 +272,20 @@ def fingerprint_links(fps: DataFrame, tau: int = 4, col: str = "fp") -> DataFram
     return small.unionAll(across).distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = 4, tau: int = 4) -> DataFrame:
-    """(doc id, ``fp``, ``component_id``) for each row of ``docs``.
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = 4, tau: int = 4,
+                    keep: list[str] | None = None) -> DataFrame:
+    """(doc id, ``fp``, ``component_id``, ``root``) and the ``keep`` columns for each row of ``docs``.
 
-    The component is named by its smallest document id.  Rows with equal texts have
+    ``root`` is the component's smallest fingerprint.  The component is named by its smallest document id.  Rows with equal texts have
     equal fingerprints and meet without being paired.  Missing ids take part in the
     links but never name a component, unless a component has no other id: then its
     name is missing.  Missing, empty and blank texts share fingerprint zero.
     """
-    marked = durable(with_fingerprints(docs, text, "fp", k, [id_col]).withColumnRenamed(id_col, "id"))
+    keep = list(keep or [])
+    marked = durable(with_fingerprints(docs, text, "fp", k, [id_col, *keep]).withColumnRenamed(id_col, "id"))
     distinct = durable(marked.groupBy("fp").agg(F.min("id").alias("least")))
     roots = components(fingerprint_links(distinct.select("fp"), tau), "a", "b")
     rooted = distinct.join(roots, distinct.fp == roots.node, "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = durable(rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id"))
-    return marked.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    named = durable(rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id", "root"))
+    return marked.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component_id", "root", *keep)

@@ -68,6 +68,13 @@ def test_near_duplicate_stage_keeps_one_of_each_group(spark):
     assert sorted((r.doc_id for r in kept), key=str) == sorted([2, 9, None, 7], key=str)
 
 
+def test_near_duplicate_stage_keeps_one_of_each_group_under_shared_ids(spark):
+    a, b = "same words here again and again", "entirely different text about ships and harbours"
+    docs = spark.createDataFrame([(5, a), (5, b), (9, b), (5, a), (5, "a third one, on its own"), (6, a)], "doc_id bigint, text string")
+    kept = corpus_pipeline.near_duplicates(spark, docs, SMALL).collect()
+    assert sorted(tuple(r) for r in kept) == sorted([(5, a), (5, b), (5, "a third one, on its own")])
+
+
 def test_pipeline_on_nothing(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
