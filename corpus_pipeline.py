@@ -16,9 +16,10 @@ from ledgerloom.session import durable
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that the n-gram model rejects (all rows of an id, if one of them is rejected)."""
-    judged = ngram_quality.judge(docs, table(spark, sf_dir, "labels"))
-    return _without(docs, judged.where(~F.col("kept")))
+    """Drop rows that the n-gram model rejects."""
+    keyed = _keyed(docs)
+    judged = ngram_quality.judge(keyed, table(spark, sf_dir, "labels"), keep=["__row"])
+    return _without(keyed, judged.where(~F.col("kept"))).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,9 +36,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents in which a window of a benchmark item occurs (all rows of an id, if it occurs in one of them)."""
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.where("n_hit > 0"))
+    """Drop rows in which a window of a benchmark item occurs."""
+    keyed = _keyed(docs)
+    found = decontaminate.contamination(keyed, table(spark, sf_dir, "benchmark"), id_col="__row")
+    return _without(keyed, found.where("n_hit > 0")).select(*docs.columns)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,13 +61,12 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return durable(docs.withColumn("__row", F.monotonically_increasing_id()))
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """``docs`` but for the rejected ids; a missing id rejects nothing.
+def _without(keyed: DataFrame, rejected: DataFrame) -> DataFrame:
+    """``keyed`` but for the rows whose keys are rejected.
 
-    Rejected ids grow with the documents, so both sides are shuffled at every size.
+    Rejected rows grow with the documents, so both sides are shuffled at every size.
     """
-    ids = durable(rejected.select(F.col("doc_id").alias("__out")).where("__out is not null").distinct())
-    return docs.join(ids.hint("merge"), docs.doc_id == ids["__out"], "left_anti")
+    return keyed.join(durable(rejected.select("__row")).hint("merge"), "__row", "left_anti")
 
 
 STAGES = [

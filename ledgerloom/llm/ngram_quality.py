@@ -144,9 +144,12 @@ def probabilities(top: DataFrame) -> np.ndarray:
 
 
 def information(docs: DataFrame, held: Broadcast, classes: np.ndarray, id_col: str = "doc_id", text: str = "text",
-                lang: str = "lang") -> DataFrame:
-    """(id, lang, n_bytes, bits) for each row; ``held`` has the table of probabilities as bytes, of fixed size."""
-    given = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").alias("t"))
+                lang: str = "lang", keep: list[str] | None = None) -> DataFrame:
+    """(id, lang, n_bytes, bits) and the ``keep`` columns for each row; ``held`` has the table of probabilities as bytes, of fixed size."""
+    keep = list(keep or [])
+    names = [f"c{i}" for i in range(len(keep))]
+    given = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").alias("t"),
+                        *[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(held.value, np.float16)
@@ -154,15 +157,18 @@ def information(docs: DataFrame, held: Broadcast, classes: np.ndarray, id_col: s
             data, offsets = utf8(b.column("t"))
             total = np.concatenate([[0.0], np.cumsum(table[grams(data, offsets, classes)], dtype=np.float64)])
             yield pa.RecordBatch.from_arrays(
-                [b.column("id"), b.column("lang"), pa.array(np.diff(offsets)), pa.array(total[offsets[1:]] - total[offsets[:-1]])],
-                ["id", "lang", "n_bytes", "bits"])
+                [b.column("id"), b.column("lang"), pa.array(np.diff(offsets)), pa.array(total[offsets[1:]] - total[offsets[:-1]]),
+                 *(b.column(n) for n in names)],
+                ["id", "lang", "n_bytes", "bits", *names])
 
-    return given.mapInArrow(run, f"id {dict(given.dtypes)['id']}, lang string, n_bytes bigint, bits double")
+    kinds = dict(given.dtypes)
+    made = given.mapInArrow(run, ", ".join([f"id {kinds['id']}, lang string, n_bytes bigint, bits double", *(f"{n} {kinds[n]}" for n in names)]))
+    return made.select("id", "lang", "n_bytes", "bits", *[F.col(n).alias(c) for c, n in zip(keep, names, strict=True)])
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang",
-          label: str = "quality") -> DataFrame:
-    """(id, lang, n_bytes, bits, perplexity, low, high, kept) for each row of ``docs``.
+          label: str = "quality", keep: list[str] | None = None) -> DataFrame:
+    """(id, lang, n_bytes, bits, perplexity, low, high, kept) and the ``keep`` columns for each row of ``docs``.
 
     Trusted are rows with label 1.  Languages without trusted rows, and a missing
     language, get the limits of all trusted rows; without any trusted row everything
@@ -175,7 +181,7 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     trusted = named.join(good.hint("merge"), F.col("id") == F.col("good"), "left_semi").select("t")
     table = probabilities(durable(count_grams(trusted, classes))).tobytes()
     held = docs.sparkSession.sparkContext.broadcast(table)
-    raw = durable(information(docs, held, classes, id_col, text, lang))
+    raw = durable(information(docs, held, classes, id_col, text, lang, keep))
     held.destroy()  # the written rows are all that is needed from here on
     known = raw.join(good, F.col("id") == F.col("good"), "left_semi").where("n_bytes > 0")
     total = known.agg((F.sum("bits") / F.sum("n_bytes")).alias("mean")).first().mean
@@ -193,4 +199,4 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     return shrunk(raw).join(limits, "lang", "left").select(
         F.col("id").alias(id_col), F.col("lang").alias(lang), "n_bytes", "bits", F.pow(F.lit(2.0), "rate").alias("perplexity"),
         F.pow(F.lit(2.0), low).alias("low"), F.pow(F.lit(2.0), high).alias("high"),
-        F.coalesce((F.col("rate") >= low) & (F.col("rate") <= high) | (F.col("n_bytes") == 0), F.lit(True)).alias("kept"))
+        F.coalesce((F.col("rate") >= low) & (F.col("rate") <= high) | (F.col("n_bytes") == 0), F.lit(True)).alias("kept"), *(keep or []))

@@ -75,6 +75,20 @@ def test_near_duplicate_stage_keeps_one_of_each_group_under_shared_ids(spark):
     assert sorted(tuple(r) for r in kept) == sorted([(5, a), (5, b), (5, "a third one, on its own")])
 
 
+def test_stages_judge_rows_and_not_ids(spark):
+    passage = spark.read.parquet(f"{SMALL}/benchmark.parquet").first().text
+    good = [r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").where("n_chars > 500").join(
+        spark.read.parquet(f"{SMALL}/labels.parquet").where("quality = 1"), "doc_id", "left_semi").orderBy("doc_id").limit(30).collect()]
+    ids = [r.doc_id for r in spark.read.parquet(f"{SMALL}/labels.parquet").where("quality = 1").orderBy("doc_id").limit(30).collect()]
+    schema = "doc_id bigint, lang string, text string"
+    leak = spark.createDataFrame([(None, "en", passage), (None, "en", "clean"), (1, "en", "clean too"), (1, "en", passage)], schema)
+    assert sorted(r.text for r in corpus_pipeline.decontaminated(spark, leak, SMALL).collect()) == ["clean", "clean too"]
+    junk = "#%$ " * 400
+    docs = spark.createDataFrame([*((i, None, t) for i, t in zip(ids, good)), (None, None, junk), (-7, None, junk), (-7, None, good[3])], schema)
+    kept = corpus_pipeline.quality(spark, docs, SMALL).collect()
+    assert sorted(r.text for r in kept) == sorted([*good, good[3]])
+
+
 def test_pipeline_on_nothing(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
