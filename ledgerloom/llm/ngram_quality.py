@@ -1,12 +1,18 @@
-"""Quality from the perplexity under an interpolated modified Kneser-Ney n-gram model.
+"""Quality from the perplexity under an open-vocabulary word bigram model.
 
-Symbols are byte classes: the ``SYMBOLS - 2`` most frequent bytes of all texts, one class for all others, and the start of a text.  Counting is a sharded
-aggregation: each batch of trusted documents adds up its own n-grams, and the sums
-meet by n-gram.  Lower orders count distinct left neighbours of the order above.
-All orders of an n-gram share the symbol before its last one, so the counts are
-joined in shards of that symbol, and each shard yields its part of the conditional
-probabilities.  Their number is bounded by SYMBOLS ^ ORDER whatever the corpus, and
-the table of these (two bytes each) is what scoring tasks get.
+Word bigrams of all trusted texts are counted and grow with them.  Interpolated modified
+Kneser-Ney discounts pass what unseen bigrams keep on to words (by the number of distinct
+words before them), and what unseen words keep on to a spelling: a byte n-gram model of
+fixed size (``SYMBOLS`` byte classes, ``ORDER``), the only part that tasks look up in a table.
+
+Bits of a text are those of its words as spelled, which need no counts, plus a
+correction for each word and each bigram that the model knows.  Corrections are rows
+(key, bits); each document's distinct words and bigrams, with their numbers, are joined
+with them in shards of the key.  Frequent words' keys are salted.
+
+Each row belongs to one of ``FOLDS`` folds by its text and is scored by the model of
+the other folds' trusted texts.  So trusted rows, from which the limits come, are as
+new to their model as all others are to theirs.
 
 A document's bits per byte are shrunk towards its language's mean by ``PRIOR``
 bytes, as short texts scatter; it is rejected outside the language's quantiles
@@ -24,12 +30,16 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.text import chunks, utf8
+from ledgerloom.llm.text import NOT_SPACE, U64, Words, chunks, mix, utf8, word_hashes, words
 from ledgerloom.session import durable
 
 SYMBOLS = 64
 ORDER = 4
 PRIOR = 200
+FOLDS = 2
+#: keys that stand for a text's start and end, frequent words whose keys are salted, and salts of each
+START, END = U64(0x51A7_0000_0000_0001), U64(0x51A7_0000_0000_0002)
+HOT, SALTS = 1_000, 16
 #: share of trusted documents on each side of the limits, and the widening as a share of the limit
 TAIL, MARGIN = 0.001, 0.03
 TOP_BITS = 24.0
@@ -143,27 +153,173 @@ def probabilities(top: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
-def information(docs: DataFrame, held: Broadcast, classes: np.ndarray, id_col: str = "doc_id", text: str = "text",
-                lang: str = "lang", keep: list[str] | None = None) -> DataFrame:
-    """(id, lang, n_bytes, bits) and the ``keep`` columns for each row; ``held`` has the table of probabilities as bytes, of fixed size."""
-    keep = list(keep or [])
-    names = [f"c{i}" for i in range(len(keep))]
-    given = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").alias("t"),
-                        *[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)])
+def _pairs(w: Words, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, left, right, key) of each bigram, start and end of texts with words included."""
+    rows = np.flatnonzero(w.per_row)
+    ends = np.cumsum(w.per_row[rows])
+    left, right = np.insert(h, ends - w.per_row[rows], START), np.insert(h, ends, END)
+    with np.errstate(over="ignore"):
+        key = mix(left * U64(0x9E3779B97F4A7C15) + mix(right))
+    return np.repeat(rows, w.per_row[rows] + 1), left, right, key
+
+
+def _spelled(w: Words, at: np.ndarray, tables: list[np.ndarray], classes: np.ndarray) -> list[np.ndarray]:
+    """Bits of the words at these indexes by each table, from a space before to the space after them."""
+    if not len(at):
+        return [np.zeros(0) for _ in tables]
+    size = w.end[at] - w.start[at] + 2
+    offsets = np.concatenate([[0], np.cumsum(size)])
+    place = np.arange(offsets[-1]) - np.repeat(offsets[:-1], size)
+    inner = (place > 0) & (place < np.repeat(size, size) - 1)
+    flat = np.full(offsets[-1], 0x20, np.uint8)
+    flat[inner] = w.data[(np.repeat(w.start[at], size) + place - 1)[inner]]
+    g = grams(flat, offsets, classes)
+    return [np.add.reduceat(np.where(place > 0, t[g].astype(np.float64), 0.0), offsets[:-1]) for t in tables]
+
+
+def _tables(held: Broadcast) -> list[np.ndarray]:
+    return np.split(np.frombuffer(held.value, np.float16), FOLDS)
+
+
+def count_words(texts: DataFrame, held: Broadcast, classes: np.ndarray) -> DataFrame:
+    """(v, w, n0, n1 .., s0, s1 ..): bigram counts of each fold; rows without v have a word's spelling bits by each fold's table."""
+    folds = range(FOLDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.frombuffer(held.value, np.float16)
+        tables = _tables(held)
         for b in chunks(batches, "t"):
-            data, offsets = utf8(b.column("t"))
-            total = np.concatenate([[0.0], np.cumsum(table[grams(data, offsets, classes)], dtype=np.float64)])
+            w = words(*utf8(b.column("t")), NOT_SPACE)
+            h = word_hashes(w)[0]
+            row, left, right, key = _pairs(w, h)
+            fold = b.column("fold").to_numpy()[row]
+            with np.errstate(over="ignore"):
+                _, at, n = np.unique(mix(key + fold.astype(U64)), return_index=True, return_counts=True)
+            known, first = np.unique(h, return_index=True)
+            some, none = np.zeros(len(at), bool), np.ones(len(known), bool)
+            numbers = [np.concatenate([np.where(fold[at] == f, n, 0), np.zeros(len(known), np.int64)]) for f in folds]
+            spelled = [np.concatenate([np.zeros(len(at)), x]) for x in _spelled(w, first, tables, classes)]
             yield pa.RecordBatch.from_arrays(
-                [b.column("id"), b.column("lang"), pa.array(np.diff(offsets)), pa.array(total[offsets[1:]] - total[offsets[:-1]]),
-                 *(b.column(n) for n in names)],
-                ["id", "lang", "n_bytes", "bits", *names])
+                [pa.array(np.concatenate([left[at].view(np.int64), known.view(np.int64)]), mask=np.concatenate([some, none])),
+                 pa.array(np.concatenate([right[at], known]).view(np.int64)), *map(pa.array, numbers), *map(pa.array, spelled)],
+                ["v", "w", *(f"n{f}" for f in folds), *(f"s{f}" for f in folds)])
+
+    made = texts.mapInArrow(run, ", ".join(["v bigint, w bigint", *(f"n{f} bigint" for f in folds), *(f"s{f} double" for f in folds)]))
+    return made.groupBy("v", "w").agg(*[F.sum(f"n{f}").alias(f"n{f}") for f in folds], *[F.max(f"s{f}").alias(f"s{f}") for f in folds])
+
+
+def corrections(counted: DataFrame) -> tuple[DataFrame, list[float], list[float], list[int]]:
+    """Rows (key, d0, d1 ..) to add to the spelled bits under each fold's model, with bigrams hashed by the
+    columns v and w; then what each word and each text costs besides, and the most frequent words."""
+    folds = range(FOLDS)
+    pairs = counted.where("v is not null")
+    # what the model for a fold has seen: all other folds
+    seen = pairs.select("v", "w", *[sum((F.col(f"n{g}") for g in folds if g != f), F.lit(0)).alias(f"n{f}") for f in folds])
+    levels = lambda d, c: [[F.count(F.when(F.col(f"{c}{f}") == k, 1)).alias(f"{c}{f}_{k}") for k in (1, 2, 3, 4)] for f in folds]
+    off = lambda d, n: F.element_at(F.array(*[F.lit(float(x)) for x in d]), (F.least(n, F.lit(3)) + 1).cast("int"))
+    of = seen.agg(*sum(levels(seen, "n"), []), *[F.count(F.when(F.col(f"n{f}") > 0, 1)).alias(f"types{f}") for f in folds]).first()
+    cut2 = [_discounts(np.array([of[f"n{f}_{k}"] for k in (1, 2, 3, 4)])) for f in folds]
+    types = [max(of[f"types{f}"], 1) for f in folds]
+    context = seen.groupBy("v").agg(*[F.sum(f"n{f}").alias(f"c{f}") for f in folds], *[
+        F.sum(off(cut2[f], F.col(f"n{f}"))).alias(f"o{f}") for f in folds]).select(
+        F.col("v").alias("key"), *[f"c{f}" for f in folds], *[
+            F.when(F.col(f"c{f}") > 0, F.greatest(F.col(f"o{f}") / F.col(f"c{f}"), F.lit(1e-9))).otherwise(1.0).alias(f"keep{f}") for f in folds])
+    after = seen.groupBy("w").agg(*[F.count(F.when(F.col(f"n{f}") > 0, 1)).alias(f"k{f}") for f in folds])
+    of = after.agg(*sum(levels(after, "k"), []), *[F.count(F.when(F.col(f"k{f}") > 2, 1)).alias(f"more{f}") for f in folds]).first()
+    cut1 = [_discounts(np.array([of[f"k{f}_{k}"] for k in (1, 2, 3, 4)])) for f in folds]
+    free = [float(cut1[f][1] * of[f"k{f}_1"] + cut1[f][2] * of[f"k{f}_2"] + cut1[f][3] * of[f"more{f}"]) / types[f] for f in folds]
+    free = [max(x, 1e-9) if of[f"k{f}_1"] + of[f"k{f}_2"] + of[f"more{f}"] else 1.0 for f, x in enumerate(free)]
+    spelling = counted.where("v is null").select(F.col("w").alias("key"), *[f"s{f}" for f in folds])
+    both = after.withColumnRenamed("w", "key").join(spelling, "key", "left").join(context, "key", "full")
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    # the end of a text is no word and has no spelling
+    unknown = [-np.log2(free[f]) + zero(F.col(f"s{f}")) for f in folds]
+    one = durable(both.select("key", *sum([[
+        F.when(F.col(f"k{f}") > 0, -F.log2((F.col(f"k{f}") - off(cut1[f], F.col(f"k{f}"))) / types[f] + F.pow(F.lit(2.0), -unknown[f]))).otherwise(
+            unknown[f]).alias(f"b{f}"), unknown[f].alias(f"u{f}"),
+        F.coalesce(F.col(f"c{f}"), F.lit(0)).alias(f"c{f}"), F.coalesce(f"keep{f}", F.lit(1.0)).alias(f"keep{f}")] for f in folds], [])))
+    words_ = one.select(F.lit(None).cast("bigint").alias("v"), F.col("key").alias("w"), *[
+        (F.col(f"b{f}") - F.col(f"u{f}") - F.log2(f"keep{f}")).alias(f"d{f}") for f in folds])
+    pair = seen.join(one.select(F.col("key").alias("v"), *[f"c{f}" for f in folds], *[f"keep{f}" for f in folds]), "v").join(
+        one.select(F.col("key").alias("w"), *[f"b{f}" for f in folds]), "w")
+    likely = lambda f: (F.col(f"n{f}") - off(cut2[f], F.col(f"n{f}"))) / F.col(f"c{f}") + F.col(f"keep{f}") * F.pow(F.lit(2.0), -F.col(f"b{f}"))
+    two = pair.select("v", "w", *[F.when(F.col(f"n{f}") > 0, -F.log2(F.greatest(likely(f), F.lit(1e-300))) + F.log2(f"keep{f}") - F.col(
+        f"b{f}")).otherwise(0.0).alias(f"d{f}") for f in folds])
+    edge = {r.key: r for r in one.where(F.col("key").isin([int(x.view(np.int64)) for x in (START, END)])).collect()}
+    first, last = (edge.get(int(x.view(np.int64))) for x in (START, END))
+    text = [(-np.log2(first[f"keep{f}"]) + last[f"b{f}"]) if first and last else 0.0 for f in folds]
+    hot = [r.key for r in one.orderBy(F.desc(sum((F.col(f"c{f}") for f in folds), F.lit(0))), "key").limit(HOT).collect()]
+    return words_.unionAll(two), [float(-np.log2(x)) for x in free], [float(x) for x in text], hot
+
+
+def _keyed(rows: DataFrame, hot: list[int]) -> DataFrame:
+    """The corrections by the keys that ``document_keys`` gives, a frequent word's once for each salt."""
+    names = [f"d{f}" for f in range(FOLDS)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.array(sorted(hot), np.int64)
+        for b in batches:
+            v, w = b.column("v"), b.column("w").to_numpy()
+            single = v.is_null().to_numpy(zero_copy_only=False)
+            left = v.fill_null(0).to_numpy().view(U64)
+            with np.errstate(over="ignore"):
+                key = np.where(single, w.view(U64), mix(left * U64(0x9E3779B97F4A7C15) + mix(w.view(U64)))).view(np.int64)
+            times = np.where(single & np.isin(w, known), SALTS, 1)
+            at = np.repeat(np.arange(len(key)), times)
+            salt = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
+            yield pa.RecordBatch.from_arrays([pa.array(key[at] ^ (salt << 40)), *(b.column(n).take(pa.array(at)) for n in names)], ["key", *names])
 
-    kinds = dict(given.dtypes)
-    made = given.mapInArrow(run, ", ".join([f"id {kinds['id']}, lang string, n_bytes bigint, bits double", *(f"{n} {kinds[n]}" for n in names)]))
-    return made.select("id", "lang", "n_bytes", "bits", *[F.col(n).alias(c) for c, n in zip(keep, names, strict=True)])
+    return rows.mapInArrow(run, ", ".join(["key bigint", *(f"{n} double" for n in names)]))
+
+
+def document_keys(docs: DataFrame, hot: list[int]) -> DataFrame:
+    """(key, row, n) for each distinct word and bigram of each row of ``docs`` (``t``, ``row``)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.array(sorted(hot), np.int64)
+        for b in chunks(batches, "t"):
+            w = words(*utf8(b.column("t")), NOT_SPACE)
+            h = word_hashes(w)[0]
+            in_pair, _, _, pair = _pairs(w, h)
+            rows, key = np.concatenate([w.row, in_pair]), np.concatenate([h, pair])
+            with np.errstate(over="ignore"):
+                _, at, n = np.unique(mix(key + rows.astype(U64) * U64(0xD1B54A32D192ED03)), return_index=True, return_counts=True)
+            row, key = b.column("row").to_numpy()[rows[at]], key[at].view(np.int64)
+            salted = (at < len(h)) & np.isin(key, known)
+            key = np.where(salted, key ^ (row % SALTS << 40), key)
+            for i in range(0, len(key), 50_000):
+                part = slice(i, i + 50_000)
+                yield pa.RecordBatch.from_arrays([pa.array(key[part]), pa.array(row[part]), pa.array(n[part].astype(np.int32))], ["key", "row", "n"])
+
+    return docs.select("t", "row").mapInArrow(run, "key bigint, row bigint, n int")
+
+
+def spelled(docs: DataFrame, held: Broadcast, classes: np.ndarray, per_word: list[float], per_text: list[float]) -> DataFrame:
+    """(row, n_bytes, bits) for each row of ``docs`` (``t``, ``row``, ``fold``): bits before corrections.
+
+    Space is by the byte tables too, but for the one space that ends a word, which its spelling has.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = _tables(held)
+        for b in chunks(batches, "t"):
+            data, offsets = utf8(b.column("t"))
+            w = words(data, offsets, NOT_SPACE)
+            _, first, which = np.unique(word_hashes(w)[0], return_index=True, return_inverse=True)
+            gap = ~NOT_SPACE[data]
+            gap[w.end[w.end < len(data)]] &= data[w.end[w.end < len(data)]] != 0x20
+            starts = offsets[:-1][(offsets[:-1] < len(data)) & (np.diff(offsets) > 0)]
+            gap[starts] = ~NOT_SPACE[data[starts]]
+            at = np.flatnonzero(gap)
+            in_row = np.searchsorted(offsets, at, side="right") - 1
+            g, n, fold = grams(data, offsets, classes)[at], b.num_rows, b.column("fold").to_numpy()
+            bits = np.zeros(n)
+            for f, (table, word) in enumerate(zip(tables, _spelled(w, first, tables, classes), strict=True)):
+                total = np.bincount(w.row, word[which], n) + np.bincount(in_row, table[g].astype(np.float64), n)
+                total += w.per_row * per_word[f] + np.where(w.per_row > 0, per_text[f], 0.0)
+                bits = np.where(fold == f, total, bits)
+            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(np.diff(offsets)), pa.array(bits)], ["row", "n_bytes", "bits"])
+
+    return docs.select("t", "row", "fold").mapInArrow(run, "row bigint, n_bytes bigint, bits double")
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang",
@@ -174,14 +330,25 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     language, get the limits of all trusted rows; without any trusted row everything
     is kept.  Empty and missing texts are at their language's mean and kept.
     """
+    keep = list(keep or [])
     good = labels.where(F.col(label) == 1).select(F.col(id_col).alias("good")).distinct()
-    named = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("t"))
-    classes = alphabet(named.select("t"))
+    marked = durable(docs.select(
+        F.col(f"`{id_col}`").alias("id"), F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").alias("t"),
+        F.pmod(F.xxhash64(F.col(f"`{text}`")), F.lit(FOLDS)).cast("int").alias("fold"), F.monotonically_increasing_id().alias("row"),
+        *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)]))
+    classes = alphabet(marked.select("t"))
     # the same join at every size: labels grow with the documents
-    trusted = named.join(good.hint("merge"), F.col("id") == F.col("good"), "left_semi").select("t")
-    table = probabilities(durable(count_grams(trusted, classes))).tobytes()
-    held = docs.sparkSession.sparkContext.broadcast(table)
-    raw = durable(information(docs, held, classes, id_col, text, lang, keep))
+    trusted = durable(marked.join(good.hint("merge"), F.col("id") == F.col("good"), "left_semi").select("t", "fold"))
+    tables = [probabilities(durable(count_grams(trusted.where(F.col("fold") != f).select("t"), classes))).tobytes() for f in range(FOLDS)]
+    held = docs.sparkSession.sparkContext.broadcast(b"".join(tables))
+    del tables
+    model, per_word, per_text, hot = corrections(durable(count_words(trusted, held, classes)))
+    hits = document_keys(marked, hot).join(_keyed(model, hot).hint("merge"), "key")
+    fixed = hits.groupBy("row").agg(*[F.sum(F.col("n") * F.col(f"d{f}")).alias(f"d{f}") for f in range(FOLDS)])
+    base = spelled(marked, held, classes, per_word, per_text)
+    own = F.element_at(F.array(*[F.coalesce(f"d{f}", F.lit(0.0)) for f in range(FOLDS)]), F.col("fold") + 1)
+    raw = durable(marked.drop("t").join(base.hint("merge"), "row").join(fixed.hint("merge"), "row", "left").select(
+        "id", "lang", "n_bytes", F.greatest(F.col("bits") + own, F.lit(0.0)).alias("bits"), *[f"k{i}" for i in range(len(keep))]))
     held.destroy()  # the written rows are all that is needed from here on
     known = raw.join(good, F.col("id") == F.col("good"), "left_semi").where("n_bytes > 0")
     total = known.agg((F.sum("bits") / F.sum("n_bytes")).alias("mean")).first().mean
@@ -199,4 +366,4 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     return shrunk(raw).join(limits, "lang", "left").select(
         F.col("id").alias(id_col), F.col("lang").alias(lang), "n_bytes", "bits", F.pow(F.lit(2.0), "rate").alias("perplexity"),
         F.pow(F.lit(2.0), low).alias("low"), F.pow(F.lit(2.0), high).alias("high"),
-        F.coalesce((F.col("rate") >= low) & (F.col("rate") <= high) | (F.col("n_bytes") == 0), F.lit(True)).alias("kept"), *(keep or []))
+        F.coalesce((F.col("rate") >= low) & (F.col("rate") <= high) | (F.col("n_bytes") == 0), F.lit(True)).alias("kept"), *[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)])

@@ -197,6 +197,25 @@ def test_perplexity_keeps_clean_and_drops_junk(spark, table):
     assert all(r.kept for r in everything) and ngram_quality.judge(docs.limit(0), labels).count() == 0
 
 
+def test_perplexity_knows_words_and_their_order(spark, table):
+    rng = random.Random(16)
+    vocabulary = ["".join(rng.choice("aeioutnrsl") for _ in range(6)) for _ in range(60)]
+    follow = {w: rng.sample(vocabulary, 3) for w in vocabulary}
+
+    def walk(n=150):
+        out = [rng.choice(vocabulary)]
+        while len(out) < n:
+            out.append(rng.choice(follow[out[-1]]))
+        return out
+
+    clean = [" ".join(walk()) for _ in range(160)]
+    disorder = [" ".join(rng.choice(vocabulary) for _ in range(150)) for _ in range(4)]
+    docs = table([*((i, t, "en") for i, t in enumerate(clean)), *((1000 + i, t, "en") for i, t in enumerate(disorder))], SCHEMA + ", lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(0, 160, 2)], "doc_id bigint, quality int")
+    got = {r.doc_id: r.kept for r in ngram_quality.judge(docs, labels).collect()}
+    assert not any(got[1000 + i] for i in range(4)) and sum(got[i] for i in range(160)) >= 152
+
+
 def test_toxicity_learns_from_training_rows_only(spark, table):
     rng = random.Random(7)
     word = lambda: "".join(rng.choice(["an", "the", "ou", "sh", "re", "ing"]) for _ in range(3))
