@@ -16,7 +16,10 @@ new to their model as all others are to theirs.
 
 A document's bits per byte are shrunk towards its language's mean by ``PRIOR``
 bytes, as short texts scatter; it is rejected outside the language's quantiles
-over all trusted documents, widened by a margin.
+over all trusted documents, widened by a margin.  With few trusted rows quantiles are
+just the least and the greatest; they are blended, by the number of rows, with limits
+that take the scatter around the language's mean from all languages and are no
+narrower than the limits of all trusted rows.
 """
 
 from __future__ import annotations
@@ -42,6 +45,8 @@ START, END = U64(0x51A7_0000_0000_0001), U64(0x51A7_0000_0000_0002)
 HOT, SALTS = 1_000, 16
 #: share of trusted documents on each side of the limits, and the widening as a share of the limit
 TAIL, MARGIN = 0.001, 0.03
+#: trusted rows at which a language's own quantiles weigh as much as the wider limits, and those in standard deviations
+ENOUGH, FAR = 1_000, 3.1
 TOP_BITS = 24.0
 LARGEST = np.iinfo(np.int32).max
 
@@ -356,11 +361,24 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     means = durable(per_lang.where("lang is not null"))
     shrunk = lambda d: d.join(means, "lang", "left").withColumn(
         "rate", (F.col("bits") + PRIOR * F.coalesce("mean", F.lit(total or 0.0))) / (F.col("n_bytes") + PRIOR))
-    rates = durable(shrunk(known).select("lang", "rate"))
-    edges = F.percentile_approx("rate", [TAIL, 1 - TAIL], 100_000)
-    cut = rates.agg(edges.alias("e")).first().e or [None, None]
-    limits = durable(rates.where("lang is not null").groupBy("lang").agg(edges.alias("e")).select(
-        "lang", F.col("e")[0].alias("low"), F.col("e")[1].alias("high")))
+    rates = durable(shrunk(known).select("lang", "rate", (F.col("rate") / F.coalesce("mean", F.lit(total or 0.0))).alias("share")))
+    edges = lambda c: F.percentile_approx(c, [TAIL, 1 - TAIL], 100_000)
+    spread = rates.agg(F.count("rate").alias("n"), F.avg("rate").alias("mean"), F.stddev("rate").alias("sd"), edges("rate").alias("e"),
+                       edges("share").alias("s"), F.stddev("share").alias("sd_share")).first()
+    cut, low_share, high_share = [None, None], 1.0, 1.0
+    if spread.n:
+        far, own = FAR * (1 + 1 / spread.n) ** 0.5, spread.n / (spread.n + ENOUGH)
+        wide = [min(spread.e[0], spread.mean - far * (spread.sd or 0.0)), max(spread.e[1], spread.mean + far * (spread.sd or 0.0))]
+        cut = [own * e + (1 - own) * w for e, w in zip(spread.e, wide, strict=True)]
+        low_share = min(spread.s[0], 1 - FAR * (spread.sd_share or 0.0)) - 1
+        high_share = max(spread.s[1], 1 + FAR * (spread.sd_share or 0.0)) - 1
+    # how far a language's texts scatter around its mean is taken from all languages until it has enough of its own
+    of_lang = rates.where("lang is not null").groupBy("lang").agg(F.count("rate").alias("n"), edges("rate").alias("e")).join(means, "lang")
+    own, unsure = F.col("n") / (F.col("n") + ENOUGH), F.sqrt(1 + 1 / F.col("n"))
+    limits = durable(of_lang.select(
+        "lang",
+        (own * F.col("e")[0] + (1 - own) * F.least(F.col("mean") * (1 + low_share * unsure), F.lit(cut[0]))).alias("low"),
+        (own * F.col("e")[1] + (1 - own) * F.greatest(F.col("mean") * (1 + high_share * unsure), F.lit(cut[1]))).alias("high")))
     low, high = (F.coalesce(c, F.lit(v).cast("double")) * m for c, v, m in (
         ("low", cut[0], 1 - MARGIN), ("high", cut[1], 1 + MARGIN)))
     return shrunk(raw).join(limits, "lang", "left").select(

@@ -216,6 +216,17 @@ def test_perplexity_knows_words_and_their_order(spark, table):
     assert not any(got[1000 + i] for i in range(4)) and sum(got[i] for i in range(160)) >= 152
 
 
+@pytest.mark.parametrize("labelled", [1, 3])
+def test_perplexity_keeps_clean_texts_of_a_rare_language(spark, table, labelled):
+    rng = random.Random(17)
+    say = lambda parts, n: " ".join("".join(rng.choice(parts) for _ in range(3)) for _ in range(n))
+    rows = [(i, say(["an", "the", "ou", "sh", "re", "ing"], rng.randint(60, 200)), "en") for i in range(150)]
+    rows += [(1000 + i, say(["ав", "при", "ост", "ени", "же", "сь", "ли"], rng.randint(20, 200)), "ru") for i in range(30)]
+    labels = spark.createDataFrame([*((i, 1) for i in range(0, 150, 2)), *((1000 + i, 1) for i in range(labelled))], "doc_id bigint, quality int")
+    got = {r.doc_id: r.kept for r in ngram_quality.judge(table(rows, SCHEMA + ", lang string"), labels).collect()}
+    assert [i for i in got if i >= 1000 and not got[i]] == []
+
+
 def test_toxicity_learns_from_training_rows_only(spark, table):
     rng = random.Random(7)
     word = lambda: "".join(rng.choice(["an", "the", "ou", "sh", "re", "ing"]) for _ in range(3))
