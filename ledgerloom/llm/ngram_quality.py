@@ -19,7 +19,8 @@ bytes, as short texts scatter; it is rejected outside the language's quantiles
 over all trusted documents, widened by a margin.  With few trusted rows quantiles are
 just the least and the greatest; they are blended, by the number of rows, with limits
 that take the scatter around the language's mean from all languages and are no
-narrower than the limits of all trusted rows.
+narrower than the limits of all trusted rows.  The rate by bytes alone must be within
+its own limits, found in the same way: copies among trusted texts widen those of words.
 """
 
 from __future__ import annotations
@@ -299,7 +300,7 @@ def document_keys(docs: DataFrame, hot: list[int]) -> DataFrame:
 
 
 def spelled(docs: DataFrame, held: Broadcast, classes: np.ndarray, per_word: list[float], per_text: list[float]) -> DataFrame:
-    """(row, n_bytes, bits) for each row of ``docs`` (``t``, ``row``, ``fold``): bits before corrections.
+    """(row, n_bytes, bits, chars) for each row of ``docs`` (``t``, ``row``, ``fold``): bits before corrections, and those by bytes alone.
 
     Space is by the byte tables too, but for the one space that ends a word, which its spelling has.
     """
@@ -316,15 +317,49 @@ def spelled(docs: DataFrame, held: Broadcast, classes: np.ndarray, per_word: lis
             gap[starts] = ~NOT_SPACE[data[starts]]
             at = np.flatnonzero(gap)
             in_row = np.searchsorted(offsets, at, side="right") - 1
-            g, n, fold = grams(data, offsets, classes)[at], b.num_rows, b.column("fold").to_numpy()
-            bits = np.zeros(n)
+            every, n, fold = grams(data, offsets, classes), b.num_rows, b.column("fold").to_numpy()
+            g, bits, chars = every[at], np.zeros(n), np.zeros(n)
             for f, (table, word) in enumerate(zip(tables, _spelled(w, first, tables, classes), strict=True)):
                 total = np.bincount(w.row, word[which], n) + np.bincount(in_row, table[g].astype(np.float64), n)
                 total += w.per_row * per_word[f] + np.where(w.per_row > 0, per_text[f], 0.0)
                 bits = np.where(fold == f, total, bits)
-            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(np.diff(offsets)), pa.array(bits)], ["row", "n_bytes", "bits"])
+                sums = np.concatenate([[0.0], np.cumsum(table[every], dtype=np.float64)])
+                chars = np.where(fold == f, sums[offsets[1:]] - sums[offsets[:-1]], chars)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("row"), pa.array(np.diff(offsets)), pa.array(bits), pa.array(chars)], ["row", "n_bytes", "bits", "chars"])
+
+    return docs.select("t", "row", "fold").mapInArrow(run, "row bigint, n_bytes bigint, bits double, chars double")
 
-    return docs.select("t", "row", "fold").mapInArrow(run, "row bigint, n_bytes bigint, bits double")
+
+def _rated(rows: DataFrame, known: DataFrame, bits: str) -> DataFrame:
+    """``rows`` with their shrunk rate and its limits by the trusted rows in ``known``: <bits>_rate, <bits>_low, <bits>_high."""
+    total = known.agg((F.sum(bits) / F.sum("n_bytes")).alias("mean")).first().mean
+    per_lang = known.groupBy("lang").agg((F.sum(bits) / F.sum("n_bytes")).alias("mean"))
+    means = durable(per_lang.where("lang is not null"))
+    shrunk = lambda d: d.join(means, "lang", "left").withColumn(
+        "rate", (F.col(bits) + PRIOR * F.coalesce("mean", F.lit(total or 0.0))) / (F.col("n_bytes") + PRIOR))
+    rates = durable(shrunk(known).select("lang", "rate", (F.col("rate") / F.coalesce("mean", F.lit(total or 0.0))).alias("share")))
+    edges = lambda c: F.percentile_approx(c, [TAIL, 1 - TAIL], 100_000)
+    spread = rates.agg(F.count("rate").alias("n"), F.avg("rate").alias("mean"), F.stddev("rate").alias("sd"), edges("rate").alias("e"),
+                       edges("share").alias("s"), F.stddev("share").alias("sd_share")).first()
+    cut, low_share, high_share = [None, None], 1.0, 1.0
+    if spread.n:
+        far, own = FAR * (1 + 1 / spread.n) ** 0.5, spread.n / (spread.n + ENOUGH)
+        wide = [min(spread.e[0], spread.mean - far * (spread.sd or 0.0)), max(spread.e[1], spread.mean + far * (spread.sd or 0.0))]
+        cut = [own * e + (1 - own) * w for e, w in zip(spread.e, wide, strict=True)]
+        low_share = min(spread.s[0], 1 - FAR * (spread.sd_share or 0.0)) - 1
+        high_share = max(spread.s[1], 1 + FAR * (spread.sd_share or 0.0)) - 1
+    # how far a language's texts scatter around its mean is taken from all languages until it has enough of its own
+    of_lang = rates.where("lang is not null").groupBy("lang").agg(F.count("rate").alias("n"), edges("rate").alias("e")).join(means, "lang")
+    own, unsure = F.col("n") / (F.col("n") + ENOUGH), F.sqrt(1 + 1 / F.col("n"))
+    limits = durable(of_lang.select(
+        "lang",
+        (own * F.col("e")[0] + (1 - own) * F.least(F.col("mean") * (1 + low_share * unsure), F.lit(cut[0]))).alias("low"),
+        (own * F.col("e")[1] + (1 - own) * F.greatest(F.col("mean") * (1 + high_share * unsure), F.lit(cut[1]))).alias("high")))
+    low, high = (F.coalesce(c, F.lit(v).cast("double")) * m for c, v, m in (
+        ("low", cut[0], 1 - MARGIN), ("high", cut[1], 1 + MARGIN)))
+    return shrunk(rows).join(limits, "lang", "left").withColumns({f"{bits}_low": low, f"{bits}_high": high}).drop(
+        "mean", "low", "high").withColumnRenamed("rate", f"{bits}_rate")
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang",
@@ -353,35 +388,12 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     base = spelled(marked, held, classes, per_word, per_text)
     own = F.element_at(F.array(*[F.coalesce(f"d{f}", F.lit(0.0)) for f in range(FOLDS)]), F.col("fold") + 1)
     raw = durable(marked.drop("t").join(base.hint("merge"), "row").join(fixed.hint("merge"), "row", "left").select(
-        "id", "lang", "n_bytes", F.greatest(F.col("bits") + own, F.lit(0.0)).alias("bits"), *[f"k{i}" for i in range(len(keep))]))
+        "id", "lang", "n_bytes", F.greatest(F.col("bits") + own, F.lit(0.0)).alias("bits"), "chars", *[f"k{i}" for i in range(len(keep))]))
     held.destroy()  # the written rows are all that is needed from here on
     known = raw.join(good, F.col("id") == F.col("good"), "left_semi").where("n_bytes > 0")
-    total = known.agg((F.sum("bits") / F.sum("n_bytes")).alias("mean")).first().mean
-    per_lang = known.groupBy("lang").agg((F.sum("bits") / F.sum("n_bytes")).alias("mean"))
-    means = durable(per_lang.where("lang is not null"))
-    shrunk = lambda d: d.join(means, "lang", "left").withColumn(
-        "rate", (F.col("bits") + PRIOR * F.coalesce("mean", F.lit(total or 0.0))) / (F.col("n_bytes") + PRIOR))
-    rates = durable(shrunk(known).select("lang", "rate", (F.col("rate") / F.coalesce("mean", F.lit(total or 0.0))).alias("share")))
-    edges = lambda c: F.percentile_approx(c, [TAIL, 1 - TAIL], 100_000)
-    spread = rates.agg(F.count("rate").alias("n"), F.avg("rate").alias("mean"), F.stddev("rate").alias("sd"), edges("rate").alias("e"),
-                       edges("share").alias("s"), F.stddev("share").alias("sd_share")).first()
-    cut, low_share, high_share = [None, None], 1.0, 1.0
-    if spread.n:
-        far, own = FAR * (1 + 1 / spread.n) ** 0.5, spread.n / (spread.n + ENOUGH)
-        wide = [min(spread.e[0], spread.mean - far * (spread.sd or 0.0)), max(spread.e[1], spread.mean + far * (spread.sd or 0.0))]
-        cut = [own * e + (1 - own) * w for e, w in zip(spread.e, wide, strict=True)]
-        low_share = min(spread.s[0], 1 - FAR * (spread.sd_share or 0.0)) - 1
-        high_share = max(spread.s[1], 1 + FAR * (spread.sd_share or 0.0)) - 1
-    # how far a language's texts scatter around its mean is taken from all languages until it has enough of its own
-    of_lang = rates.where("lang is not null").groupBy("lang").agg(F.count("rate").alias("n"), edges("rate").alias("e")).join(means, "lang")
-    own, unsure = F.col("n") / (F.col("n") + ENOUGH), F.sqrt(1 + 1 / F.col("n"))
-    limits = durable(of_lang.select(
-        "lang",
-        (own * F.col("e")[0] + (1 - own) * F.least(F.col("mean") * (1 + low_share * unsure), F.lit(cut[0]))).alias("low"),
-        (own * F.col("e")[1] + (1 - own) * F.greatest(F.col("mean") * (1 + high_share * unsure), F.lit(cut[1]))).alias("high")))
-    low, high = (F.coalesce(c, F.lit(v).cast("double")) * m for c, v, m in (
-        ("low", cut[0], 1 - MARGIN), ("high", cut[1], 1 + MARGIN)))
-    return shrunk(raw).join(limits, "lang", "left").select(
-        F.col("id").alias(id_col), F.col("lang").alias(lang), "n_bytes", "bits", F.pow(F.lit(2.0), "rate").alias("perplexity"),
-        F.pow(F.lit(2.0), low).alias("low"), F.pow(F.lit(2.0), high).alias("high"),
-        F.coalesce((F.col("rate") >= low) & (F.col("rate") <= high) | (F.col("n_bytes") == 0), F.lit(True)).alias("kept"), *[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)])
+    rated = _rated(_rated(raw, known, "bits"), known, "chars")
+    inside = [(F.col(f"{b}_rate") >= F.col(f"{b}_low")) & (F.col(f"{b}_rate") <= F.col(f"{b}_high")) for b in ("bits", "chars")]
+    return rated.select(
+        F.col("id").alias(id_col), F.col("lang").alias(lang), "n_bytes", "bits", F.pow(F.lit(2.0), "bits_rate").alias("perplexity"),
+        F.pow(F.lit(2.0), "bits_low").alias("low"), F.pow(F.lit(2.0), "bits_high").alias("high"),
+        F.coalesce(inside[0] & inside[1] | (F.col("n_bytes") == 0), F.lit(True)).alias("kept"), *[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)])
