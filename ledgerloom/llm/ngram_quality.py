@@ -349,9 +349,10 @@ def _rated(rows: DataFrame, known: DataFrame, bits: str) -> DataFrame:
         cut = [own * e + (1 - own) * w for e, w in zip(spread.e, wide, strict=True)]
         low_share = min(spread.s[0], 1 - FAR * (spread.sd_share or 0.0)) - 1
         high_share = max(spread.s[1], 1 + FAR * (spread.sd_share or 0.0)) - 1
-    # how far a language's texts scatter around its mean is taken from all languages until it has enough of its own
+    # how far a language's texts scatter around its mean is taken from all languages until it has enough of its own;
+    # a model that has seen few texts of it, unevenly dealt to folds, scatters more
     of_lang = rates.where("lang is not null").groupBy("lang").agg(F.count("rate").alias("n"), edges("rate").alias("e")).join(means, "lang")
-    own, unsure = F.col("n") / (F.col("n") + ENOUGH), F.sqrt(1 + 1 / F.col("n"))
+    own, unsure = F.col("n") / (F.col("n") + ENOUGH), 1 + 3 / F.sqrt(F.col("n"))
     limits = durable(of_lang.select(
         "lang",
         (own * F.col("e")[0] + (1 - own) * F.least(F.col("mean") * (1 + low_share * unsure), F.lit(cut[0]))).alias("low"),
