@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, decontaminate, ngram_quality, pii, quality_rules, secret_scan, sentencepiece_codec, simhash, toxicity, warc
+from ledgerloom.llm import (
+    chat, decontaminate, dual_tree, ngram_quality, pii, quality_rules, secret_scan, sentencepiece_codec, sharding, simhash, toxicity, warc, whitening,
+)
 from ledgerloom.session import durable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -217,6 +219,96 @@ from d
 """
 
 
+SHARDS = 16
+
+
+@query
+def op11_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign(table(spark, sf_dir, "documents"), shards=SHARDS)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def _shards_sql(shards: int, points: int) -> str:
+    """The rounds written out: in each, the rows that are left of every arc are offered to its next shard."""
+    offer = """
+o{r} as materialized (
+  select l.arc, p.shard, l.n, l.done, coalesce(h.held, 0) held,
+    cast(sum(l.n - l.done) over (partition by p.shard order by l.arc) - (l.n - l.done) as bigint) ahead
+  from l{r} l join prefs p on p.arc = l.arc and p.turn = {r} left join h{r} h on h.shard = p.shard),
+t{r} as materialized (
+  select o.arc, o.shard, o.n, o.done, greatest(0, least(o.n - o.done, c.room - o.held - o.ahead)) take, o.held + least(o.ahead, c.room - o.held) slot
+  from o{r} o join caps c using (shard)),
+l{q} as materialized (select arc, n, done + take done from t{r}),
+h{q} as materialized (select shard, cast(sum(held) as bigint) held from (
+  select shard, held from h{r} union all select shard, take from t{r}) group by 1)"""
+    rounds = ",".join(offer.format(r=r, q=r + 1) for r in range(shards))
+    parts = " union all ".join(f"select arc, shard, done first, done + take last, slot from t{r} where take > 0" for r in range(shards))
+    return f"""
+with recursive tab(n, k, c) as (
+  select cast(n as bigint), 0, cast(n as bigint) from range(256) r(n)
+  union all select n, k + 1, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end from tab where k < 8),
+crc as (select list(c order by n) steps from tab where k = 8),
+d as materialized (
+  select doc_id, octet_length(encode(coalesce(text, ''))) + 1 size,
+    xor(list_reduce(list_prepend(4294967295::bigint, [cast('0x' || b as bigint) for b in regexp_extract_all(hex(encode(coalesce(text, ''))), '..')]),
+      lambda c, b: xor(c >> 8, steps[cast(xor(c, b) & 255 as int) + 1])), 4294967295) crc,
+    cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), '')), 1, 15) as bigint) pos
+  from documents, crc),
+nodes as materialized (
+  select row_number() over (order by pos, shard) - 1 arc, pos, shard from (
+    select s.range shard, cast('0x' || substr(md5(s.range || ':' || p.range), 1, 15) as bigint) pos from range({shards}) s, range({points}) p)),
+starts as (select arc, pos from nodes union all select {shards * points}, null),
+prefs as materialized (
+  select arc, shard, row_number() over (partition by arc order by away) - 1 turn from (
+    select a.arc, b.shard, min((b.arc - a.arc + {shards * points}) % {shards * points}) away from starts a, nodes b group by 1, 2)),
+placed as materialized (
+  select *, row_number() over (partition by arc order by pos, doc_id nulls first, size, crc) - 1 rank
+  from (select d.*, coalesce(n.arc, {shards * points}) arc from d asof left join nodes n on d.pos <= n.pos)),
+l0 as materialized (select arc, count(*) n, 0::bigint done from placed group by 1),
+h0 as materialized (select range shard, 0::bigint held from range({shards})),
+caps as (select range shard, n // {shards} + case when range < n % {shards} then 1 else 0 end room from range({shards}), (select count(*) n from d)),
+{rounds.strip()},
+parts as ({parts})
+select doc_id, cast(size as bigint) size, cast(crc as bigint) text_crc32, 'rows' law, cast(p.shard as integer) shard,
+  cast(slot + rank - first as bigint) slot, cast(null as integer) grown_shard
+from placed join parts p on p.arc = placed.arc and rank >= first and rank < last
+"""
+
+
+ORACLES["op11_ring_shards"] = _shards_sql(SHARDS, sharding.POINTS)
+
+
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dual_tree.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op13_ranked_search"] = r"""
+with d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') w from documents),
+b as (
+  select row_number() over () i, item_id, list_distinct(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) w from benchmark),
+k as materialized (select row_number() over () r, doc_id, len(w) n, w from d where len(w) > 0),
+a as (select count(*) docs, cast(sum(n) as bigint) length from k),
+f as materialized (select r, t, count(*) tf from (select r, unnest(w) t from k) group by 1, 2),
+g as (select t, cast(floor(1000 * ln((2.0::double * docs + 2) / (2 * count(*) + 1))) as bigint) weight from f, a group by t, docs),
+q as (select i, item_id, unnest(w) t from b),
+s as (
+  select q.i, q.item_id, k.r, k.doc_id,
+    cast(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * k.n * docs) // length)))) as bigint) score
+  from q join g using (t) join f using (t) join k on k.r = f.r, a group by 1, 2, 3, 4),
+o as (select *, row_number() over (partition by i order by score desc, doc_id nulls last) place from s where score > 0)
+select item_id, cast(place as integer) "rank", doc_id, score from o where place <= 10
+"""
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
