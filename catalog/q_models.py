@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from catalog.preset_sql import measure
 from catalog.registry import S, Tables, query
 from ledgerloom.operators import modelling as M
+from ledgerloom.operators import neighbours as N
 from ledgerloom.operators import udfs as U
 from ledgerloom.plans.scoring import train_and_score as run_training
 from ledgerloom.sources import io
+from ledgerloom.sources.schemas import COLUMNS
 
 APP = S("application")
 KEY = "SK_ID_CURR"
@@ -163,6 +165,40 @@ def mutual_info_k_best(t):
     return M.mutual_info_top(train, MI_FEATURES)
 
 
+NUMERIC = [c for c in COLUMNS["application"]["int"] if c != "TARGET"] + COLUMNS["application"]["num"]
+
+
+def _neighbours_sql(k: int) -> str:
+    """Distances from sorted rows, ranges by inequality join, psi(m) as a sum of 1/i."""
+    near = ", ".join(f"abs(value - {f}(value, {j}) over w)" for j in range(1, k + 1) for f in ("lag", "lead"))
+    return f"""
+with a as (select TARGET, {', '.join(f'cast({c} as double) as {c}' for c in NUMERIC)} from {APP} where TARGET is not null),
+l as (unpivot a on {', '.join(NUMERIC)} into name feature value value),
+s as (select feature, TARGET as c, value, count(*) over (partition by feature, TARGET) as size, [{near}] as away from l
+  window w as (partition by feature, TARGET order by value)),
+d as materialized (select feature, c, value, size, least({k}, size - 1) as k, list_sort(list_filter(away, lambda x: x is not null))[least({k}, size - 1)] as r,
+  count(*) as cnt from s where size > 1 group by all),
+p as materialized (select feature, value, sum(cnt) as n from d group by 1, 2),
+m as (
+  select d.feature, d.c, d.value, sum(p.n) as m from d join p on p.feature = d.feature and p.value > d.value - r and p.value < d.value + r where r > 0 group by 1, 2, 3
+  union all select d.feature, d.c, d.value, p.n from d join p on p.feature = d.feature and p.value = d.value where r = 0),
+psi as materialized (select range as i, coalesce(sum(1 / range::double) over (order by range rows between unbounded preceding and 1 preceding), 0) - 0.57721566490153286 as v
+  from range(1, (select count(*) + 2 from a))),
+f as (select feature, sum(cnt) as n, sum(cnt * (pk.v - ps.v - pm.v)) as s from d join m using (feature, c, value)
+  join psi pk on pk.i = d.k join psi ps on ps.i = d.size join psi pm on pm.i = m.m group by 1)
+select f.feature, greatest(0, v + s / n) as mutual_information from f join psi on psi.i = n"""
+
+
+@query(_neighbours_sql(3), rnd="mutual_information")
+def mutual_information_neighbours(t):
+    return N.mutual_information_neighbours(t("application"), NUMERIC)
+
+
+@query(f"select * from ({_neighbours_sql(3)}) order by mutual_information desc, feature limit {int(0.75 * len(NUMERIC))}", rnd="mutual_information")
+def neighbours_k_best(t):
+    return N.neighbours_k_best(t("application"), NUMERIC)
+
+
 @query()
 def coefficient_importance(t):
     train, _ = prepared(t)

@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.session import durable
+
 ROWS_PER_PIECE = 1_000_000
 PIECES = 1024
 UNCUT = -1
@@ -113,3 +115,38 @@ def positions(df: DataFrame, keys: Sequence[str], order: Sequence[Column], sort_
         .withColumn(out, F.col("__local") + F.coalesce(F.col("__before"), F.lit(0)))
         .drop("__local", "__before", "__group_n", "__piece")
     )
+
+
+def sorted_pieces(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """``df`` written in ascending order of all ``order`` columns, with ``__piece`` and ``__at``, the place inside the piece.
+
+    Pieces are ranges of the whole order, found by Spark's sample of it, so no value of
+    any one column keeps its rows together.  Rows that are equal in all of ``order``
+    share a piece; where they may be many, end the order with a column that differs.
+    As the sorted table is written, later steps see the same places in every run.
+    """
+    place = F.monotonically_increasing_id()
+    written = durable(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__place", place))
+    # the id counts a partition's rows in its low 33 bits
+    return written.withColumns({"__piece": F.shiftright("__place", 33), "__at": F.col("__place").bitwiseAND(F.lit((1 << 33) - 1))}).drop("__place")
+
+
+def _before_pieces(pieces: DataFrame, size: Column) -> DataFrame:
+    """``__before`` for each piece: one row for each partition, added up in order."""
+    earlier = Window.orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = pieces.groupBy("__piece").agg(F.sum(size).alias("__size"))
+    return sizes.select("__piece", F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__before"))
+
+
+def global_positions(df: DataFrame, order: Sequence[str], out: str = "position") -> DataFrame:
+    """0-based position of each row in the order of the whole table."""
+    pieces = sorted_pieces(df, order)
+    return pieces.join(_before_pieces(pieces, F.lit(1)), "__piece").withColumn(out, F.col("__at") + F.col("__before")).drop("__piece", "__at", "__before")
+
+
+def running_total(df: DataFrame, order: Sequence[str], number: str, out: str = "total") -> DataFrame:
+    """Sum of ``number`` over all rows up to and including each one, in the order of the whole table."""
+    pieces = sorted_pieces(df, order)
+    upto = Window.partitionBy("__piece").orderBy("__at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = pieces.withColumn(out, F.sum(number).over(upto))
+    return local.join(_before_pieces(pieces, F.col(number)), "__piece").withColumn(out, F.col(out) + F.col("__before")).drop("__piece", "__at", "__before")
