@@ -4,16 +4,18 @@ from __future__ import annotations
 
 import random
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.operators import newton
 from ledgerloom.operators.gram import means, pair_sums
 from ledgerloom.operators.quantiles import value_ladder
 from ledgerloom.operators.skew import positions
@@ -126,37 +128,54 @@ class Trial:
     auc: float
 
 
-def cross_validated_auc(df: DataFrame, fit, folds: int, label: str = "TARGET") -> float:
-    """Mean held-out AUC over the folds of a frame with features, label and fold."""
-    scores = []
-    for f in range(folds):
-        model = fit(df.where(F.col("fold") != f))
-        scores.append(auc_of(model.transform(df.where(F.col("fold") == f)), label))
-    return float(np.mean(scores))
+def _arrays(df: DataFrame) -> DataFrame:
+    """``features`` as an array of doubles, written once: the shared passes read it again and again."""
+    if isinstance(df.schema["features"].dataType, VectorUDT):
+        df = df.withColumn("features", vector_to_array("features"))
+        return durable(df)
+    return df
+
+
+def _trial(params: dict, aucs: Sequence[float | None]) -> Trial:
+    known = [a for a in aucs if a is not None]
+    return Trial(params, float(np.mean(known)) if known else 0.5)
 
 
 def grid_search(df: DataFrame, label: str = "TARGET", grid_c: Sequence[float] = tuple(GRID_C),
                 grid_weights: Sequence[tuple[float, float]] = tuple(GRID_WEIGHTS), folds: int = 5) -> list[Trial]:
-    """Cross-validated AUC of every (C, class weights) pair, best first."""
-    trials = []
-    for c in grid_c:
-        for weights in grid_weights:
-            value = cross_validated_auc(df, lambda part, c=c, w=weights: fit_logistic(part, label, w, c), folds, label)
-            trials.append(Trial({"c": c, "weights": weights}, value))
-    return sorted(trials, key=lambda t: -t.auc)
+    """Cross-validated AUC of every (C, class weights) pair, best first; all fits share their passes.
 
+    A fold with one class only has no AUC and is left out of the mean.
+    """
+    candidates = [newton.Candidate(c, tuple(w)) for c in grid_c for w in grid_weights]
+    found = newton.cross_validated(_arrays(df), candidates, folds, label)
+    return sorted((_trial({"c": c.c, "weights": c.weights}, aucs) for c, _, aucs in found), key=lambda t: -t.auc)
 
-def random_search(df: DataFrame, label: str = "TARGET", trials: int = 7, seed: int = 42, valid_fold: int = 0) -> list[Trial]:
-    """Seeded draws over tolerance, iterations, C, intercept and weights, judged on a held-out fold."""
+
+def random_candidates(trials: int = 7, seed: int = 42) -> list[newton.Candidate]:
+    """Seeded draws over tolerance, iterations, C, intercept and class weights."""
     rng = random.Random(seed)
-    train, valid = df.where(F.col("fold") != valid_fold), df.where(F.col("fold") == valid_fold)
-    out = []
+    drawn = []
     for _ in range(trials):
-        params = {"tol": rng.uniform(1e-6, 1e-3), "max_iter": rng.randint(100, 2500), "c": 10 ** rng.uniform(-3, 2),
-                  "intercept": rng.random() < 0.5, "weights": (rng.uniform(0.3, 0.95), rng.uniform(4, 7))}
-        model = fit_logistic(train, label, **params)
-        out.append(Trial(params, auc_of(model.transform(valid), label)))
-    return sorted(out, key=lambda t: -t.auc)
+        tol, steps, c = rng.uniform(1e-6, 1e-3), rng.randint(100, 2500), 10 ** rng.uniform(-3, 2)
+        intercept, weights = rng.random() < 0.5, (rng.uniform(0.3, 0.95), rng.uniform(4, 7))
+        drawn.append(newton.Candidate(c, weights, intercept, tol=tol, max_iter=steps))
+    return drawn
+
+
+def random_search(df: DataFrame, label: str = "TARGET", trials: int = 7, seed: int = 42, valid_fold: int = 0) -> list[Trial]:
+    """The drawn candidates, judged on a held-out fold, best first; all fits share their passes.
+
+    A tolerance applies to a Newton step's gain relative to the objective, squared: the
+    last step from there leaves an error below it.
+    """
+    candidates = random_candidates(trials, seed)
+    rows = _arrays(df)
+    fits = newton.fit_together(rows, [replace(c, held_out=valid_fold, tol=c.tol ** 2) for c in candidates], label, fold="fold")
+    outs = [f"__s{i}" for i in range(len(fits))]
+    aucs = newton.auc_table(newton.with_scores(rows.where(F.col("fold") == valid_fold), fits, outs).select(label, *outs), outs, label)
+    params = [{"tol": c.tol, "max_iter": c.max_iter, "c": c.c, "intercept": c.intercept, "weights": c.weights} for c in candidates]
+    return sorted((_trial(p, [aucs[o]]) for p, o in zip(params, outs, strict=True)), key=lambda t: -t.auc)
 
 
 def _boosted(train: DataFrame, label: str, seed: int, max_iter: int, max_depth: int, rate: float = 0.1, held_out: str | None = None):
