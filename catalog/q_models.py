@@ -5,10 +5,12 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import functions as F
 
+from catalog.newton_sql import auc_sql, newton_ctes
 from catalog.preset_sql import measure
 from catalog.registry import S, Tables, query
 from ledgerloom.operators import modelling as M
 from ledgerloom.operators import neighbours as N
+from ledgerloom.operators import newton as W
 from ledgerloom.operators import udfs as U
 from ledgerloom.plans.scoring import train_and_score as run_training
 from ledgerloom.sources import io
@@ -24,10 +26,15 @@ def model_table(t: Tables):
 
 
 def prepared(t: Tables):
-    """Imputed, scaled, assembled training rows and unlabelled rows."""
+    """Imputed, scaled training rows and unlabelled rows, features packed, with folds."""
     train, test = M.split_by_label(model_table(t))
     train, test = M.impute_scale(train, test, FEATURES)
-    return M.assemble(train, FEATURES, [KEY, "TARGET"]), M.assemble(test, FEATURES, [KEY])
+    return M.durable(W.packed(M.stratified_folds(train, KEY), FEATURES, "TARGET", [KEY, "fold"])), W.packed(test, FEATURES, "TARGET", [KEY])
+
+
+def importance_table(t: Tables, fit: W.Fit, top: int):
+    rows = [(c, float(abs(b))) for c, b in zip(FEATURES, fit.coefficients)]
+    return t.spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature").limit(top)
 
 
 MEANS = ", ".join(f"(select avg({c}) from a where TARGET is not null) as {c}_m" for c in FEATURES)
@@ -49,26 +56,75 @@ def standard_scale(t):
     return train.unionByName(test).drop("TARGET")
 
 
-@query()
+def _dealt_sql(key: str, seed: int) -> str:
+    return f"cast('0x' || substr(md5(cast({key} as varchar) || ':{seed}'), 1, 13) as bigint)"
+
+
+D = len(FEATURES)
+#: imputed and scaled rows x0 ..., with the folds of the labelled ones
+SCALED = f"""a as materialized {APP}, f as materialized {FILLED},
+z as materialized (select {KEY}, TARGET as y, {', '.join(f"({c} - (select avg({c}) from f where TARGET is not null)) / (select stddev_pop({c}) from f where TARGET is not null) as x{i}" for i, c in enumerate(FEATURES))},
+  case when TARGET is not null then (row_number() over (partition by TARGET order by {_dealt_sql(KEY, 42)}, {KEY}) - 1) % 5 end as fold from f)"""
+XS = ", ".join(f"x{i}" for i in range(D))
+
+
+def _weighted(cond: str = "y = 1", w0: str = "w0", w1: str = "w1") -> str:
+    return f"case when {cond} then {w1} else {w0} end"
+
+
+def _linear(bias: str = f"b{D}") -> str:
+    return " + ".join([f"b{i} * x{i}" for i in range(D)] + [bias])
+
+
+def _single_sql(w0: float, w1: float) -> str:
+    rows = f"select 0 as g, y, {_weighted(w0=f'{w0}::double', w1=f'{w1}::double')} as w, 1.0::double as c, {XS}, 1.0::double as x{D} from z where y is not null"
+    return f"with {SCALED}, {newton_ctes(rows, D, 'fit')}"
+
+
+LISTED = " union all ".join(f"select '{c}' as feature, abs(b{i}) as importance from fit" for i, c in enumerate(FEATURES))
+
+
+@query(f"{_single_sql(0.525, 5.25)} {LISTED}", rnd="importance")
 def weighted_logistic_regression(t):
     train, _ = prepared(t)
-    model = M.fit_logistic(train, weights=(0.525, 5.25), c=1.0)
-    return M.coefficient_importance(train, FEATURES, model, len(FEATURES))
+    fit, = W.fit_together(train, [W.Candidate(1.0, (0.525, 5.25))])
+    return importance_table(t, fit, D)
 
 
-@query()
+GRID_SQL = ", ".join(f"({i}, {c}::double, {w0}::double, {w1}::double)" for i, (c, (w0, w1)) in enumerate((c, w) for c in M.GRID_C for w in M.GRID_WEIGHTS))
+
+
+def _grid_sql() -> str:
+    rows = f"""select i * 5 + held as g, y, {_weighted()} as w, c, {XS}, 1.0::double as x{D} from z, (values {GRID_SQL}) k(i, c, w0, w1), range(5) h(held)
+  where y is not null and fold <> held"""
+    scores = f"select g, y, {_linear()} as score from z join fit on fold = g % 5 where y is not null"
+    return f"""with {SCALED}, {newton_ctes(rows, D, 'fit')},
+per_fold as ({auc_sql(scores, 'g')})
+select c, w0 as weight_0, w1 as weight_1, avg(auc) as auc from per_fold join (values {GRID_SQL}) k(i, c, w0, w1) on i = g // 5 group by all"""
+
+
+@query(_grid_sql(), rnd="auc")
 def grid_search_cv(t):
     train, _ = prepared(t)
-    trials = M.grid_search(M.durable(M.stratified_folds(train, KEY)))
-    rows = [(x.params["c"], *x.params["weights"], x.auc) for x in trials]
+    rows = [(x.params["c"], *x.params["weights"], x.auc) for x in M.grid_search(train)]
     return t.spark.createDataFrame(rows, "c double, weight_0 double, weight_1 double, auc double")
 
 
-@query()
+DRAWN = ", ".join(f"({i}, {c.c!r}::double, {c.tol!r}::double, {c.max_iter}, {c.weights[0]!r}::double, {c.weights[1]!r}::double, {float(c.intercept)}::double)"
+                  for i, c in enumerate(M.random_candidates()))
+DRAWN = f"(values {DRAWN}) k(i, c, tol, max_iter, w0, w1, one)"
+
+
+def _drawn_ctes(where: str, name: str, chosen: str = "", source: str = "z") -> str:
+    rows = f"select i as g, y, {_weighted()} as w, c, {XS}, one as x{D} from {source}, {DRAWN} where y is not null and {where}{chosen}"
+    return newton_ctes(rows, D, name)
+
+
+@query(f"""with {SCALED}, {_drawn_ctes('fold <> 0', 'fit')}, judged as ({auc_sql(f'select g, y, {_linear()} as score from z, fit where y is not null and fold = 0', 'g')})
+select c, tol, cast(max_iter as integer) as max_iter, auc from judged join {DRAWN} on i = g""", rnd="auc")
 def random_search(t):
     train, _ = prepared(t)
-    trials = M.random_search(M.durable(M.stratified_folds(train, KEY)))
-    rows = [(x.params["c"], x.params["tol"], x.params["max_iter"], x.auc) for x in trials]
+    rows = [(x.params["c"], x.params["tol"], x.params["max_iter"], x.auc) for x in M.random_search(train)]
     return t.spark.createDataFrame(rows, "c double, tol double, max_iter int, auc double")
 
 
@@ -84,15 +140,11 @@ def roc_auc(t):
     return M.auc(scored)
 
 
-@query()
+@query(f"{_single_sql(0.525, 5.25)} select {KEY}, 1 / (1 + exp(-({_linear()}))) as score from z, fit", keys=KEY)
 def score_probability(t):
     train, test = prepared(t)
-    model = M.fit_logistic(train, weights=(0.525, 5.25))
-    return M.score(model, train.drop("TARGET").unionByName(test)).select(KEY, "score")
-
-
-def _dealt_sql(key: str, seed: int) -> str:
-    return f"cast('0x' || substr(md5(cast({key} as varchar) || ':{seed}'), 1, 13) as bigint)"
+    fit, = W.fit_together(train, [W.Candidate(1.0, (0.525, 5.25))])
+    return W.with_scores(train.drop("fold").unionByName(test), [fit], ["score"]).select(KEY, "score")
 
 
 @query(f"select {KEY}, case when {_dealt_sql(KEY, 0)} % 100 < 75 then 1 else 0 end as is_train from {APP}")
@@ -199,10 +251,11 @@ def neighbours_k_best(t):
     return N.neighbours_k_best(t("application"), NUMERIC)
 
 
-@query()
+@query(f"{_single_sql(1.0, 1.0)} select * from ({LISTED}) order by importance desc, feature limit 5", rnd="importance")
 def coefficient_importance(t):
     train, _ = prepared(t)
-    return M.coefficient_importance(train, FEATURES, M.fit_logistic(train), 5)
+    fit, = W.fit_together(train, [W.Candidate()])
+    return importance_table(t, fit, 5)
 
 
 @query(f"select TARGET::double as TARGET, count(*) as rows, count(*) / (select count(TARGET)::double from {APP}) as share from {APP} where TARGET is not null group by 1", rnd="TARGET share")
