@@ -173,33 +173,61 @@ def iterative_importance_selection(t):
     return t.spark.createDataFrame([(c,) for c in chosen], "feature string")
 
 
-def _vif_sql() -> str:
-    """Two features: both factors are s11*s22 / (s11*s22 - s12^2)."""
-    a, b = "AMT_INCOME_TOTAL", "AMT_CREDIT"
-    sums = f"select sum({a} * {a}) as s11, sum({b} * {b}) as s22, sum({a} * {b}) as s12 from {APP} where TARGET is not null"
-    return " union all ".join(f"select '{c}' as feature, s11 * s22 / (s11 * s22 - s12 * s12) as vif from ({sums})" for c in (a, b))
+NUMERIC = [c for c in COLUMNS["application"]["int"] if c != "TARGET"] + COLUMNS["application"]["num"]
+
+
+def _vif_sql(cols: list[str]) -> str:
+    """Sweeps of the gram matrix, written out: one for each column, of cells (i, j, v)."""
+    filled = ", ".join(f"coalesce({c}::double, (select avg({c}) from a)) as x{i}" for i, c in enumerate(cols))
+    sums = ", ".join(f"sum(x{i} * x{j}) as s{i}_{j}" for i in range(len(cols)) for j in range(i, len(cols)))
+    cells = ", ".join(f"{{'i': {i}, 'j': {j}, 'v': s{min(i, j)}_{max(i, j)}}}" for i in range(len(cols)) for j in range(len(cols)))
+    sweep = """
+m{q} as materialized (
+  select i, j, case when not p.v >= 1e-9 then m.v when i = {k} and j = {k} then -1 / p.v when i = {k} or j = {k} then m.v / p.v else m.v - l.v * r.v / p.v end as v
+  from m{k} m, (select v from m{k} where i = {k} and j = {k}) p, (select i as li, v from m{k} where j = {k}) l, (select j as rj, v from m{k} where i = {k}) r
+  where li = i and rj = j)"""
+    return f"""with a as materialized (select * from {APP} where TARGET is not null), x as materialized (select {filled} from a),
+g as materialized (select unnest([{cells}]) as c from (select {sums} from x)),
+c0 as materialized (select c.i as i, c.j as j, c.v as v from g), size as (select i, case when v > 0 then sqrt(v) else 1 end as s from c0 where i = j),
+m0 as materialized (select c0.i, c0.j, v / (a.s * b.s) as v from c0 join size a on a.i = c0.i join size b on b.i = c0.j),
+{','.join(sweep.format(k=k, q=k + 1) for k in range(len(cols)))},
+names as (select unnest({cols}) as feature, unnest(range({len(cols)})) as i)
+select feature, case when v < -0.5 then -v end as vif from names join (select i, v from m{len(cols)} where i = j) using (i)"""
+
+
+def filled_numbers(t: Tables):
+    train, _ = M.split_by_label(t("application").select("TARGET", *NUMERIC))
+    return M.mean_impute(train, M.train_means(train, NUMERIC))
 
 
-@query(_vif_sql(), rnd="vif")
+@query(f"select feature from ({_vif_sql(NUMERIC)}) where vif < 10")
 def vif_filter(t):
-    train, _ = M.split_by_label(model_table(t))
-    return t.spark.createDataFrame(list(M.vif(train, ["AMT_INCOME_TOTAL", "AMT_CREDIT"]).items()), "feature string, vif double")
+    """The numeric applicant columns whose factor stays below 10."""
+    return t.spark.createDataFrame([(c,) for c in M.vif_filter(filled_numbers(t), NUMERIC)], "feature string")
+
 
+def vif_table(t: Tables, cols: list[str]):
+    """Factors, missing where infinite."""
+    factors = M.vif(filled_numbers(t), cols)
+    return t.spark.createDataFrame([(c, None if v == float("inf") else v) for c, v in factors.items()], "feature string, vif double")
 
-@query(_vif_sql(), rnd="vif")
+
+@query(_vif_sql(NUMERIC), rnd="vif")
 def vif_report(t):
-    """The factors of all candidates, written as a report and read again."""
-    train, _ = M.split_by_label(model_table(t))
-    factors = M.vif(train, ["AMT_INCOME_TOTAL", "AMT_CREDIT"])
-    path = io.write_report(t.spark.createDataFrame(list(factors.items()), "feature string, vif double"), t.scratch())
+    """The factors of all numeric applicant columns, written as a report and read again."""
+    path = io.write_report(vif_table(t, NUMERIC), t.scratch())
     return t.spark.read.schema("feature string, vif double").csv(path, header=True)
 
 
-@query()
+@query(_vif_sql(NUMERIC), rnd="vif")
 def vif_filter_wide(t):
-    train, _ = M.split_by_label(model_table(t))
-    filled = M.mean_impute(train, M.train_means(train, FEATURES))
-    return t.spark.createDataFrame(list(M.vif(filled, FEATURES).items()), "feature string, vif double")
+    return vif_table(t, NUMERIC)
+
+
+@query()
+def vif_eliminate(t):
+    """What is left when the numeric applicant column with the largest factor goes, until all are below 10."""
+    return t.spark.createDataFrame([(c,) for c in M.vif_eliminate(filled_numbers(t), NUMERIC)], "feature string")
 
 
 MI_FEATURES = ["AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_GOODS_PRICE", "EXT_SOURCE_2"]
@@ -217,9 +245,6 @@ def mutual_info_k_best(t):
     return M.mutual_info_top(train, MI_FEATURES)
 
 
-NUMERIC = [c for c in COLUMNS["application"]["int"] if c != "TARGET"] + COLUMNS["application"]["num"]
-
-
 def _neighbours_sql(k: int) -> str:
     """Distances from sorted rows, ranges by inequality join, psi(m) as a sum of 1/i."""
     near = ", ".join(f"abs(value - {f}(value, {j}) over w)" for j in range(1, k + 1) for f in ("lag", "lead"))

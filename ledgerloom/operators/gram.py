@@ -1,21 +1,26 @@
 """Sums of products of all column pairs in one pass.
 
-Every task multiplies its batches' matrices and yields one row for each column; the
-rows of a column are added up in two steps, so neither the plan nor a task grows with
-the number of pairs times partitions.  The driver gets one row for each column.
+Columns are taken in tiles.  Every task multiplies its batches' matrices for one pair of
+tiles, of which it reads those columns only, and yields one row for each column pair;
+the JVM adds the rows up.  So a task holds the sums of two tiles, however many columns
+there are, and the driver gets one row for each column pair, whatever the number of rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FAN_IN = 64
+from ledgerloom.session import durable
+
+TILE = 128
+SUMS = ["xy", "x", "y", "xx", "yy", "n"]
 
 
 @dataclass
@@ -28,31 +33,50 @@ class PairSums:
     count: np.ndarray
 
 
-def pair_sums(df: DataFrame, cols: Sequence[str], shift: Sequence[float] | None = None) -> PairSums:
-    """``shift`` is taken off each column first, which keeps differences of large numbers exact."""
-    d = len(cols)
-    offset = np.zeros(d) if shift is None else np.asarray(shift, float)
+def _tile_pair(left: Sequence[int], right: Sequence[int], offset: np.ndarray):
+    """Rows (i, j, sums) for the columns ``left``, which come first, with those of ``right`` (the same tile: all pairs once)."""
+    own = left[0] == right[0]
 
-    def partial(batches):
-        total = np.zeros((4, d, d))
+    def run(batches):
+        total = np.zeros((6, len(left), len(right)))
         for batch in batches:
             x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
             here = ~np.isnan(x)
             x, m = np.where(here, x - offset, 0.0), here.astype(float)
-            total += np.stack([x.T @ x, x.T @ m, (x * x).T @ m, m.T @ m])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(d, dtype=np.int32)), pa.array([total[:, i, :].tobytes() for i in range(d)], pa.binary())], ["i", "sums"])
+            a, b = slice(0, len(left)), slice(0 if own else len(left), None)
+            xa, xb, ma, mb = x[:, a], x[:, b], m[:, a], m[:, b]
+            total += np.stack([xa.T @ xb, xa.T @ mb, ma.T @ xb, (xa * xa).T @ mb, ma.T @ (xb * xb), ma.T @ mb])
+        at = np.triu_indices(len(left)) if own else np.divmod(np.arange(len(left) * len(right)), len(right))
+        i, j = np.asarray(left, np.int32)[at[0]], np.asarray(right, np.int32)[at[1]]
+        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), *(pa.array(t[at]) for t in total)], ["i", "j", *SUMS])
+
+    return run
 
-    def added(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(v.as_py(), np.float64) for v in table.column("sums"))
-        return pa.table({"i": pa.array([key[0].as_py()], pa.int32()), "sums": pa.array([total.tobytes()], pa.binary())})
 
+def pair_sums(df: DataFrame, cols: Sequence[str], shift: Sequence[float] | None = None, tile: int = TILE) -> PairSums:
+    """``shift`` is taken off each column first, which keeps differences of large numbers exact.
+
+    Missing cells and NaN are left out pair by pair.  With more columns than a tile the
+    numbers are written first, as every pair of tiles reads its own part of them.
+    """
+    d = len(cols)
+    offset = np.zeros(d) if shift is None else np.asarray(shift, float)
     numbers = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
-    parts = numbers.mapInArrow(partial, "i int, sums binary").withColumn("part", F.spark_partition_id() % FAN_IN)
-    few = parts.groupBy("i", "part").applyInArrow(added, "i int, sums binary")
+    tiles = [list(range(a, min(a + tile, d))) for a in range(0, d, tile)]
+    if len(tiles) > 1:
+        numbers = durable(numbers)
+    schema = "i int, j int, " + ", ".join(f"{s} double" for s in SUMS)
+    parts = []
+    for at, left in enumerate(tiles):
+        for right in tiles[at:]:
+            read = left if right is left else left + right
+            parts.append(numbers.select(*[f"c{i}" for i in read]).mapInArrow(_tile_pair(left, right, offset[read]), schema))
     out = np.zeros((4, d, d))
-    for row in few.groupBy("i").applyInArrow(added, "i int, sums binary").collect():
-        out[:, row.i, :] = np.frombuffer(row.sums, np.float64).reshape(4, d)
+    if parts:
+        found = reduce(DataFrame.unionAll, parts).groupBy("i", "j").agg(*[F.sum(s).alias(s) for s in SUMS]).toPandas()
+        i, j = found["i"].to_numpy(), found["j"].to_numpy()
+        for k, (one, other) in enumerate([("xy", "xy"), ("x", "y"), ("xx", "yy"), ("n", "n")]):
+            out[k][i, j], out[k][j, i] = found[one], found[other]
     return PairSums(*out)
 
 

@@ -231,23 +231,74 @@ def gram_matrix(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
     return pair_sums(df, cols).products
 
 
-def vif(df: DataFrame, cols: Sequence[str], centred: bool = False) -> dict[str, float]:
-    """Variance inflation factor per feature; uncentred like a regression without intercept."""
+#: a column of which no larger part than this is left beside the earlier ones is their combination
+DEPENDENT = 1e-9
+
+
+def sweep_inverse(gram: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """(inverse over the independent columns, those columns) of a gram matrix with unit diagonal.
+
+    Columns are swept in order; one that is a combination of earlier ones isn't swept.
+    Rows and columns of the result that aren't independent hold no meaning.
+    """
+    a, independent = gram.astype(float).copy(), []
+    for k in range(len(a)):
+        pivot = a[k, k]
+        if pivot < DEPENDENT:
+            continue
+        column = a[:, k].copy()
+        a -= np.outer(column, column) / pivot
+        a[:, k] = a[k, :] = column / pivot
+        a[k, k] = -1.0 / pivot
+        independent.append(k)
+    return -a, independent
+
+
+def _unit_gram(df: DataFrame, cols: Sequence[str], centred: bool) -> np.ndarray:
     if centred:
         sums = pair_sums(df, cols, means(df, cols))
         gram = sums.products - sums.sums * sums.sums.T / np.maximum(sums.count, 1)
     else:
         gram = gram_matrix(df, cols)
-    # correlation scale keeps the inverse well conditioned; factors are unchanged
+    # correlation scale; factors are unchanged by it
     size = np.sqrt(np.where(np.diag(gram) > 0, np.diag(gram), 1.0))
-    inverse = np.linalg.pinv(gram / np.outer(size, size), hermitian=True)
-    return {c: float(v) for c, v in zip(cols, np.diag(gram / np.outer(size, size)) * np.diag(inverse))}
+    return gram / np.outer(size, size)
+
+
+def vif(df: DataFrame, cols: Sequence[str], centred: bool = False) -> dict[str, float]:
+    """Variance inflation factor per feature; uncentred like a regression without intercept.
+
+    A feature that is a combination of earlier ones (or all zero) has an infinite factor;
+    the others are judged without it, so the first features of a singular group can stay.
+    """
+    inverse, independent = sweep_inverse(_unit_gram(df, cols, centred))
+    return {c: float(inverse[i, i]) if i in independent else float("inf") for i, c in enumerate(cols)}
 
 
 def vif_filter(df: DataFrame, cols: Sequence[str], limit: float = 10.0) -> list[str]:
+    """Features whose factor, judged beside all others, is below ``limit``."""
     return [c for c, v in vif(df, cols).items() if v < limit]
 
 
+def vif_eliminate(df: DataFrame, cols: Sequence[str], limit: float = 10.0) -> list[str]:
+    """Features that are left when the one with the largest factor goes, again and again, until all are below ``limit``.
+
+    Of features that are combinations of each other the first ones stay; of equal factors
+    the later one goes.  One pass over the data; each step then takes one row and column
+    out of the inverse.
+    """
+    full, left = sweep_inverse(_unit_gram(df, cols, False))
+    inverse = full[np.ix_(left, left)]
+    while left:
+        worst = len(left) - 1 - int(np.argmax(np.diag(inverse)[::-1]))
+        if inverse[worst, worst] < limit:
+            break
+        inverse = inverse - np.outer(inverse[:, worst], inverse[worst]) / inverse[worst, worst]
+        inverse = np.delete(np.delete(inverse, worst, 0), worst, 1)
+        left.pop(worst)
+    return [cols[i] for i in left]
+
+
 def mutual_information(df: DataFrame, cols: Sequence[str], label: str = "TARGET", bins: int = 10) -> DataFrame:
     """Mutual information of each quantile-binned feature with a binary label.
 
