@@ -288,7 +288,23 @@ def class_balance(t):
     return M.class_balance(t("application"))
 
 
-@query()
+def _scored_sql() -> str:
+    """Binned information picks the features (others are 0 in every fit), fold 0 the candidate, all rows the coefficients."""
+    cells = ", ".join(f"""mi{i} as (select '{c}' as feature, sum(n / t * ln(n * t / (bn * cn))) as mi from (
+  select n, sum(n) over () as t, sum(n) over (partition by bin) as bn, sum(n) over (partition by y) as cn from (
+    select bin, y, count(*)::double as n from (select y, floor((rank() over (order by x{i}) - 1) * 10 / (count(*) over ())) as bin from z where y is not null) group by 1, 2)))"""
+                      for i, c in enumerate(FEATURES))
+    top = " union all ".join(f"select * from mi{i}" for i in range(D))
+    picked = ", ".join(f"x{i} * (select count(*) from top where feature = '{c}') as x{i}" for i, c in enumerate(FEATURES))
+    return f"""with {SCALED}, {cells}, top as materialized (select * from ({top}) order by mi desc, feature limit {int(0.75 * D)}),
+v as materialized (select {KEY}, y, fold, {picked} from z),
+{_drawn_ctes('fold <> 0', 'fit', source='v')}, judged as ({auc_sql(f'select g, y, {_linear()} as score from v, fit where y is not null and fold = 0', 'g')}),
+best as materialized (select g from judged order by auc desc, g limit 1),
+{_drawn_ctes('true', 'last', ' and i = (select g from best)', 'v')}
+select {KEY}, 1 / (1 + exp(-({_linear()}))) as TARGET from v, last where y is null"""
+
+
+@query(_scored_sql(), rnd="TARGET")
 def train_and_score(t):
     return run_training(model_table(t), select="mutual_information", search="random").scores
 
