@@ -349,6 +349,17 @@ def grouped_transform(t):
                                lambda s: s.cumsum()).select("user_id", "event_id", "total")
 
 
+@query("""select user_id, event_id, sum(value) over (partition by user_id order by ts, event_id rows between unbounded preceding and current row) as total
+from events""", rnd="total")
+def grouped_scan_total(t):
+    """The running total again, from runs of rows and their sums."""
+    def step(before: dict | None, rows: pd.DataFrame) -> pd.Series:
+        return rows["value"].cumsum() + (before["s"] if before else 0.0)
+
+    return U.grouped_scan(t("events").select("user_id", "event_id", "ts", "value"), ["user_id"], ["ts", "event_id"], "total",
+                          lambda rows: {"s": rows["value"].sum()}, lambda a, b: {"s": a["s"] + b["s"]}, step, "s double").select("user_id", "event_id", "total")
+
+
 @query("select o_orderkey, case when o_totalprice > 200000 then 1 else 0 end::bigint as big from orders")
 def scalar_row_function(t):
     big = U.scalar_function(_is_big, "long")

@@ -7,6 +7,12 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from ledgerloom.operators.skew import sorted_pieces
+
+#: rows of a group that a carried-state function gets at a time
+RUN = 100_000
 
 
 def grouped_map(df: DataFrame, by: str, fn: Callable[[pd.DataFrame], dict], schema: str,
@@ -58,7 +64,10 @@ def grouped_reduce(df: DataFrame, by: str, partial: Callable[[pd.DataFrame], dic
 
 def grouped_transform(df: DataFrame, by: Sequence[str], order: Sequence[str], column: str, out: str,
                       fn: Callable[[pd.Series], pd.Series]) -> DataFrame:
-    """Same-length user function over one ordered column of each group."""
+    """Same-length user function over one ordered column of each group, which must fit into a worker's memory.
+
+    ``grouped_scan`` has no such limit.
+    """
     schema = df.drop(out).withColumn(out, F.lit(0.0)).schema
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -68,6 +77,56 @@ def grouped_transform(df: DataFrame, by: Sequence[str], order: Sequence[str], co
     return df.groupBy(*by).applyInPandas(run, schema)
 
 
+def grouped_scan(df: DataFrame, by: Sequence[str], order: Sequence[str], out: str,
+                 summarise: Callable[[pd.DataFrame], dict], merge: Callable[[dict, dict], dict],
+                 step: Callable[[dict | None, pd.DataFrame], pd.Series], state: str, run: int = RUN) -> DataFrame:
+    """Same-length user function over each ordered group, with a state carried from run to run.
+
+    Rows are sorted by range over ``by`` and ``order`` together, and each group is cut into
+    runs of at most ``run`` rows, so a group may be larger than any worker's memory:
+
+    - ``summarise(rows)`` makes the state of one run by itself, a dict of ``state``'s fields;
+    - ``merge(before, after)`` makes the state of two neighbouring stretches; it must be associative;
+    - ``step(before, rows)`` yields the values (doubles) of a run's rows from the state of all rows of
+      the group before it, None for the first run.
+
+    States of a group (one for each run) are merged in one task.  ``order`` should be
+    total: rows equal in all of it stand in any order.  Rows without a key are a group.
+    """
+    by = list(by)
+    pieces = sorted_pieces(df.drop(out), [*by, *(c for c in order if c not in by)])
+    rows = pieces.withColumn("__run", F.floor(F.col("__at") / run))
+    place, columns = ["__piece", "__run"], [c for c in df.columns if c != out]
+    keys = ", ".join(f"`{c}` {t}" for c, t in df.select(*by).dtypes)
+    fields = [f.name for f in StructType.fromDDL(state).fields]
+    carried = f"{keys}, __piece bigint, __run bigint, __first boolean, {state}"
+    made = f"{keys}, __piece bigint, __run bigint, {state}"
+    def summary(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("__at")
+        return pd.DataFrame([{**pdf.iloc[0][[*by, *place]].to_dict(), **summarise(pdf[columns])}])
+
+    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(place)
+        so_far, found = None, []
+        for row in pdf.to_dict("records"):
+            found.append({**{c: row[c] for c in [*by, *place]}, "__first": so_far is None, **(so_far or {f: row[f] for f in fields})})
+            own = {f: row[f] for f in fields}
+            so_far = own if so_far is None else merge(so_far, own)
+        return pd.DataFrame(found)
+
+    def apply(pdf: pd.DataFrame, states: pd.DataFrame) -> pd.DataFrame:
+        if not len(pdf):
+            return pd.DataFrame({c: [] for c in [*columns, out]})
+        pdf = pdf.sort_values("__at")
+        first = states.iloc[0]
+        before = None if first["__first"] else {f: first[f] for f in fields}
+        return pdf[columns].assign(**{out: step(before, pdf[columns]).astype(float)})
+
+    states = rows.groupBy(*by, *place).applyInPandas(summary, made).groupBy(*by).applyInPandas(chain, carried)
+    schema = df.drop(out).withColumn(out, F.lit(0.0)).schema
+    return rows.groupBy(*by, *place).cogroup(states.groupBy(*by, *place)).applyInPandas(apply, schema)
+
+
 def scalar_function(fn: Callable[..., pd.Series], returns: str) -> Callable[..., Column]:
     """Wrap a vectorised pandas function as a column function."""
     return F.pandas_udf(fn, returns)
