@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators.aggspec import Spec, group_agg, top_rows_per_group
 from ledgerloom.operators.quantiles import value_ladder
-from ledgerloom.operators.skew import PIECES, UNCUT, split_hot_groups
+from ledgerloom.operators.skew import UNCUT, split_hot_groups
 
 
 def stat_table(df: DataFrame, keys: Sequence[str], stats: Mapping[str, tuple[str, str]]) -> DataFrame:
@@ -82,11 +82,12 @@ def ewma(df: DataFrame, cols: Sequence[str], alpha: float, by: Sequence[str], or
     earlier ones, and carry the last value forward.  Rows are numbered inside
     chunks over which a weight falls to 1e-120, so that the decay powers cannot
     overflow and a chunk needs only the closing sums of the chunk before it:
-    anything older weighs less than that, whatever ``alpha``.  Groups above ``rows_per_piece`` rows (default: the row budget of ``skew``) are cut along the
-    first order column; piece summaries are chained with at most PIECES steps.
+    anything older weighs less than that, whatever ``alpha``.  Groups above
+    ``rows_per_piece`` rows (default: the row budget of ``skew``) are cut along their
+    whole order; the summaries of a group's pieces are chained.
     """
     by, q, size = list(by), 1.0 - alpha, _chunk_rows(alpha)
-    tagged, cut = split_hot_groups(df, by, F.col(order[0]), rows_per_piece)
+    tagged, cut = split_hot_groups(df, by, [F.col(c).asc_nulls_first() for c in order], rows_per_piece)
     group = [*by, "__piece"]
     ordered = Window.partitionBy(*group).orderBy(*[F.col(c).asc_nulls_first() for c in order])
     numbered = tagged.withColumn("__rn", F.row_number().over(ordered) - 1).withColumns({
@@ -133,7 +134,7 @@ def _carry_over(local: DataFrame, by: Sequence[str], q: float, n: int) -> DataFr
     newest = [F.max_by(F.struct(*[F.col(f"__seen{i}").alias(f"s{i}") for i in range(n)]), "__rn").alias("__end"),
               F.count(F.lit(1)).alias("__rows")]
     ends = local.where(F.col("__piece") != UNCUT).groupBy(*group).agg(*newest)
-    before = Window.partitionBy(*by).orderBy("__piece").rowsBetween(-PIECES, -1)
+    before = Window.partitionBy(*by).orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
     chain = ends.withColumn("__chain", F.collect_list(F.struct("__rows", "__end")).over(before))
     empty = F.struct(F.lit(0.0).alias("num"), F.lit(0.0).alias("den"), F.lit(0).cast("long").alias("gap"))
     carries = {}

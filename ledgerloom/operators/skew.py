@@ -4,13 +4,14 @@ An ordered window needs all rows of a group in one task.  A key that owns a
 large share of the table would therefore serialise the job.  One counting pass
 over the key columns (map-side combined) tells whether any group exceeds a row
 budget.  If none does, a plain window is planned.  Otherwise the hot groups are
-cut at quantiles of the order column and tagged with a piece number, so windows
+sorted by range over their whole order and tagged with a piece number, so windows
 run per (key, piece) and the small piece totals are combined afterwards.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,7 +19,6 @@ from pyspark.sql import functions as F
 from ledgerloom.session import durable
 
 ROWS_PER_PIECE = 1_000_000
-PIECES = 1024
 UNCUT = -1
 
 
@@ -43,49 +43,39 @@ def co_locate(df: DataFrame, key: str, source: DataFrame | None = None, limit: i
     return keyed
 
 
-def _count_below(cuts: Column, value: Column, pieces: int) -> Column:
-    """Number of cut points below ``value``: binary search with halving steps."""
-    steps = [1 << i for i in reversed(range(pieces.bit_length()))]
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda found, step: F.when(
-            (found + step <= F.size(cuts)) & (F.get(cuts, found + step - 1) < value), found + step
-        ).otherwise(found),
-    )
-
-
-def split_hot_groups(df: DataFrame, keys: Sequence[str], order: Column, rows_per_piece: int | None = None,
-                     pieces: int = PIECES, source: tuple[DataFrame, Sequence[str]] | None = None) -> tuple[DataFrame, bool]:
+def split_hot_groups(df: DataFrame, keys: Sequence[str], order: Column | Sequence[Column], rows_per_piece: int | None = None,
+                     source: tuple[DataFrame, Sequence[str]] | None = None) -> tuple[DataFrame, bool]:
     """Tag rows with an order-preserving ``__piece`` number inside their group.
 
-    ``order`` must be numeric; equal order values always share a piece.  Rows of
-    groups within budget carry ``UNCUT``.  The flag says whether anything was cut.
-    ``source`` is a cheap ancestor with keys of which each group has at least as many
-    rows: if none of those is hot, ``df`` isn't computed to find that out.
+    The rows of hot groups are sorted by range over all of ``order``, of any types, into
+    as many pieces as their number asks for; so a group is cut even where its first
+    order column is constant.  Only rows that are equal in all of ``order`` always share
+    a piece.  Rows of groups within budget carry ``UNCUT``.  The flag says whether
+    anything was cut.  ``source`` is a cheap ancestor with keys of which each group has
+    at least as many rows: if none of those is hot, ``df`` isn't computed to find that out.
     """
     keys = list(keys)
+    order = [order] if isinstance(order, Column) else list(order)
     limit = ROWS_PER_PIECE if rows_per_piece is None else rows_per_piece
     if source is not None and hot_groups(source[0], source[1], limit).isEmpty():
         return df.withColumn("__piece", F.lit(UNCUT)), False
-    hot = hot_groups(df, keys, limit)
-    if hot.isEmpty():
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > limit)
+    rows = counts.agg(F.sum("__n")).first()[0]
+    if not rows:
         return df.withColumn("__piece", F.lit(UNCUT)), False
-    tagged = df.withColumn("__ord", order.cast("double"))
-    probs = [i / pieces for i in range(1, pieces)]
-    cuts_of = F.percentile_approx("__ord", probs, 10 * pieces).alias("__cuts")
     if keys:
-        cuts = tagged.select(*keys, "__ord").join(hot, keys, "left_semi").groupBy(*keys).agg(cuts_of)
-        joined = tagged.join(cuts, keys, "left")
+        named = counts.select(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)])
+        same = reduce(lambda a, c: a & c, [F.col(f"`{k}`").eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)])
+        hot, cold = df.join(named, same, "left_semi"), df.join(named, same, "left_anti").withColumn("__piece", F.lit(UNCUT).cast("bigint"))
     else:
-        joined = tagged.withColumn("__cuts", tagged.agg(cuts_of).scalar())
-    piece = F.coalesce(_count_below(F.col("__cuts"), F.col("__ord"), pieces), F.lit(0))
-    return joined.withColumn("__piece", F.when(F.col("__cuts").isNotNull(), piece).otherwise(F.lit(UNCUT))).drop(
-        "__ord", "__cuts"), True
+        hot, cold = df, None
+    sort = [*[F.col(f"`{k}`") for k in keys], *order]
+    pieces = sorted_pieces(hot, sort, -(-rows // limit)).drop("__at")
+    return pieces if cold is None else pieces.unionByName(cold), True
 
 
 def piece_offsets(df: DataFrame, keys: Sequence[str], size: Column) -> DataFrame:
-    """``__before`` and ``__group_n`` per piece: at most ``PIECES`` rows per hot group."""
+    """``__before`` and ``__group_n`` per piece: one row for each ROWS_PER_PIECE rows of a hot group."""
     totals = df.where(F.col("__piece") != UNCUT).groupBy(*keys, "__piece").agg(F.sum(size).alias("__piece_n"))
     group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     before = group.orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
@@ -100,11 +90,11 @@ def positions(df: DataFrame, keys: Sequence[str], order: Sequence[Column], sort_
               out: str = "position", rows_per_piece: int | None = None) -> DataFrame:
     """Exact 1-based position of each row in its group without one task per group.
 
-    ``sort_number`` is a numeric expression that orders like the first key of
-    ``order`` (ascending); the remaining keys break ties.
+    ``sort_number`` orders like the first key of ``order`` (ascending); hot groups are
+    cut along it and all of ``order``.
     """
     keys = list(keys)
-    tagged, cut = split_hot_groups(df, keys, sort_number, rows_per_piece)
+    tagged, cut = split_hot_groups(df, keys, [sort_number, *order], rows_per_piece)
     local = F.row_number().over(Window.partitionBy(*keys, "__piece").orderBy(*order)).cast("long")
     if not cut:
         return tagged.withColumn(out, local).drop("__piece")
@@ -117,16 +107,19 @@ def positions(df: DataFrame, keys: Sequence[str], order: Sequence[Column], sort_
     )
 
 
-def sorted_pieces(df: DataFrame, order: Sequence[str]) -> DataFrame:
+def sorted_pieces(df: DataFrame, order: Sequence[str | Column], pieces: int | None = None) -> DataFrame:
     """``df`` written in ascending order of all ``order`` columns, with ``__piece`` and ``__at``, the place inside the piece.
 
     Pieces are ranges of the whole order, found by Spark's sample of it, so no value of
-    any one column keeps its rows together.  Rows that are equal in all of ``order``
+    any one column keeps its rows together; there are as many as shuffle partitions, or
+    ``pieces`` if that is more.  Rows that are equal in all of ``order``
     share a piece; where they may be many, end the order with a column that differs.
     As the sorted table is written, later steps see the same places in every run.
     """
     place = F.monotonically_increasing_id()
-    written = durable(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__place", place))
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(pieces, *order) if pieces is not None and pieces > least else df.repartitionByRange(*order)
+    written = durable(ranged.sortWithinPartitions(*order).withColumn("__place", place))
     # the id counts a partition's rows in its low 33 bits
     return written.withColumns({"__piece": F.shiftright("__place", 33), "__at": F.col("__place").bitwiseAND(F.lit((1 << 33) - 1))}).drop("__place")
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import aggspec as A
 from ledgerloom.operators import sequences as Q
+from ledgerloom.operators import skew
 from ledgerloom.operators.quantiles import exact_quantiles
 from ledgerloom.operators.skew import positions
 
@@ -159,3 +160,32 @@ def test_latest_row_and_recent_entities(spark):
     assert sorted(map(tuple, A.latest_row(df, "e", ["day"]).collect())) == [(1, -5, 2.0), (2, -90, 3.0)]
     assert Q.recent_entities(df, "e", "day", -30).count() == 2
     assert {r["e"]: r["LAST_DAY"] for r in Q.entities_active_since(df, "e", "day").collect()} == {1: -5, 2: -90}
+
+
+@pytest.mark.parametrize("kind", ["string", "date", "int"])
+def test_hot_group_with_constant_first_order_column_is_cut(spark, kind):
+    """The pieces come from the whole order, whatever its types, and the result equals pandas."""
+    rng = np.random.default_rng(4)
+    n = 400
+    frame = pd.DataFrame({"k": ["a"] * 300 + ["b"] * 60 + [None] * 40, "t": 7, "u": rng.permutation(n), "x": rng.normal(size=n)})
+    frame.loc[rng.random(n) < 0.2, "x"] = None
+    rows = frame.astype(object).where(frame.notna(), None).values.tolist()
+    df = spark.createDataFrame(rows, "k string, t int, u int, x double").withColumn("u", F.expr({"string": "lpad(u, 5, '0')", "date": "date_add(date '2020-01-01', cast(u as int))", "int": "cast(u as int)"}[kind]))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        check_cut(df, frame)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def check_cut(df, frame):
+    tagged, cut = skew.split_hot_groups(df, ["k"], [F.col("t"), F.col("u")], 50)
+    pieces = tagged.groupBy("k").agg(F.countDistinct("__piece").alias("n"), F.max("__piece").alias("top")).collect()
+    assert cut and {r.k: r.n > 1 for r in pieces if r.k} == {"a": True, "b": True} and [r.top for r in pieces if r.k is None] == [-1]
+    got = Q.ewma(df, ["x"], 0.3, ["k"], ["t", "u"], rows_per_piece=50).toPandas()
+    want = frame.sort_values("u").groupby("k", dropna=False)["x"].transform(lambda s: s.ewm(alpha=0.3, ignore_na=False).mean())
+    order = frame["u"].argsort()
+    got = got.sort_values("u")["EXP_x"].to_numpy(float)
+    np.testing.assert_allclose(got, want.loc[frame.index[order]].to_numpy(float), rtol=1e-9)
+    placed = skew.positions(df, ["k"], [F.col("t"), F.col("u")], F.col("t"), "p", 50).toPandas().sort_values(["k", "u"])
+    assert placed.groupby("k", dropna=False)["p"].apply(list).map(lambda v: v == list(range(1, len(v) + 1))).all()
