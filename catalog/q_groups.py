@@ -58,8 +58,9 @@ def group_stat_join_back(t):
     return Q.group_stats(t("bureau"), ["CREDIT_TYPE", "CREDIT_ACTIVE"], STATS).select("SK_ID_BUREAU", *STATS)
 
 
-INTER_KEYS = [["CODE_GENDER", "NAME_FAMILY_STATUS", "NAME_INCOME_TYPE"], ["OCCUPATION_TYPE", "ORGANIZATION_TYPE"]]
-INTER_SPEC = {"EXT_SOURCE_1": ["mean", "max", "min"], "AMT_ANNUITY": ["mean", "max", "min"]}
+# two of the columns are sums that only the applicant preset makes; raw columns stand for them here
+INTER_KEYS = specs.INTERACTION_KEYS
+INTER_SPEC = {c.replace("APARTMENTS_SUM", "APARTMENTS"): fns for c, fns in specs.INTERACTION_SPEC.items()}
 
 
 def _interaction_sql() -> str:
@@ -79,20 +80,28 @@ def categorical_interaction_stats(t):
     return out.select("SK_ID_CURR", *[o for _, stats in Q.interaction_spec(INTER_KEYS, INTER_SPEC) for o in stats])
 
 
-CTAR = ["EXT_SOURCE_1", "DAYS_REGISTRATION"]
-CTAR_STATS = {f"CTAR_{c}_{fn.upper()}": (c, fn) for c in CTAR for fn in ("mean", "median", "std")}
+# texts that both engines read; the three columns of other tables are aggregated from them
+CTAR = {c: c for c in ("EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3", "DAYS_REGISTRATION", "DAYS_EMPLOYED", "DAYS_BIRTH",
+                       "BUREAU_ACTIVE_DAYS_CREDIT_MEAN", "APPROVED_CNT_PAYMENT_MEAN", "INS_DAYS_ENTRY_PAYMENT_MAX")} | {
+    "EXT_SOURCES_PROD": "EXT_SOURCE_1 * EXT_SOURCE_2 * EXT_SOURCE_3", "EXT_SOURCES_MEAN": "(EXT_SOURCE_1 + EXT_SOURCE_2 + EXT_SOURCE_3) / 3",
+    "CREDIT_TO_GOODS_RATIO": div("AMT_CREDIT", "AMT_GOODS_PRICE"), "EMPLOYED_TO_BIRTH_RATIO": div("DAYS_EMPLOYED", "DAYS_BIRTH"),
+    "CREDIT_TO_ANNUITY_RATIO": div("AMT_CREDIT", "AMT_ANNUITY")}
+CTAR_STATS = {f"CTAR_{c}_{fn.upper()}": (c, fn) for c in specs.DURATION_GROUP_FEATURES for fn in ("mean", "median", "std")}
+CTAR_PARTS = {"bureau": "avg(case when CREDIT_ACTIVE = 'Active' then cast(DAYS_CREDIT as double) end) as BUREAU_ACTIVE_DAYS_CREDIT_MEAN",
+              "previous_application": "avg(case when NAME_CONTRACT_STATUS = 'Approved' then CNT_PAYMENT end) as APPROVED_CNT_PAYMENT_MEAN",
+              "installments_payments": "max(DAYS_ENTRY_PAYMENT) as INS_DAYS_ENTRY_PAYMENT_MAX"}
 
 
-@query(f"""with a as (select SK_ID_CURR, {', '.join(CTAR)}, {div('AMT_CREDIT', 'AMT_ANNUITY')} as CREDIT_TO_ANNUITY_RATIO from {S('application')}),
+@query(f"""with w as (select * from {S('application')} {' '.join(f'left join (select SK_ID_CURR, {out} from {S(name)} group by 1) using (SK_ID_CURR)' for name, out in CTAR_PARTS.items())}),
+a as (select SK_ID_CURR, {', '.join(f'{text} as {c}' for c, text in CTAR.items())} from w),
 g as (select CREDIT_TO_ANNUITY_RATIO, {', '.join(f'{measure(c, fn)} as {o}' for o, (c, fn) in CTAR_STATS.items())} from a group by 1)
 select SK_ID_CURR, {', '.join(CTAR_STATS)} from a left join g on a.CREDIT_TO_ANNUITY_RATIO = g.CREDIT_TO_ANNUITY_RATIO""", keys="SK_ID_CURR")
 def numeric_group_stats(t):
-    from ledgerloom.functions import ratios
-    df = ratios(t("application"), [("CREDIT_TO_ANNUITY_RATIO", "AMT_CREDIT", "AMT_ANNUITY")])
-    missing = [c for c in specs.DURATION_GROUP_FEATURES if c not in df.columns]
-    df = df.select("SK_ID_CURR", "CREDIT_TO_ANNUITY_RATIO", *[c for c in specs.DURATION_GROUP_FEATURES if c not in missing])
-    out = duration_group_features(df.withColumns({c: F.lit(None).cast("double") for c in missing}))
-    return out.select("SK_ID_CURR", *CTAR_STATS)
+    df = t("application")
+    for name, out in CTAR_PARTS.items():
+        df = df.join(t(name).groupBy("SK_ID_CURR").agg(F.expr(out)), "SK_ID_CURR", "left")
+    df = df.select("SK_ID_CURR", *[F.expr(text).alias(c) for c, text in CTAR.items()])
+    return duration_group_features(df).select("SK_ID_CURR", *CTAR_STATS)
 
 
 @query(f"""with a as {S('application')}, g as (select ORGANIZATION_TYPE, median(AMT_INCOME_TOTAL) as NEW_INC_BY_ORG from a group by 1)

@@ -56,7 +56,7 @@ FUNCTIONS = {
 COUNTED = {"sum": "coalesce(sum({v}), 0)", "count": "count({v})", "size": "count({rows})"}
 
 
-def _expression(column: str, fn: str, name: str, inside: str | None = None) -> Column:
+def expression(column: str, fn: str, name: str, inside: str | None = None) -> Column:
     """One aggregate; ``inside`` names a boolean column that marks the segment's rows."""
     value = f"`{column}`" if inside is None else f"case when `{inside}` then `{column}` end"
     rows = "1" if inside is None else f"case when `{inside}` then 1 end"
@@ -99,7 +99,7 @@ def segmented_agg(df: DataFrame, by: str | Sequence[str], segments: Sequence[Seg
                     where = None if inside[i] is None else F.col(inside[i])
                     ordered.append(value_at(F.col(f"`{column}`"), seg.order, fn == "last", where).alias(name))
                 else:
-                    plain.append(_expression(column, fn, name, inside[i]))
+                    plain.append(expression(column, fn, name, inside[i]))
     order = [out_name(s.prefix, c, f) for s in segments for c, fs in s.spec.items() for f in fs]
     blocks = []
     if ordered:
@@ -203,7 +203,7 @@ def group_table(df: DataFrame, by: str | Sequence[str], cols: Sequence[str], fn:
     """Plain table of group means or counts."""
     keys = [by] if isinstance(by, str) else list(by)
     rows = df.where(reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys)))
-    return rows.groupBy(*keys).agg(*[_expression(c, fn, out_name("", c, fn)) for c in cols])
+    return rows.groupBy(*keys).agg(*[expression(c, fn, out_name("", c, fn)) for c in cols])
 
 
 def top_rows_per_group(df: DataFrame, by: str, order: Sequence[Column], k: int) -> DataFrame:

@@ -9,9 +9,10 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.aggspec import Spec, group_agg, top_rows_per_group
+from ledgerloom.operators.aggspec import Spec, expression, group_agg, out_name, top_rows_per_group
 from ledgerloom.operators.quantiles import value_ladder
 from ledgerloom.operators.skew import UNCUT, split_hot_groups
+from ledgerloom.session import durable
 
 
 def stat_table(df: DataFrame, keys: Sequence[str], stats: Mapping[str, tuple[str, str]]) -> DataFrame:
@@ -47,8 +48,39 @@ def interaction_spec(key_lists: Sequence[Sequence[str]], spec: Spec):
             for keys in key_lists]
 
 
-def interaction_stats(df: DataFrame, key_lists: Sequence[Sequence[str]], spec: Spec) -> DataFrame:
-    return attach_stats(df, interaction_spec(key_lists, spec))
+def grouping_table(df: DataFrame, key_lists: Sequence[Sequence[str]], spec: Spec) -> tuple[DataFrame, list[int]]:
+    """Statistics of all key lists from one aggregate, and the ``__gid`` by which each list's rows are told apart.
+
+    Rows are expanded once for each list and combined before one exchange.  Groups with a
+    missing key are left out.  ``spec`` takes aggregates that need one pass (no medians,
+    first, last or distinct counts).
+    """
+    keys = list(dict.fromkeys(k for ks in key_lists for k in ks))
+    measures = [expression(c, fn, out_name("__g_", c, fn)) for c, fns in spec.items() for fn in fns]
+    named = df.select(*[F.col(f"`{k}`") for k in keys], *[F.col(f"`{c}`") for c in spec if c not in keys])
+    sets = [[F.col(f"`{k}`") for k in ks] for ks in key_lists]
+    table = named.groupingSets(sets, *[F.col(f"`{k}`") for k in keys]).agg(F.grouping_id().cast("bigint").alias("__gid"), *measures)
+    gids = [sum(1 << i for i, k in enumerate(reversed(keys)) if k not in ks) for ks in key_lists]
+    whole = reduce(lambda a, b: a | b, [(F.col("__gid") == gid) & reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in ks])
+                                        for gid, ks in zip(gids, key_lists)])
+    return table.where(whole), gids
+
+
+def interaction_stats(df: DataFrame, key_lists: Sequence[Sequence[str]], spec: Spec, source: DataFrame | None = None) -> DataFrame:
+    """``df`` with every list's statistics, named COL_FN_AGG_key1_key2...
+
+    One pass over ``df``, or over ``source``, an ancestor with the same rows that is
+    cheaper to read, makes all of them; the written groups are then joined list by
+    list, by broadcast as far as their written sizes allow.
+    """
+    table, gids = grouping_table(df if source is None else source, key_lists, spec)
+    table = durable(table)
+    out = df
+    for gid, (keys, outs) in zip(gids, interaction_spec(key_lists, spec)):
+        own = table.where(F.col("__gid") == gid).select(
+            *[F.col(f"`{k}`") for k in keys], *[F.col(f"`{out_name('__g_', c, fn)}`").alias(o) for o, (c, fn) in outs.items()])
+        out = out.join(own, list(keys), "left")
+    return out
 
 
 def lookup_map(df: DataFrame, key: str, column: str, fn: str, out: str) -> DataFrame:

@@ -189,3 +189,21 @@ def check_cut(df, frame):
     np.testing.assert_allclose(got, want.loc[frame.index[order]].to_numpy(float), rtol=1e-9)
     placed = skew.positions(df, ["k"], [F.col("t"), F.col("u")], F.col("t"), "p", 50).toPandas().sort_values(["k", "u"])
     assert placed.groupby("k", dropna=False)["p"].apply(list).map(lambda v: v == list(range(1, len(v) + 1))).all()
+
+
+def test_interactions_from_one_pass(spark):
+    rng = np.random.default_rng(9)
+    pick = lambda *v: rng.choice(np.array(v, object), 300)
+    frame = pd.DataFrame({"id": range(300), "a": pick("x", "y", None), "b": pick("u", "v", "w"), "c": pick(1, 2, None), "n": rng.normal(size=300)})
+    frame.loc[rng.random(300) < 0.3, "n"] = np.nan
+    df = spark.createDataFrame(frame.astype(object).where(frame.notna(), None).values.tolist(), "id int, a string, b string, c int, n double")
+    lists, spec = [["a", "b"], ["c"], ["b", "c"], ["a", "b", "c"]], {"n": ["mean", "max", "sum"]}
+    got = Q.interaction_stats(df, lists, spec).toPandas().sort_values("id")
+    for keys in lists:
+        want = frame.groupby(keys)["n"]
+        for fn in spec["n"]:
+            name = f"n_{fn.upper()}_AGG_{'_'.join(keys)}"
+            np.testing.assert_allclose(got[name].to_numpy(float), want.transform(fn).where(frame[keys].notna().all(axis=1)).to_numpy(float), rtol=1e-12)
+    table, gids = Q.grouping_table(df, lists, spec)
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert len(set(gids)) == 4 and plan.count("Exchange") == 1 and plan.count("Expand") == 1 and plan.count("Scan") == 1
