@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
+from contextvars import ContextVar
+from types import TracebackType
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,12 +46,71 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/ledgerloom-{uuid.uuid4().hex}"
 
 
+_OPEN: ContextVar[Stages | None] = ContextVar("stages", default=None)
+
+
+def _write(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df``: write it once to shared storage, continue from there.
 
     The written table survives lost executors and, unlike a row checkpoint, later
-    steps read only the columns they need.
+    steps read only the columns they need.  Inside ``Stages`` it goes when they end;
+    else it stays, as the caller's result may be read at any later time.
     """
     path = shared_folder(df.sparkSession)
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    owner = _OPEN.get()
+    if owner is not None:
+        owner.paths.append(path)
+    return _write(df, path)
+
+
+class Stages:
+    """Written stages of one job, deleted at its end, also when it fails.
+
+        with Stages(spark) as stages:
+            rows = stages.stage("rows", features)
+            ...
+            result = stages.keep(report)
+
+    ``stage`` gives a table that it has written before again if name, plan and input
+    files are the same.  Every ``durable`` table written meanwhile belongs to the stages
+    too.  What is needed afterwards is written by ``keep``; it belongs to the enclosing
+    stages, if there are any.  Frames that read deleted stages can't be used any more.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, []
+        self._known: dict[tuple[str, str], DataFrame] = {}
+
+    def __enter__(self) -> Stages:
+        self._outer = _OPEN.get()
+        self._token = _OPEN.set(self)
+        return self
+
+    def __exit__(self, kind: type[BaseException] | None, error: BaseException | None, trace: TracebackType | None) -> None:
+        _OPEN.reset(self._token)
+        while self.paths:
+            remove(self.spark, self.paths.pop())
+
+    def stage(self, name: str, df: DataFrame) -> DataFrame:
+        files = hashlib.sha256("\n".join(sorted(df.inputFiles())).encode()).hexdigest()
+        key = name, f"{df.semanticHash()}-{df.schema.simpleString()}-{files}"
+        if key not in self._known:
+            self._known[key] = durable(df)
+        return self._known[key]
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        path = shared_folder(self.spark)
+        if self._outer is not None:
+            self._outer.paths.append(path)
+        return _write(df, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever Spark can write one."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

@@ -128,3 +128,10 @@ def test_one_hot_domains(spark):
     with pytest.raises(ValueError, match="one_hot_long"):
         encode.domains_of(df, ["c"], limit=1)
     assert sorted(tuple(r) for r in encode.one_hot_long(df, "k", ["c"]).collect()) == [(1, "c", "x", 2 / 3), (1, "c", "y", 1 / 3)]
+
+
+def test_label_encode_of_wide_frames_by_key(spark):
+    df = spark.createDataFrame([(1, "b", None, 5), (2, None, "x", 6), (3, "a", "x", 7), (4, None, None, 8)], "id int, a string, b string, n int")
+    assert sorted(tuple(r) for r in encode.label_encode(df, key="id").collect()) == sorted(tuple(r) for r in encode.label_encode(df).collect())
+    assert encode.label_encode(df, ["b"], key="id").columns == ["id", "a", "b", "n"]
+    assert encode.label_encode(df.limit(0), key="id").collect() == []
