@@ -8,6 +8,7 @@ from catalog.preset_sql import (BALANCE, NEWEST_FIRST, block, div, ewma_columns,
                                 trend)
 from catalog.registry import S, query
 from ledgerloom.operators import aggspec as A
+from ledgerloom.operators import monthly as Y
 from ledgerloom.operators import relations as R
 from ledgerloom.operators import sequences as Q
 from ledgerloom.plans import history as H
@@ -408,3 +409,22 @@ def distinct_values(t):
 @query(f"select (select count(*) from {S('bureau_balance')}) - (select count(*) from (select distinct * from {S('bureau_balance')})) as duplicates")
 def duplicate_row_count(t):
     return R.duplicate_row_count(t("bureau_balance"))
+
+
+MONTHLY = {c: ["mean", "sum", "max", "min", "var", "std", "count"] for c in ("AMT_BALANCE", "AMT_PAYMENT_CURRENT", "SK_DPD")} | {"MONTHS_BALANCE": ["size"]}
+MONTH_WINDOWS = {f"CC_{m}M_": (-m, None) for m in (6, 12, 24)} | {"CC_YEAR2_": (-24, -13), "CC_ALL_": (None, None)}
+
+
+def _between(first: int | None, last: int | None) -> str:
+    return " and ".join([*([f"MONTHS_BALANCE >= {first}"] if first is not None else []), *([f"MONTHS_BALANCE <= {last}"] if last is not None else [])]) or "true"
+
+
+@query(f"""select SK_ID_CURR, {', '.join(block(p, MONTHLY, _between(*w)) for p, w in MONTH_WINDOWS.items())} from {S('credit_card_balance')}
+where SK_ID_CURR is not null and MONTHS_BALANCE is not null group by 1""", keys="SK_ID_CURR")
+def monthly_window_blocks(t):
+    """Five windows from stored monthly states; the newest month arrives later and is added without reading the others."""
+    rows, path = t("credit_card_balance"), t.scratch()
+    newest = rows.agg(F.max("MONTHS_BALANCE")).scalar()
+    Y.append_states(Y.monthly_states(rows.where(F.col("MONTHS_BALANCE") < newest), "SK_ID_CURR", "MONTHS_BALANCE", MONTHLY), path, "MONTHS_BALANCE")
+    Y.refresh(rows.where(F.col("MONTHS_BALANCE") == newest), path, "SK_ID_CURR", "MONTHS_BALANCE", MONTHLY)
+    return Y.window_blocks(Y.stored_states(t.spark, path, "MONTHS_BALANCE"), "SK_ID_CURR", "MONTHS_BALANCE", MONTHLY, MONTH_WINDOWS)

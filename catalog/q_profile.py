@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from catalog.registry import S, query
 from ledgerloom import functions as X
 from ledgerloom.operators import profile as P
+from ledgerloom.operators import sketches as K
+from ledgerloom.sources.schemas import COLUMNS
 from ledgerloom.sources.schemas import COLUMNS, DOCUMENT_FLAGS
 
 APP = S("application")
@@ -111,6 +113,36 @@ def kde_by_class(t):
     return P.kernel_density(df, "YEARS_BIRTH", "TARGET", GRID)
 
 
+BINS = 1024
+
+
+@query(f"""with a as (select TARGET, -DAYS_BIRTH / 365::double as x from {APP} where TARGET is not null),
+s as (select TARGET, count(*) as n, stddev_samp(x) * power(count(*), -0.2::double) as h, min(x) as lo, (max(x) - min(x)) / {BINS - 1} as d from a where x is not null group by 1),
+p as (select a.TARGET, least(floor((x - lo) / d), {BINS - 2}) as i, (x - lo) / d as p from a join s on a.TARGET = s.TARGET),
+b as (select TARGET, i, sum(1 - (p - i)) as c from p group by 1, 2 union all select TARGET, i + 1, sum(p - i) from p group by 1, 2),
+g as (select unnest({GRID}) as grid)
+select s.TARGET::double as TARGET, g.grid::double as grid, coalesce(sum(c * exp(-0.5::double * power((g.grid - (lo + i * d)) / h, 2)) / (n * h * {(2 * pi) ** 0.5!r}::double))
+  filter (where abs(g.grid - (lo + i * d)) <= {P.REACH} * h), 0) as density from s join b on b.TARGET = s.TARGET cross join g group by 1, 2""", rnd="TARGET density")
+def binned_kde_by_class(t):
+    df = t("application").select("TARGET", X.days_to_years("DAYS_BIRTH").alias("YEARS_BIRTH"))
+    return P.binned_density(df, "YEARS_BIRTH", "TARGET", GRID, BINS)
+
+
+SKETCHED = [c for c in COLUMNS["application"]["int"] if c != "TARGET"] + COLUMNS["application"]["num"]
+SKETCH_PROBS = [0.01, 0.25, 0.5, 0.75, 0.99]
+
+
+@query(f"""with l as (unpivot (select {', '.join(f'cast({c} as double) as {c}' for c in SKETCHED)} from {APP}) on {', '.join(SKETCHED)} into name feature value value)
+select feature, p as probability, count(*) as n, true as within from l, (select unnest({SKETCH_PROBS}::double[]) as p) group by 1, 2""")
+def quantile_sketch_ranks(t):
+    """Sketches of two parts of every numeric applicant column, stored and merged: ranks within twice the bound for one answer."""
+    app, path = t("application"), t.scratch()
+    for part in (0, 1):
+        K.quantile_sketches(app.where(F.pmod("SK_ID_CURR", F.lit(2)) == part), SKETCHED).write.mode("append").parquet(path)
+    merged = K.sketch_quantiles(K.merge_sketches(t.spark.read.parquet(path)), SKETCH_PROBS)
+    return K.rank_check(app, merged, SKETCHED, SKETCH_PROBS, 2 * K.rank_error())
+
+
 @query(f"""with a as (select CREDIT_ACTIVE, AMT_CREDIT_SUM as x from {S('bureau')}),
 s as (select CREDIT_ACTIVE, quantile_cont(x, 0.25) as q1, median(x) as median, quantile_cont(x, 0.75) as q3 from a group by 1)
 select a.CREDIT_ACTIVE, q1, median, q3, min(x) filter (where x between q1 - 1.5 * (q3 - q1) and q3 + 1.5 * (q3 - q1)) as low_whisker,

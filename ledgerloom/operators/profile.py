@@ -7,7 +7,7 @@ table with many columns is scanned once.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import pi
+from math import exp, pi
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -125,6 +125,44 @@ def kernel_density(df: DataFrame, column: str, by: str, grid: Sequence[float]) -
     return wide.select(by, F.inline(F.array(*pairs)))
 
 
+#: standard deviations beyond which the binned density's kernel is cut off
+REACH = 6.0
+
+
+def density_error(width: float, step: float) -> float:
+    """How far ``binned_density`` may be from the exact sum, for a kernel's width and the distance of bins."""
+    return step ** 2 / (8 * width ** 3 * (2 * pi) ** 0.5) + exp(-0.5 * REACH ** 2) / (width * (2 * pi) ** 0.5)
+
+
+def binned_density(df: DataFrame, column: str, by: str, grid: Sequence[float], bins: int = 1024) -> DataFrame:
+    """As ``kernel_density``, from ``bins`` points for each class in place of all distinct values.
+
+    A value's weight is shared by the two points around it; each point then reaches the
+    grid within ``REACH`` kernel widths.  After one pass that counts, the work follows
+    the number of bins.  ``density_error`` bounds the difference from the exact sum.
+    """
+    value = F.col(column).cast("double")
+    rows = df.select(F.col(by), value.alias("__x")).where(F.col(by).isNotNull() & F.col("__x").isNotNull())
+    shape = rows.groupBy(by).agg(F.count("__x").cast("double").alias("__n"), F.stddev_samp("__x").alias("__s"), F.min("__x").alias("__lo"),
+                                 F.max("__x").alias("__hi"))
+    shape = shape.withColumns({"__h": F.col("__s") * F.pow(F.col("__n"), F.lit(-0.2)), "__d": (F.col("__hi") - F.col("__lo")) / F.lit(bins - 1)}).where(
+        F.col("__h") > 0)
+    at = rows.join(shape.select(by, "__lo", "__d"), by).withColumn("__p", (F.col("__x") - F.col("__lo")) / F.col("__d")).withColumn(
+        "__i", F.least(F.floor("__p"), F.lit(bins - 2)))
+    right = F.col("__p") - F.col("__i")
+    shared = at.groupBy(by, "__i").agg(F.sum(1 - right).alias("__left"), F.sum(right).alias("__right"))
+    points = shared.select(by, F.inline(F.array(F.struct(F.col("__i").alias("__b"), F.col("__left").alias("__c")),
+                                                F.struct((F.col("__i") + 1).alias("__b"), F.col("__right").alias("__c"))))).groupBy(by, "__b").agg(
+        F.sum("__c").alias("__c"))
+    placed = points.join(shape, by).withColumn("__x", F.col("__lo") + F.col("__b") * F.col("__d"))
+    near = F.filter(F.array(*[F.lit(float(g)) for g in grid]), lambda g: F.abs(g - F.col("__x")) <= F.lit(REACH) * F.col("__h"))
+    z = (F.col("grid") - F.col("__x")) / F.col("__h")
+    sums = placed.withColumn("grid", F.explode(near)).groupBy(by, "grid").agg(
+        F.sum(F.col("__c") * F.exp(F.lit(-0.5) * z * z) / (F.col("__n") * F.col("__h") * F.lit((2 * pi) ** 0.5))).alias("density"))
+    every = shape.select(by, F.explode(F.array(*[F.lit(float(g)) for g in grid])).alias("grid"))
+    return every.join(sums, [by, "grid"], "left").select(by, "grid", F.coalesce("density", F.lit(0.0)).alias("density"))
+
+
 def box_stats(df: DataFrame, column: str, by: str) -> DataFrame:
     """Quartiles, 1.5-IQR whiskers and outlier count per class."""
     quartiles = exact_quantiles(df, [column], [0.25, 0.5, 0.75], [by]).select(
