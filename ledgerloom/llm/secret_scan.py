@@ -3,17 +3,25 @@
 The patterns' matches over all documents are labelled credentials, one label for
 each kind.  Of their distinct values a bounded number for each kind (smallest
 hashes) trains a probabilistic automaton: values form a prefix tree over character
-classes, and states whose outgoing frequencies are statistically compatible
-(Hoeffding's bound, also for all their successors) are merged, the oldest first.
+classes, and states that are statistically compatible are merged, the oldest first.
+Two states are compatible if their outgoing frequencies and the lengths that are still
+to come agree by Hoeffding's bound, also for all their successors.  States that few
+values have passed can't be told apart by frequencies; they are merged only where all
+lengths still to come of the rarer one lie within those of the other, so formats of a
+fixed length keep it.  A transition's characters have the probabilities seen on it.
+
 Then every token of every text that could be a credential is scored by the mean
 log-likelihood of its characters; one that an automaton accepts as readily as the
-credentials it has learned from is a span of kind ``format``.
+credentials, by a quantile of the scores of all their distinct values, is a span of
+kind ``format``.  Tried are whole runs of credential characters, and what stands
+between or behind their separators, as in ``?key=...`` or ``auth=...``.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from bisect import bisect_left
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,12 +33,14 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.text import chunks, utf8
 from ledgerloom.session import durable
 
-#: distinct values of each kind that train its automaton at most
-SAMPLE = 1_000
+#: distinct values of each kind that train its automaton at most, and their length in bytes at most
+SAMPLE, LONGEST = 1_000, 256
 #: confidence of the compatibility test; share of training values that may score below the limit
 ALPHA, TAIL = 0.05, 0.01
 #: a token is tried from this length on
-SHORTEST = 16
+SHORTEST = 12
+#: values on whose frequencies a state is judged; what is added to each character's count
+LEAST, SMOOTH = 30, 0.5
 KINDS = ["assign", "access", "hex", "format"]
 
 _KEYWORD = re.compile(rb"password|passwd|secret|token|api_?key")
@@ -38,7 +48,7 @@ _ASSIGN = re.compile(rb"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=
 _ACCESS = re.compile(rb"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(rb"[0-9a-f]{16,}")
 _TOKEN = re.compile(rb"[A-Za-z0-9+/_.=-]{%d,}" % SHORTEST)
-_DIGIT, _LETTER = re.compile(rb"[0-9]"), re.compile(rb"[A-Za-z]")
+_PART = re.compile(rb"[^/=]+")
 
 
 def base_spans(text: bytes) -> list[tuple[str, int, int, bytes]]:
@@ -65,122 +75,209 @@ def base_spans(text: bytes) -> list[tuple[str, int, int, bytes]]:
     return [(KINDS[k], a, b, v) for a, k, b, v in sorted(found)]
 
 
-def candidates(text: bytes, taken: list[tuple[str, int, int, bytes]]) -> list[tuple[int, int, bytes]]:
-    """Tokens with letters and digits that no base span touches."""
-    out = []
+def candidates(text: bytes, taken: list[tuple[str, int, int, bytes]]) -> Iterator[tuple[int, int, memoryview]]:
+    """Runs of credential characters that no base span touches, each followed by its parts, longest first.
+
+    Parts lie between the separators / and =, or reach from behind one to the run's end.
+    """
+    view, starts, furthest, high = memoryview(text), [a for _, a, _, _ in taken], [], 0
+    for _, _, z, _ in taken:
+        high = max(high, z)
+        furthest.append(high)
     for m in _TOKEN.finditer(text):
-        v = m[0]
-        if _DIGIT.search(v) and _LETTER.search(v) and not any(a < m.end() and m.start() < b for _, a, b, _ in taken):
-            out.append((m.start(), m.end(), v))
-    return out
+        a, z = m.span()
+        before = bisect_left(starts, z)
+        if before and furthest[before - 1] > a:
+            continue
+        parts = {(a, z)}
+        for part in _PART.finditer(text, a, z):
+            parts |= {part.span(), (part.start(), z)}
+        for x, y in sorted(parts, key=lambda p: (p[0] - p[1], p[0])):
+            if y - x >= SHORTEST:
+                yield x, y, view[x:y]
 
 
 def _class(b: int) -> str:
     c = chr(b)
-    return "d" if c.isdigit() else "h" if "a" <= c <= "f" else "l" if "a" <= c <= "z" else "u" if "A" <= c <= "Z" else c
+    return "d" if "0" <= c <= "9" else "h" if "a" <= c <= "f" else "l" if "a" <= c <= "z" else "u" if "A" <= c <= "Z" else c
 
 
 CLASS = [_class(b) for b in range(256)]
-#: how many characters share a class, as each then has that part of its probability
-WIDTH = {"d": 10, "h": 6, "l": 20, "u": 26}
+#: the characters of each class
+MEMBERS = {c: [b for b in range(128) if CLASS[b] == c] for c in set(CLASS[:128])}
 
 
 @dataclass
 class Automaton:
-    """step[state][class] = (next state, log probability of one character); stop[state] = log probability of the end."""
+    """step[state][byte] = (next state, log probability); stop[state] = log probability of the end."""
 
-    step: list[dict[str, tuple[int, float]]]
+    step: list[dict[int, tuple[int, float]]]
     stop: list[float]
     limit: float = -np.inf
 
-    def score(self, value: bytes) -> float:
+    def score(self, value: bytes | memoryview) -> float:
         """Mean log-likelihood of the characters and the end; minus infinity if it isn't accepted."""
         state, total = 0, 0.0
         for b in value:
-            to = self.step[state].get(CLASS[b])
+            to = self.step[state].get(b)
             if to is None:
                 return -np.inf
             state, total = to[0], total + to[1]
         return (total + self.stop[state]) / (len(value) + 1)
 
+    def accepts(self, value: bytes | memoryview) -> bool:
+        return -np.inf < (found := self.score(value)) and found >= self.limit
+
+
+class _Node:
+    """A state: values that passed and ended, by class the successor, by byte the values, and by length to come the values."""
+
+    __slots__ = ("child", "depth", "ends", "left", "passes", "taken")
+
+    def __init__(self, depth: int) -> None:
+        self.depth, self.passes, self.ends = depth, 0, 0
+        self.child: dict[str, _Node] = {}
+        self.taken: Counter[int] = Counter()
+        self.left: Counter[int] = Counter()
+
+    def flow(self) -> dict[str, int]:
+        out: dict[str, int] = defaultdict(int)
+        for b, n in self.taken.items():
+            out[CLASS[b]] += n
+        return out
+
+
+def _apart(f1: int, n1: int, f2: int, n2: int, bound: float) -> bool:
+    return abs(f1 / n1 - f2 / n2) > bound * (n1 ** -0.5 + n2 ** -0.5)
+
+
+def _lengths_agree(x: _Node, y: _Node, bound: float) -> bool:
+    """Whether the same lengths are still to come."""
+    if x.passes < y.passes:
+        x, y = y, x
+    if y.passes < LEAST:
+        return min(x.left) <= min(y.left) and max(y.left) <= max(x.left)
+    below = [0, 0]
+    for size in sorted(x.left.keys() | y.left.keys()):
+        below = [below[0] + x.left[size], below[1] + y.left[size]]
+        if _apart(below[0], x.passes, below[1], y.passes, bound):
+            return False
+    return True
+
+
+def _compatible(x: _Node, y: _Node, bound: float) -> bool:
+    if not _lengths_agree(x, y, bound):
+        return False
+    work = [(x, y)]
+    while work:
+        x, y = work.pop()
+        if _apart(x.ends, x.passes, y.ends, y.passes, bound):
+            return False
+        f, g = x.flow(), y.flow()
+        for c in f.keys() | g.keys():
+            if _apart(f.get(c, 0), x.passes, g.get(c, 0), y.passes, bound):
+                return False
+            if c in x.child and c in y.child and x.child[c] is not y.child[c]:
+                work.append((x.child[c], y.child[c]))
+    return True
+
+
+def _fold(to: _Node, tree: _Node) -> None:
+    """Add the tree to the state."""
+    work = [(to, tree)]
+    while work:
+        x, y = work.pop()
+        x.passes, x.ends = x.passes + y.passes, x.ends + y.ends
+        x.taken.update(y.taken)
+        x.left.update(y.left)
+        for c, below in y.child.items():
+            if c in x.child:
+                work.append((x.child[c], below))
+            else:
+                x.child[c] = below
+
+
+def _shares(taken: Counter[int], group: list[int], bound: float) -> dict[int, float]:
+    """Each character's part of its class: as seen where that is far from even, evenly what is left for the others."""
+    n = sum(taken[b] for b in group)
+    far = {b: taken[b] / n for b in group if abs(taken[b] / n - 1 / len(group)) > bound * n ** -0.5}
+    even = len(group) - len(far)
+    rest = max(1 - sum(far.values()), SMOOTH * even / (n + SMOOTH * even)) if even else 0.0
+    return {b: far[b] or SMOOTH / n if b in far else rest / even for b in group}
+
 
 def infer(values: list[bytes], alpha: float = ALPHA) -> Automaton | None:
-    """An automaton from positive examples by merging the states of their prefix tree."""
+    """An automaton from positive examples, None without any.
+
+    Its limit is the TAIL quantile of their scores, each by an automaton of the other half
+    of the examples; of few examples, by their own.
+    """
+    out = merged_states(values, alpha)
+    if out is not None:
+        halves = [values[1::2], values[::2]] if len(values) >= 2 * LEAST else [values, values]
+        other = [merged_states(h, alpha) for h in halves]
+        scores = sorted(x for i, v in enumerate(values) if (x := other[i % 2].score(v)) > -np.inf)
+        out.limit = scores[int(TAIL * len(scores))] if scores else -np.inf
+    return out
+
+
+def merged_states(values: list[bytes], alpha: float = ALPHA) -> Automaton | None:
+    """An automaton by merging the states of the values' prefix tree, without a limit."""
     if not values:
         return None
-    child: list[dict[str, int]] = [{}]
-    passes, ends = [0], [0]
-    flow: list[dict[str, int]] = [defaultdict(int)]
+    root = _Node(0)
     for v in values:
-        s = 0
-        for b in v:
-            c = CLASS[b]
-            passes[s] += 1
-            flow[s][c] += 1
-            if c not in child[s]:
-                child[s][c] = len(child)
-                child.append({})
-                passes.append(0)
-                ends.append(0)
-                flow.append(defaultdict(int))
-            s = child[s][c]
-        passes[s] += 1
-        ends[s] += 1
-    bound = np.sqrt(0.5 * np.log(2 / alpha))
-    apart = lambda f1, n1, f2, n2: abs(f1 / n1 - f2 / n2) > bound * (n1 ** -0.5 + n2 ** -0.5)
-
-    def compatible(a: int, b: int) -> bool:
-        work = [(a, b)]
-        while work:
-            x, y = work.pop()
-            if apart(ends[x], passes[x], ends[y], passes[y]):
-                return False
-            for c in flow[x].keys() | flow[y].keys():
-                if apart(flow[x].get(c, 0), passes[x], flow[y].get(c, 0), passes[y]):
-                    return False
-                if c in child[x] and c in child[y] and child[x][c] != child[y][c]:
-                    work.append((child[x][c], child[y][c]))
-        return True
-
-    def fold(a: int, b: int) -> None:
-        """Add the tree at b to the state a."""
-        work = [(a, b)]
-        while work:
-            x, y = work.pop()
-            passes[x] += passes[y]
-            ends[x] += ends[y]
-            for c, n in flow[y].items():
-                flow[x][c] += n
-                if c not in child[x]:
-                    child[x][c] = child[y][c]
-                else:
-                    work.append((child[x][c], child[y][c]))
-
+        at = root
+        for i, b in enumerate(v):
+            at.passes += 1
+            at.taken[b] += 1
+            at.left[len(v) - i] += 1
+            at = at.child.setdefault(CLASS[b], _Node(i + 1))
+        at.passes += 1
+        at.ends += 1
+        at.left[0] += 1
+    bound = float(np.sqrt(0.5 * np.log(2 / alpha)))
     # red states are kept; the children of red states are merged into one of them or become red
-    red = [0]
-    while True:
-        blue = [(p, c) for p in red for c, s in sorted(child[p].items()) if s not in set(red)]
-        if not blue:
-            break
-        p, c = max(blue, key=lambda x: passes[child[x[0]][x[1]]])
-        s = child[p][c]
-        to = next((r for r in red if compatible(r, s)), None)
+    red, kept = [root], {id(root)}
+    while blue := [(p, c) for p in red for c, s in sorted(p.child.items()) if id(s) not in kept]:
+        p, c = max(blue, key=lambda x: x[0].child[x[1]].passes)
+        s = p.child[c]
+        # states as deep as this one first: there formats of a fixed length meet
+        to = next((r for r in sorted(red, key=lambda r: r.depth != s.depth) if _compatible(r, s, bound)), None)
         if to is None:
             red.append(s)
+            kept.add(id(s))
         else:
-            child[p][c] = to
-            fold(to, s)
-    number = {s: k for k, s in enumerate(red)}
-    out = Automaton(
-        [{c: (number[t], float(np.log(flow[s][c] / passes[s] / WIDTH.get(c, 1)))) for c, t in child[s].items()} for s in red],
-        [float(np.log(ends[s] / passes[s])) if ends[s] else -np.inf for s in red])
-    scores = sorted(out.score(v) for v in values)
-    out.limit = scores[int(TAIL * len(scores))]
-    return out
+            p.child[c] = to
+            _fold(to, s)
+    number = {id(s): k for k, s in enumerate(red)}
+    step = []
+    for s in red:
+        flow, own = s.flow(), {}
+        for c, to in s.child.items():
+            for b, share in _shares(s.taken, MEMBERS[c], bound).items():
+                own[b] = number[id(to)], float(np.log(flow[c] / s.passes * share))
+        step.append(own)
+    return Automaton(step, [float(np.log(s.ends / s.passes)) if s.ends else -np.inf for s in red])
+
+
+def _scorer(halves: dict[str, list[Automaton]]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = zip(b.column("kind").to_pylist(), b.column("value").to_pylist(), b.column("half").to_pylist(), strict=True)
+            yield pa.RecordBatch.from_arrays([b.column("kind"), pa.array([halves[k][1 - h].score(v.encode()) for k, v, h in rows], pa.float64())], ["kind", "score"])
+
+    return run
 
 
 def learn(docs: DataFrame, text: str = "text", bound: int = SAMPLE) -> dict[str, Automaton]:
-    """An automaton for each base kind from the documents' own credentials, ``bound`` values of each at most."""
+    """An automaton for each base kind that the documents have credentials of.
+
+    Each is fitted on at most ``bound`` distinct values of at most LONGEST bytes.  Its
+    limit is the TAIL quantile of the scores of all distinct values, each by an automaton
+    of the other half of them, as far as that accepts it.  Missing and empty texts and
+    repeated rows change nothing; without credentials the result is empty.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, "t"):
@@ -189,12 +286,18 @@ def learn(docs: DataFrame, text: str = "text", bound: int = SAMPLE) -> dict[str,
             got = {(k, v) for a, z in zip(ends, ends[1:], strict=False) for k, _, _, v in base_spans(flat[a:z])}
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in got], pa.string()), pa.array([v.decode() for _, v in got], pa.string())], ["kind", "value"])
 
-    values = durable(docs.select(F.col(f"`{text}`").alias("t")).mapInArrow(run, "kind string, value string").distinct())
-    out = {}
+    found = docs.select(F.col(f"`{text}`").alias("t")).mapInArrow(run, "kind string, value string").distinct()
+    values = durable(found.withColumn("half", F.pmod(F.xxhash64("value", F.lit(1)), F.lit(2)).cast("int")))
+    out, halves = {}, {}
     for kind in KINDS[:3]:
-        rows = values.where(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(bound).collect()
+        rows = values.where((F.col("kind") == kind) & (F.octet_length("value") <= LONGEST)).orderBy(F.xxhash64("value"), "value").limit(bound).collect()
         if made := infer([r.value.encode() for r in rows]):
             out[kind] = made
+            halves[kind] = [merged_states([r.value.encode() for r in rows if r.half == h]) for h in (0, 1)]
+    if full := {k: h for k, h in halves.items() if all(h)}:
+        scores = values.where(F.col("kind").isin(list(full))).mapInArrow(_scorer(full), "kind string, score double").where("score > double('-infinity')")
+        for row in scores.groupBy("kind").agg(F.percentile_approx("score", TAIL, 100_000).alias("limit")).collect():
+            out[row.kind].limit = row.limit
     return out
 
 
@@ -213,15 +316,20 @@ def scan(docs: DataFrame, automata: dict[str, Automaton], text: str = "text", ou
 
     def spans(raw: bytes) -> list[dict]:
         base = base_spans(raw)
-        more = [("format", a, b, v) for a, b, v in candidates(raw, base) if any(m.score(v) >= m.limit for m in automata.values())]
-        places = sorted({x for _, a, b, _ in (*base, *more) for x in (a, b)})
+        more: list[tuple[str, int, int]] = []
+        for a, b, v in candidates(raw, base):
+            # longest first within a run; what overlaps a span of the run is no further one
+            before = bisect_left(more, ("format", b, 0))
+            if not (before and more[before - 1][2] > a) and any(m.accepts(v) for m in automata.values()):
+                more.insert(before, ("format", a, b))
+        places = sorted({x for _, a, b, *_ in (*base, *more) for x in (a, b)})
         # bytes to code points
         point, last, seen = {}, 0, 0
         for x in places:
             seen += len(raw[last:x].decode())
             point[x], last = seen, x
         order = sorted((*base, *more), key=lambda s: (s[1], KINDS.index(s[0])))
-        return [{"kind": k, "start": point[a], "end": point[b]} for k, a, b, _ in order]
+        return [{"kind": k, "start": point[a], "end": point[b]} for k, a, b, *_ in order]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, "t"):
