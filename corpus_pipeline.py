@@ -7,6 +7,8 @@ All but the last return the columns of ``documents``; further columns pass throu
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,16 +24,18 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _without(keyed, judged.where(~F.col("kept"))).select(*docs.columns)
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str, keep_missing_ids: bool = True) -> DataFrame:
     """Keep one row of each SimHash group: the smallest id's, of several such rows the first by key.
 
     Groups are told apart by their root, as one id may have rows in several of them.
-    Rows without an id all stay.
+    Rows without an id all stay beside it, or, without ``keep_missing_ids`` (as in the
+    pipeline), only where their group has no other row, the first by key.
     """
     keyed = _keyed(docs)
     grouped = durable(simhash.near_duplicates(keyed, keep=["__row"]).select("doc_id", "root", "__row"))
-    first = grouped.where("doc_id is not null").groupBy("root").agg(F.min(F.struct("doc_id", "__row")).alias("first")).select("first.__row")
-    kept = durable(first.unionAll(grouped.where("doc_id is null").select("__row")))
+    judged = grouped.where("doc_id is not null") if keep_missing_ids else grouped
+    first = judged.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")).alias("first")).select("first.__row")
+    kept = durable(first.unionAll(grouped.where("doc_id is null").select("__row")) if keep_missing_ids else first)
     return keyed.join(kept.hint("merge"), "__row", "left_semi").select(*docs.columns)
 
 
@@ -71,7 +75,7 @@ def _without(keyed: DataFrame, rejected: DataFrame) -> DataFrame:
 
 STAGES = [
     ("quality classifier", quality),
-    ("near duplicates", near_duplicates),
+    ("near duplicates", partial(near_duplicates, keep_missing_ids=False)),
     ("decontamination", decontaminated),
     ("secrets", without_secrets),
     ("tokens", tokens),

@@ -174,7 +174,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: s
 
     Labels of held-out rows are never read.  Missing and empty texts score like texts
     without any term.  Without labels of both classes the lexicon is empty and all
-    rows have the same low score.
+    rows have the same low score.  Where several rows share a labelled id, one of them
+    takes part in the fit; each is scored by itself.
     """
     given = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("t"))
     known = labels.select(F.col(id_col).alias("k"), F.col(label).cast("long").alias("y")).where(
@@ -183,7 +184,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: s
     chosen = durable(ranked[0].unionAll(ranked[1]))  # 2 * PER_CLASS rows at most
     counts = {r.y: r["count"] for r in known.groupBy("y").count().collect()}
     prior = (counts.get(1, 0) + 1) / (sum(counts.values()) + 20)
-    sample = given.join(F.broadcast(chosen), F.col("id") == F.col("k")).select("t", "y")
+    # one row for each chosen id, however many there are: that of the smallest hash, combined before the shuffle
+    sample = given.join(F.broadcast(chosen), F.col("id") == F.col("k")).groupBy("k", "y").agg(F.min_by("t", F.xxhash64("t")).alias("t")).select("t", "y")
     lexicon = choose_terms(sample) if len(counts) == 2 else pd.DataFrame({"term": np.zeros(0, np.int64), "n": [], "toxic": []})
     lexicon = lexicon.iloc[np.argsort(lexicon.term.to_numpy().astype(np.int64).view(np.uint64))]
     terms = lexicon.term.to_numpy().astype(np.int64).view(np.uint64)
@@ -191,7 +193,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: s
 
     seen = found.groupBy("votes").count().toPandas()  # 2 ^ VOTERS rows at most
     spread = lambda v: (v.to_numpy(np.int64)[:, None] >> np.arange(VOTERS) & 1).astype(float)
-    rows = found.join(F.broadcast(chosen), F.col("id") == F.col("k")).select("y", "terms", "votes").toPandas()
+    rows = found.join(F.broadcast(chosen), F.col("id") == F.col("k")).groupBy("k", "y").agg(F.min(F.struct("votes", "terms")).alias("r")).select(
+        "y", "r.terms", "r.votes").toPandas()  # 2 * PER_CLASS rows at most
     own = spread(rows.votes)
     start = np.array([(own[rows.y == c].sum(0) + 0.5) / ((rows.y == c).sum() + 1) for c in (0, 1)])
     label_model = fit_label_model(spread(seen.votes), seen["count"].to_numpy(float), start, prior)

@@ -329,3 +329,41 @@ def test_byte_ranges_are_coalesced():
     offset, length = np.array([0, 10, 25, 1000, 1010]), np.array([10, 10, 10, 10, 5000])
     assert warc.ranges(offset, length, gap=8, longest=500) == [(0, 3), (3, 4), (4, 5)]
     assert warc.ranges(offset, length, gap=10_000, longest=10_000) == [(0, 5)]
+
+
+def test_posterior_is_bayes_rule_over_the_voters():
+    rng = np.random.default_rng(3)
+    model = toxicity.LabelModel(0.2, np.clip(rng.random((2, 5)), 0.05, 0.95), rng.random(5))
+    votes = (rng.random((40, 5)) < 0.5).astype(float)
+    for v, got in zip(votes, model.posterior(votes), strict=True):
+        odds = model.prior / (1 - model.prior)
+        for j in range(5):
+            likely = [model.fires[c, j] if v[j] else 1 - model.fires[c, j] for c in (0, 1)]
+            odds *= (likely[1] / likely[0]) ** model.weight[j]
+        assert got == pytest.approx(odds / (1 + odds))
+
+
+def test_label_model_finds_the_voters_rates_without_labels():
+    """Votes drawn from known rates, two voters always the same: rates are recovered, and the pair counts about once."""
+    rng = np.random.default_rng(8)
+    rates, toxic = np.array([[0.02, 0.05, 0.1, 0.8], [0.7, 0.6, 0.8, 0.1]]), rng.random(20_000) < 0.2
+    votes = (rng.random((20_000, 4)) < rates[toxic.astype(int)]).astype(float)
+    votes = np.column_stack([votes, votes[:, 2]])
+    rates = np.column_stack([rates, rates[:, 2]])
+    seen, n = np.unique(votes, axis=0, return_counts=True)
+    model = toxicity.fit_label_model(seen, n.astype(float), np.clip(rates + rng.normal(0, 0.1, rates.shape), 0.05, 0.95), 0.3)
+    assert np.abs(model.fires - rates).max() < 0.05 and abs(model.prior - 0.2) < 0.03
+    assert model.weight[2] + model.weight[4] == pytest.approx(1, abs=0.1) and model.weight[0] > 0.8
+
+
+def test_a_labelled_id_with_many_rows_takes_part_once(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "LEAST_ROWS", 2)
+    texts = {i: ("vile nasty words number " if i % 3 == 0 else "pleasant words of note ") + str(i) for i in range(60)}
+    rows = [*texts.items(), *[(0, f"row {i} of the hot id") for i in range(500)], (None, "vile nasty"), (None, None)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in texts], "doc_id bigint, toxic int")
+    taken = []
+    inner = toxicity.fit_linear
+    monkeypatch.setattr(toxicity, "fit_linear", lambda rows, cols, n_rows, *a: taken.append(n_rows) or inner(rows, cols, n_rows, *a))
+    got = toxicity.toxicity(docs, labels).collect()
+    assert len(got) == len(rows) and 0 < taken[0] <= 60

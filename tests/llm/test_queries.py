@@ -1,6 +1,7 @@
 """Registered queries: oracles, contracts and the pipeline on the small tables."""
 
 import glob
+from collections import Counter
 
 import duckdb
 import pytest
@@ -68,6 +69,14 @@ def test_near_duplicate_stage_keeps_one_of_each_group(spark):
     assert sorted((r.doc_id for r in kept), key=str) == sorted([2, 9, None, 7], key=str)
 
 
+def test_pipeline_keeps_one_of_each_group_without_ids_too(spark):
+    a, b, c = "same words here again and again", "entirely different text about ships and harbours", "a third one, on its own"
+    docs = spark.createDataFrame([(None, a), (5, a), (None, a), (None, b), (None, b), (9, c), (None, None), (None, "")], "doc_id bigint, text string")
+    stage = dict(corpus_pipeline.STAGES)["near duplicates"]
+    kept = [tuple(r) for r in stage(spark, docs, SMALL).collect()]
+    assert [r for r in kept if r[1]] and Counter(kept) in (Counter([(5, a), (None, b), (9, c), (None, t)]) for t in (None, ""))
+
+
 def test_near_duplicate_stage_keeps_one_of_each_group_under_shared_ids(spark):
     a, b = "same words here again and again", "entirely different text about ships and harbours"
     docs = spark.createDataFrame([(5, a), (5, b), (9, b), (5, a), (5, "a third one, on its own"), (6, a)], "doc_id bigint, text string")
