@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 from catalog.newton_sql import auc_sql, newton_ctes
 from catalog.preset_sql import measure
+from catalog.q_presets import MASTER_TABLES, TIE
 from catalog.registry import S, Tables, query
 from ledgerloom.operators import modelling as M
 from ledgerloom.operators import neighbours as N
 from ledgerloom.operators import newton as W
 from ledgerloom.operators import udfs as U
+from ledgerloom.operators.clean import inf_to_null, sanitize_names, select_by_dtype
+from ledgerloom.plans import applicants
 from ledgerloom.plans.scoring import train_and_score as run_training
 from ledgerloom.sources import io
 from ledgerloom.sources.schemas import COLUMNS
@@ -309,6 +312,19 @@ def train_and_score(t):
     return run_training(model_table(t), select="mutual_information", search="random").scores
 
 
+def master_table(t: Tables):
+    """The merged table of all blocks, written once, with the names of its numeric feature columns."""
+    df = M.durable(inf_to_null(sanitize_names(applicants.master_feature_table({n: t(n) for n in MASTER_TABLES}, tiebreak=TIE))))
+    return df, [c for c in select_by_dtype(df, "numeric") if c not in (KEY, "TARGET")]
+
+
+@query()
+def train_and_score_master(t):
+    """Selection by variance inflation over every numeric column of the merged table, then search, fit and scores."""
+    df, cols = master_table(t)
+    return run_training(df.select(KEY, "TARGET", *cols), select="vif_eliminate", search="grid").scores
+
+
 # ------------------------------------------------------------------ user functions
 @query("select o_custkey, max(o_totalprice) - min(o_totalprice) as spread, count(*)::double as orders from orders group by 1", rnd="spread")
 def grouped_map_apply(t):

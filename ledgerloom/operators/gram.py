@@ -14,12 +14,12 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.session import durable
 
-TILE = 128
+TILE = 512
 SUMS = ["xy", "x", "y", "xx", "yy", "n"]
 
 
@@ -80,9 +80,50 @@ def pair_sums(df: DataFrame, cols: Sequence[str], shift: Sequence[float] | None
     return PairSums(*out)
 
 
+def _moments():
+    def run(batches):
+        n = s = m = None
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
+            here = ~np.isnan(x)
+            k, t = here.sum(0), np.where(here, x, 0.0).sum(0)
+            mean = t / np.maximum(k, 1)
+            q = (np.where(here, x - mean, 0.0) ** 2).sum(0)
+            if n is None:
+                n, s, m = k, t, q
+            else:
+                away = mean - s / np.maximum(n, 1)
+                m = m + q + np.where((n > 0) & (k > 0), away ** 2 * n * k / np.maximum(n + k, 1), 0.0)
+                n, s = n + k, s + t
+        if n is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(n), dtype=np.int32)), pa.array(n.astype(np.int64)), pa.array(s), pa.array(m)], ["i", "n", "s", "m"])
+
+    return run
+
+
+def column_moments(df: DataFrame, cols: Sequence[str]) -> list[tuple[int, float | None, float]]:
+    """(count, mean, sum of squares around it) of the present numbers of each column: one pass, however many columns.
+
+    A column without numbers has the mean None.
+    """
+    numbers = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    out: list[tuple[int, float | None, float]] = [(0, None, 0.0)] * len(cols)
+    if not cols:
+        return out
+    parts = numbers.mapInArrow(_moments(), "i int, n bigint, s double, m double").where("n > 0")
+    # squares of the tasks around one task's mean, then around that of all
+    one = Window.partitionBy("i")
+    away = F.col("s") / F.col("n") - F.max(F.col("s") / F.col("n")).over(one)
+    sums = parts.withColumn("d", away).groupBy("i").agg(
+        F.sum("n").alias("n"), F.sum("s").alias("s"),
+        (F.sum("m") + F.sum(F.col("n") * F.col("d") * F.col("d")) - F.sum(F.col("n") * F.col("d")) * F.sum(F.col("n") * F.col("d")) / F.sum("n")).alias("m"))
+    for r in sums.collect():
+        out[r.i] = r.n, r.s / r.n, max(r.m, 0.0)
+    return out
+
+
 def means(df: DataFrame, cols: Sequence[str]) -> list[float]:
-    row = df.agg(*[F.avg(F.col(f"`{c}`").cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
-    return [v or 0.0 for v in row]
+    return [m or 0.0 for _, m, _ in column_moments(df, cols)]
 
 
 def correlations(df: DataFrame, cols: Sequence[str]) -> np.ndarray:

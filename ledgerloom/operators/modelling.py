@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import newton
-from ledgerloom.operators.gram import means, pair_sums
+from ledgerloom.operators.gram import column_moments, means, pair_sums
 from ledgerloom.operators.quantiles import value_ladder
 from ledgerloom.operators.skew import positions
 from ledgerloom.session import durable
@@ -30,10 +30,9 @@ def split_by_label(df: DataFrame, label: str = "TARGET") -> tuple[DataFrame, Dat
     return df.where(F.col(label).isNotNull()), df.where(F.col(label).isNull())
 
 
-def train_means(train: DataFrame, cols: Sequence[str]) -> dict[str, float]:
-    """Column means of the training rows: one row of fixed width."""
-    row = train.agg(*[F.avg(F.col(f"`{c}`").cast("double")).alias(c) for c in cols]).first()
-    return {c: row[c] for c in cols}
+def train_means(train: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
+    """Column means of the training rows: two numbers for each column."""
+    return {c: mean for c, (_, mean, _) in zip(cols, column_moments(train, cols))}
 
 
 def mean_impute(df: DataFrame, means: dict[str, float]) -> DataFrame:
@@ -44,10 +43,7 @@ def mean_impute(df: DataFrame, means: dict[str, float]) -> DataFrame:
 
 def train_scales(train: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float]]:
     """Mean and population standard deviation per column; constant columns scale by 1."""
-    aggs = [f(F.col(f"`{c}`").cast("double")).alias(f"{n}_{i}") for i, c in enumerate(cols)
-            for n, f in (("m", F.avg), ("s", F.stddev_pop))]
-    row = train.agg(*aggs).first()
-    return {c: (row[f"m_{i}"] or 0.0, row[f"s_{i}"] or 1.0) for i, c in enumerate(cols)}
+    return {c: (mean or 0.0, (m / n) ** 0.5 or 1.0 if n else 1.0) for c, (n, mean, m) in zip(cols, column_moments(train, cols))}
 
 
 def standard_scale(df: DataFrame, scales: dict[str, tuple[float, float]]) -> DataFrame:
@@ -55,13 +51,16 @@ def standard_scale(df: DataFrame, scales: dict[str, tuple[float, float]]) -> Dat
 
 
 def impute_scale(train: DataFrame, other: DataFrame | None, cols: Sequence[str]):
-    """Fit on train, apply to both; returns (train, other)."""
-    means = train_means(train, cols)
-    train = mean_impute(train, means)
-    scales = train_scales(train, cols)
-    both = [standard_scale(train, scales)]
-    both.append(standard_scale(mean_impute(other, means), scales) if other is not None else None)
-    return tuple(both)
+    """Fit on train, apply to both; returns (train, other).
+
+    Filled cells lie on the mean, so one pass over the training rows tells both means
+    and scales: the squares of the present cells, spread over all rows.
+    """
+    found = column_moments(train.withColumn("__one", F.lit(1.0)), [*cols, "__one"])
+    rows = max(found[-1][0], 1)
+    means = {c: mean for c, (_, mean, _) in zip(cols, found)}
+    scales = {c: (mean or 0.0, (m / rows) ** 0.5 or 1.0) for c, (_, mean, m) in zip(cols, found)}
+    return tuple(None if df is None else standard_scale(mean_impute(df, means), scales) for df in (train, other))
 
 
 def assemble(df: DataFrame, cols: Sequence[str], keep: Sequence[str]) -> DataFrame:

@@ -27,7 +27,7 @@ def factor(x, i):
     return np.inf if left <= 1e-9 * total else total / left
 
 
-@pytest.mark.parametrize("tile", [128, 4, 1])
+@pytest.mark.parametrize("tile", [512, 4, 1])
 def test_pair_sums_with_missing_cells(spark, tile):
     rng = np.random.default_rng(2)
     x = np.where(rng.random((200, 9)) < 0.3, np.nan, rng.normal(5, 2, (200, 9)))
@@ -78,3 +78,17 @@ def test_elimination_step_by_step(data):
             break
         left.remove(worst)
     assert M.vif_eliminate(df, names, limit=3.0) == [names[i] for i in left] and len(left) < 9
+
+
+def test_moments_in_one_pass(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(1e6, 1, (500, 4))
+    x[:, 1] = 7.0
+    x[rng.random((500, 4)) < 0.2] = np.nan
+    x[:, 3] = np.nan
+    df = spark.createDataFrame([[None if np.isnan(v) else float(v) for v in r] for r in x], "a double, b double, `c.d` double, e double").repartition(5)
+    got = G.column_moments(df, ["a", "b", "c.d", "e"])
+    for i, (n, mean, m) in enumerate(got[:3]):
+        own = x[~np.isnan(x[:, i]), i]
+        assert n == len(own) and mean == pytest.approx(own.mean(), rel=1e-14) and m == pytest.approx(((own - own.mean()) ** 2).sum(), rel=1e-9, abs=1e-12)
+    assert got[3] == (0, None, 0.0) and G.column_moments(df.limit(0), ["a"]) == [(0, None, 0.0)] and G.column_moments(df, []) == []
