@@ -12,8 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: turns of one block of offsets
-BLOCK = 1024
+from ledgerloom.operators.skew import UNCUT, split_hot_groups
+
+#: turns of one block of offsets; rows above which a conversation is cut by its whole order instead
+BLOCK, LONG = 1024, 100_000
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 
 
@@ -22,7 +24,7 @@ def _header(role: Column, name: Column) -> Column:
 
 
 def perspectives(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", speaker: str = "role", text: str = "text",
-                 scene: str = "system") -> DataFrame:
+                 scene: str = "system", long: int = LONG) -> DataFrame:
     """(conv_id, perspective, turn, position, role, name, text, start, end, trained).
 
     Participants are the distinct speakers of a conversation but for ``scene``, whose
@@ -31,21 +33,24 @@ def perspectives(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", sp
     first; repeated rows stay repeated turns.  A missing text is empty, a missing
     speaker is the participant "unknown", and rows without a conversation id form one
     conversation.  A conversation of scene turns alone has no perspective and no row.
+    A conversation of more than ``long`` rows is sorted by range over its whole order, so
+    that missing or tied turns, and rows without an id, don't meet in one task.
     """
     said = turns.select(
         F.col(f"`{conv}`").alias("conv"), F.col(f"`{turn}`").alias("turn"),
         F.coalesce(F.col(f"`{speaker}`"), F.lit("unknown")).alias("who"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("content"))
+    order = [F.asc_nulls_first("turn"), "who", "content"]
+    said, _ = split_hot_groups(said, ["conv"], [F.asc_nulls_first("turn"), F.asc("who"), F.asc("content")], long)
+    said = said.withColumn("block", F.when(F.col("__piece") == UNCUT, F.floor(F.col("turn") / BLOCK)).otherwise(F.col("__piece"))).drop("__piece")
     people = said.where(F.col("who") != scene).select(F.col("conv").alias("c"), F.col("who").alias("perspective")).distinct()
     seen = said.join(people, F.col("conv").eqNullSafe(F.col("c")))
     own = F.col("who") == F.col("perspective")
     role = F.when(own, "assistant").when(F.col("who") == scene, "system").otherwise("user")
-    cast = seen.select("conv", "perspective", "turn", "who", "content", role.alias("role")).withColumn(
+    cast = seen.select("conv", "perspective", "turn", "block", "who", "content", role.alias("role")).withColumn(
         "name", F.when(F.col("role") == "user", F.col("who")))
     head = _header(F.col("role"), F.col("name"))
-    sized = cast.withColumn("rendered", F.concat(head, "content", F.lit(CLOSE))).withColumn("lead", F.length(head)).withColumn(
-        "block", F.floor(F.col("turn") / BLOCK))
+    sized = cast.withColumn("rendered", F.concat(head, "content", F.lit(CLOSE))).withColumn("lead", F.length(head))
     # places are added up within blocks of turns, and blocks by their totals
-    order = [F.asc_nulls_first("turn"), "who", "content"]
     within = Window.partitionBy("conv", "perspective", "block").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     placed = sized.withColumn("at", F.coalesce(F.sum(F.length("rendered")).over(within), F.lit(0))).withColumn(
         "k", F.count(F.lit(1)).over(within))

@@ -367,3 +367,15 @@ def test_a_labelled_id_with_many_rows_takes_part_once(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "fit_linear", lambda rows, cols, n_rows, *a: taken.append(n_rows) or inner(rows, cols, n_rows, *a))
     got = toxicity.toxicity(docs, labels).collect()
     assert len(got) == len(rows) and 0 < taken[0] <= 60
+
+
+def test_long_conversations_are_cut_by_their_whole_order(spark, table):
+    """No turns, tied turns and no conversation id: cut or not, the places are the same."""
+    rng = random.Random(12)
+    rows = [(rng.choice([None, None, 1, 2]), rng.choice([None, 0, 1, 5000]), rng.choice(["ann", "bob", "system", None]), rng.choice(["", None, "hi é", "a longer turn"]))
+            for _ in range(400)]
+    turns = table(rows, "conv_id bigint, turn bigint, role string, text string", ("block int", "who string", "c int", "row int"))
+    want = sorted(map(repr, chat.perspectives(turns).collect()))
+    assert sorted(map(repr, chat.perspectives(turns.repartition(3), long=20).collect())) == want
+    plan = chat.perspectives(turns, long=20)
+    assert len(want) > len(rows) and plan.where("conv_id is null").count() > 0
