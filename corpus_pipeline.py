@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import decontaminate, ngram_quality, secret_scan, sentencepiece_codec, simhash
@@ -18,10 +19,15 @@ from ledgerloom.session import durable
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop rows that the n-gram model rejects."""
-    keyed = _keyed(docs)
-    judged = ngram_quality.judge(keyed, table(spark, sf_dir, "labels"), keep=["__row"])
-    return _without(keyed, judged.where(~F.col("kept"))).select(*docs.columns)
+    """Drop rows that the n-gram model rejects.
+
+    Missing and empty texts are kept, repeated rows share their verdict, and an empty
+    table stays empty.  This and the other stages decide row by row, whatever the ids,
+    and pass on all columns, whatever their names.
+    """
+    keyed, key = _keyed(docs)
+    judged = ngram_quality.judge(keyed, table(spark, sf_dir, "labels"), keep=[key])
+    return _without(keyed, judged.where(~F.col("kept")), key).select(*_named(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str, keep_missing_ids: bool = True) -> DataFrame:
@@ -29,48 +35,75 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str, keep_miss
 
     Groups are told apart by their root, as one id may have rows in several of them.
     Rows without an id all stay beside it, or, without ``keep_missing_ids`` (as in the
-    pipeline), only where their group has no other row, the first by key.
+    pipeline), only where their group has no other row, the first by key.  Texts without
+    words, missing ones too, form one group.
     """
-    keyed = _keyed(docs)
-    grouped = durable(simhash.near_duplicates(keyed, keep=["__row"]).select("doc_id", "root", "__row"))
+    keyed, key = _keyed(docs)
+    grouped = durable(simhash.near_duplicates(keyed, keep=[key]).select("doc_id", "root", F.col(f"`{key}`").alias("key")))
     judged = grouped.where("doc_id is not null") if keep_missing_ids else grouped
-    first = judged.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")).alias("first")).select("first.__row")
-    kept = durable(first.unionAll(grouped.where("doc_id is null").select("__row")) if keep_missing_ids else first)
-    return keyed.join(kept.hint("merge"), "__row", "left_semi").select(*docs.columns)
+    first = judged.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first")).select("first.key")
+    kept = durable((first.unionAll(grouped.where("doc_id is null").select("key")) if keep_missing_ids else first).withColumnRenamed("key", key))
+    return keyed.join(kept.hint("merge"), key, "left_semi").select(*_named(docs))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop rows in which a window of a benchmark item occurs."""
-    keyed = _keyed(docs)
-    found = decontaminate.contamination(keyed, table(spark, sf_dir, "benchmark"), id_col="__row")
-    return _without(keyed, found.where("n_hit > 0")).select(*docs.columns)
+    """Drop rows in which a window of a benchmark item occurs; missing and empty texts have none."""
+    keyed, key = _keyed(docs)
+    found = decontaminate.contamination(keyed, table(spark, sf_dir, "benchmark"), id_col=key)
+    return _without(keyed, found.where("n_hit > 0"), key).select(*_named(docs))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, its secrets replaced in the text and ``n_chars`` counted anew where it has any."""
-    clean = secret_scan.scan(docs, secret_scan.learn(docs), out="__secrets", clean=True)
-    return clean.withColumn("n_chars", F.when(F.size("__secrets") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    """Every document, its secrets replaced in the text and ``n_chars`` counted anew where it has any.
+
+    Missing texts stay missing; repeated rows are treated alike.
+    """
+    found = _unused(docs, "__secrets")
+    clean = secret_scan.scan(docs, secret_scan.learn(docs), out=found, clean=True)
+    size = F.when(F.size(F.col(f"`{found}`")) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return clean.withColumn("n_chars", size).select(*_named(docs))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, lang, source, ids, n_tokens, lossless): token ids, and whether decoding them gives the text back."""
+    """(doc_id, lang, source, ids, n_tokens, lossless): token ids, and whether decoding them gives the text back.
+
+    A missing text counts as empty: its only id is the end's.
+    """
     model = piece_model()
     back = sentencepiece_codec.encode(docs.select("doc_id", "lang", "source", "text"), model, decoded="decoded")
     return back.select("doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"),
                        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` and a key ``__row`` for each row, written so that rerun tasks see the same keys."""
-    return durable(docs.withColumn("__row", F.monotonically_increasing_id()))
+def _named(docs: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
+def _unused(docs: DataFrame, name: str) -> str:
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a key for each row, and the key's name; rerun tasks see the same keys.
+
+    Rows read from files are named by file and place, so that nothing is written; other
+    rows are numbered and written.
+    """
+    key = _unused(docs, "__row")
+    try:
+        return docs.withColumn(key, F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"))), key
+    except AnalysisException:  # not read from files
+        return durable(docs.withColumn(key, F.monotonically_increasing_id())), key
 
 
-def _without(keyed: DataFrame, rejected: DataFrame) -> DataFrame:
+def _without(keyed: DataFrame, rejected: DataFrame, key: str) -> DataFrame:
     """``keyed`` but for the rows whose keys are rejected.
 
     Rejected rows grow with the documents, so both sides are shuffled at every size.
     """
-    return keyed.join(durable(rejected.select("__row")).hint("merge"), "__row", "left_anti")
+    return keyed.join(durable(rejected.select(key)).hint("merge"), key, "left_anti")
 
 
 STAGES = [

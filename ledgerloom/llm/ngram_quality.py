@@ -320,7 +320,8 @@ def spelled(docs: DataFrame, held: Broadcast, classes: np.ndarray, per_word: lis
             every, n, fold = grams(data, offsets, classes), b.num_rows, b.column("fold").to_numpy()
             g, bits, chars = every[at], np.zeros(n), np.zeros(n)
             for f, (table, word) in enumerate(zip(tables, _spelled(w, first, tables, classes), strict=True)):
-                total = np.bincount(w.row, word[which], n) + np.bincount(in_row, table[g].astype(np.float64), n)
+                # counts of nothing are integers, whatever their weights
+                total = np.zeros(n) + np.bincount(w.row, word[which], n) + np.bincount(in_row, table[g].astype(np.float64), n)
                 total += w.per_row * per_word[f] + np.where(w.per_row > 0, per_text[f], 0.0)
                 bits = np.where(fold == f, total, bits)
                 sums = np.concatenate([[0.0], np.cumsum(table[every], dtype=np.float64)])

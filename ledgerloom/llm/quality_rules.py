@@ -75,7 +75,7 @@ def count_statistics(texts: pa.Array) -> dict[str, np.ndarray]:
 
 
 def statistics(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, COUNTS) for each row."""
+    """(id, COUNTS) for each row; missing and empty texts have none of anything, repeated rows are counted one by one."""
     given = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,7 +183,11 @@ def fit_trees(x: np.ndarray, y: np.ndarray, direction: list[int], trees: int = 6
 
 
 def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label: str = "quality", bound: int = SAMPLE) -> Trees:
-    """Trees for the labelled rows with the smallest hashes of their ids, ``bound`` at most."""
+    """Trees for the labelled rows with the smallest hashes of their ids, ``bound`` at most.
+
+    Missing ids and labels are left out, of several labels of an id the smallest counts.
+    Without labelled rows, or with one label only, the trees are flat and all scores equal.
+    """
     marked = labels.select(F.col(id_col).alias("id"), F.col(label).cast("int").alias("y")).where("id is not null and y is not null")
     chosen = marked.groupBy("id").agg(F.min("y").alias("y")).orderBy(F.xxhash64("id"), "id").limit(bound)
     rows = stats.join(F.broadcast(chosen), stats[id_col] == chosen.id).orderBy(F.xxhash64("id"), "id").limit(bound)
@@ -192,6 +196,8 @@ def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label: str
 
 
 def with_scores(stats: DataFrame, trees: Trees, out: str = "score") -> DataFrame:
+    """``stats`` with each row's score, from 0 to 1; equal counts score alike, a column of the output's name is replaced."""
+
     @F.pandas_udf("double")
     def score(*columns: pd.Series) -> pd.Series:
         return pd.Series(trees.score(features({k: c.to_numpy() for k, c in zip(COUNTS, columns, strict=True)})))

@@ -141,7 +141,8 @@ def read(index: DataFrame, payload: bool = True) -> DataFrame:
     """The records of the given index rows: page_id, url, record_type, refers_to, digest, n_bytes (of the whole
     payload, also for a revisit) and, if asked, the stored payload.
 
-    A record whose payload doesn't have its digest raises.
+    A record whose payload doesn't have its digest raises.  An empty index gives no rows, a
+    row that is asked for twice is read twice, and missing page ids stay missing.
     """
     id_type = dict(index.dtypes)["page_id"]
     stretch = index.withColumn("stretch", F.floor(F.col("offset") / STRETCH))

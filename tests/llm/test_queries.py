@@ -103,3 +103,21 @@ def test_pipeline_on_nothing(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = corpus_pipeline.durable(stage(spark, docs, SMALL))
     assert docs.count() == 0
+
+
+def test_stages_keep_columns_with_the_names_they_use(spark, tmp_path):
+    """Own columns called like keys and results pass through, from memory and from files."""
+    passage = spark.read.parquet(f"{SMALL}/benchmark.parquet").first().text
+    rows = [(1, "en", "web", passage, 5, "a", "b", "c"), (2, "en", "web", "password=abcdefghijkl1 clean words here", 7, "d", "e", "f"),
+            (3, None, None, None, None, None, None, None), (3, "de", "web", "", 0, "g", "h", "i")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, lang string, source string, text string, n_chars bigint, __row string, __secrets string, key string")
+    docs.write.parquet(f"{tmp_path}/docs")
+    for given in (docs, spark.read.parquet(f"{tmp_path}/docs")):
+        for name, stage in corpus_pipeline.STAGES[:4]:
+            got = stage(spark, given, SMALL)
+            assert got.columns == docs.columns, name
+            assert {r["__row"] for r in got.collect()} <= {"a", "d", None, "g"}, name
+        left = corpus_pipeline.decontaminated(spark, given, SMALL)
+        assert sorted(r["__row"] or "" for r in left.collect()) == ["", "d", "g"]
+        clean = {r["__secrets"]: (r.text, r.n_chars) for r in corpus_pipeline.without_secrets(spark, given, SMALL).collect()}
+        assert clean["e"] == ("<SECRET> clean words here", 25) and clean["h"] == ("", 0) and clean[None] == (None, None)
