@@ -41,15 +41,15 @@ def perspectives(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", sp
         F.coalesce(F.col(f"`{speaker}`"), F.lit("unknown")).alias("who"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("content"))
     order = [F.asc_nulls_first("turn"), "who", "content"]
     said, _ = split_hot_groups(said, ["conv"], [F.asc_nulls_first("turn"), F.asc("who"), F.asc("content")], long)
-    said = said.withColumn("block", F.when(F.col("__piece") == UNCUT, F.floor(F.col("turn") / BLOCK)).otherwise(F.col("__piece"))).drop("__piece")
     people = said.where(F.col("who") != scene).select(F.col("conv").alias("c"), F.col("who").alias("perspective")).distinct()
     seen = said.join(people, F.col("conv").eqNullSafe(F.col("c")))
     own = F.col("who") == F.col("perspective")
     role = F.when(own, "assistant").when(F.col("who") == scene, "system").otherwise("user")
-    cast = seen.select("conv", "perspective", "turn", "block", "who", "content", role.alias("role")).withColumn(
+    cast = seen.select("conv", "perspective", "turn", "__piece", "who", "content", role.alias("role")).withColumn(
         "name", F.when(F.col("role") == "user", F.col("who")))
     head = _header(F.col("role"), F.col("name"))
-    sized = cast.withColumn("rendered", F.concat(head, "content", F.lit(CLOSE))).withColumn("lead", F.length(head))
+    sized = cast.withColumn("rendered", F.concat(head, "content", F.lit(CLOSE))).withColumn("lead", F.length(head)).withColumn(
+        "block", F.when(F.col("__piece") == UNCUT, F.floor(F.col("turn") / BLOCK)).otherwise(F.col("__piece"))).drop("__piece")
     # places are added up within blocks of turns, and blocks by their totals
     within = Window.partitionBy("conv", "perspective", "block").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     placed = sized.withColumn("at", F.coalesce(F.sum(F.length("rendered")).over(within), F.lit(0))).withColumn(
