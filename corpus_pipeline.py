@@ -9,13 +9,12 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import decontaminate, ngram_quality, secret_scan, sentencepiece_codec, simhash
 from ledgerloom.llm.queries import piece_model, table
-from ledgerloom.session import durable
+from ledgerloom.session import durable, row_keys
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +25,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     and pass on all columns, whatever their names.
     """
     keyed, key = _keyed(docs)
-    judged = ngram_quality.judge(keyed, table(spark, sf_dir, "labels"), keep=[key])
+    judged = ngram_quality.judge(keyed, table(spark, sf_dir, "labels"), key=key, keep=[key])
     return _without(keyed, judged.where(~F.col("kept")), key).select(*_named(docs))
 
 
@@ -86,16 +85,9 @@ def _unused(docs: DataFrame, name: str) -> str:
 
 
 def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
-    """``docs`` with a key for each row, and the key's name; rerun tasks see the same keys.
-
-    Rows read from files are named by file and place, so that nothing is written; other
-    rows are numbered and written.
-    """
+    """``docs`` with a key for each row (``row_keys``), and the key's name."""
     key = _unused(docs, "__row")
-    try:
-        return docs.withColumn(key, F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"))), key
-    except AnalysisException:  # not read from files
-        return durable(docs.withColumn(key, F.monotonically_increasing_id())), key
+    return row_keys(docs, key), key
 
 
 def _without(keyed: DataFrame, rejected: DataFrame, key: str) -> DataFrame:

@@ -8,7 +8,10 @@ fixed size (``SYMBOLS`` byte classes, ``ORDER``), the only part that tasks look
 Bits of a text are those of its words as spelled, which need no counts, plus a
 correction for each word and each bigram that the model knows.  Corrections are rows
 (key, bits); each document's distinct words and bigrams, with their numbers, are joined
-with them in shards of the key.  Frequent words' keys are salted.
+with them in shards of the key.  Frequent words' keys are salted.  All this is done in
+``WAVES`` passes, each for its share of the words and of the bigrams that begin with
+them: every word and bigram of every text is in one of them, and only a pass's shuffles
+take disk at a time.
 
 Each row belongs to one of ``FOLDS`` folds by its text and is scored by the model of
 the other folds' trusted texts.  So trusted rows, from which the limits come, are as
@@ -26,16 +29,17 @@ its own limits, found in the same way: copies among trusted texts widen those of
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.text import NOT_SPACE, U64, Words, chunks, mix, utf8, word_hashes, words
-from ledgerloom.session import durable
+from ledgerloom.session import Stages, durable
 
 SYMBOLS = 64
 ORDER = 4
@@ -44,6 +48,8 @@ FOLDS = 2
 #: keys that stand for a text's start and end, frequent words whose keys are salted, and salts of each
 START, END = U64(0x51A7_0000_0000_0001), U64(0x51A7_0000_0000_0002)
 HOT, SALTS = 1_000, 16
+#: passes, each over all texts for its share of the words and of the bigrams that begin with them; a pass's shuffles go when it ends
+WAVES = 8
 #: share of trusted documents on each side of the limits, and the widening as a share of the limit
 TAIL, MARGIN = 0.001, 0.03
 #: trusted rows at which a language's own quantiles weigh as much as the wider limits, and those in standard deviations
@@ -159,14 +165,32 @@ def probabilities(top: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
-def _pairs(w: Words, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, left, right, key) of each bigram, start and end of texts with words included."""
-    rows = np.flatnonzero(w.per_row)
-    ends = np.cumsum(w.per_row[rows])
-    left, right = np.insert(h, ends - w.per_row[rows], START), np.insert(h, ends, END)
+def _waves(w: Words) -> np.ndarray:
+    """The pass each word belongs to, from its length and three of its bytes: words of other passes needn't be hashed."""
+    length = (w.end - w.start).astype(U64)
+    near = w.data[w.start].astype(U64) | w.data[w.end - 1].astype(U64) << U64(8) | w.data[(w.start + w.end) // 2].astype(U64) << U64(16)
+    return (mix(near | length << U64(24)) % U64(WAVES)).astype(np.int8)
+
+
+def _bigram(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        key = mix(left * U64(0x9E3779B97F4A7C15) + mix(right))
-    return np.repeat(rows, w.per_row[rows] + 1), left, right, key
+        return mix(left * U64(0x9E3779B97F4A7C15) + mix(right))
+
+
+def _pairs(w: Words, wave: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(row, left, right) of each bigram whose left word belongs to this pass, start and end of texts with
+    words included, and how many of the first have a word on the left, not the start (which belongs to pass 0)."""
+    mine = np.flatnonzero(_waves(w) == wave)
+    ends = np.append(w.row[1:] != w.row[:-1], np.ones(min(len(w.row), 1), bool))[mine]
+    rows = np.flatnonzero(w.per_row) if wave == 0 else np.zeros(0, np.int64)
+    need = np.zeros(len(w.start), bool)
+    need[mine] = need[mine[~ends] + 1] = need[w.first[rows]] = True
+    hashed = np.zeros(len(w.start), U64)
+    hashed[need] = word_hashes(Words(w.data, w.offsets, w.start[need], w.end[need], w.row[need], w.per_row))[0]
+    right = np.full(len(mine), END)
+    right[~ends] = hashed[mine[~ends] + 1]
+    return (np.concatenate([w.row[mine], rows]), np.concatenate([hashed[mine], np.full(len(rows), START)]),
+            np.concatenate([right, hashed[w.first[rows]]]), len(mine))
 
 
 def _spelled(w: Words, at: np.ndarray, tables: list[np.ndarray], classes: np.ndarray) -> list[np.ndarray]:
@@ -183,130 +207,168 @@ def _spelled(w: Words, at: np.ndarray, tables: list[np.ndarray], classes: np.nda
     return [np.add.reduceat(np.where(place > 0, t[g].astype(np.float64), 0.0), offsets[:-1]) for t in tables]
 
 
-def _tables(held: Broadcast) -> list[np.ndarray]:
-    return np.split(np.frombuffer(held.value, np.float16), FOLDS)
-
-
-def count_words(texts: DataFrame, held: Broadcast, classes: np.ndarray) -> DataFrame:
-    """(v, w, n0, n1 .., s0, s1 ..): bigram counts of each fold; rows without v have a word's spelling bits by each fold's table."""
-    folds = range(FOLDS)
+def spell_words(texts: DataFrame, held: list[Broadcast], classes: np.ndarray) -> DataFrame:
+    """(key, wave, s0, s1 ..) for each distinct word: its pass, and its spelling bits by each fold's table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = _tables(held)
+        tables = [table.value for table in held]
         for b in chunks(batches, "t"):
             w = words(*utf8(b.column("t")), NOT_SPACE)
-            h = word_hashes(w)[0]
-            row, left, right, key = _pairs(w, h)
-            fold = b.column("fold").to_numpy()[row]
-            with np.errstate(over="ignore"):
-                _, at, n = np.unique(mix(key + fold.astype(U64)), return_index=True, return_counts=True)
-            known, first = np.unique(h, return_index=True)
-            some, none = np.zeros(len(at), bool), np.ones(len(known), bool)
-            numbers = [np.concatenate([np.where(fold[at] == f, n, 0), np.zeros(len(known), np.int64)]) for f in folds]
-            spelled = [np.concatenate([np.zeros(len(at)), x]) for x in _spelled(w, first, tables, classes)]
+            known, first = np.unique(word_hashes(w)[0], return_index=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([left[at].view(np.int64), known.view(np.int64)]), mask=np.concatenate([some, none])),
-                 pa.array(np.concatenate([right[at], known]).view(np.int64)), *map(pa.array, numbers), *map(pa.array, spelled)],
-                ["v", "w", *(f"n{f}" for f in folds), *(f"s{f}" for f in folds)])
+                [pa.array(known.view(np.int64)), pa.array(_waves(w)[first]), *map(pa.array, _spelled(w, first, tables, classes))],
+                ["key", "wave", *(f"s{f}" for f in range(FOLDS))])
 
-    made = texts.mapInArrow(run, ", ".join(["v bigint, w bigint", *(f"n{f} bigint" for f in folds), *(f"s{f} double" for f in folds)]))
-    return made.groupBy("v", "w").agg(*[F.sum(f"n{f}").alias(f"n{f}") for f in folds], *[F.max(f"s{f}").alias(f"s{f}") for f in folds])
+    made = texts.select("t").mapInArrow(run, ", ".join(["key bigint, wave tinyint", *(f"s{f} double" for f in range(FOLDS))]))
+    return made.groupBy("key").agg(F.max("wave").alias("wave"), *[F.max(f"s{f}").alias(f"s{f}") for f in range(FOLDS)])
 
 
-def corrections(counted: DataFrame) -> tuple[DataFrame, list[float], list[float], list[int]]:
-    """Rows (key, d0, d1 ..) to add to the spelled bits under each fold's model, with bigrams hashed by the
-    columns v and w; then what each word and each text costs besides, and the most frequent words."""
+def count_pairs(texts: DataFrame, wave: int) -> DataFrame:
+    """(v, w, n0, n1 ..) for the bigrams of a pass: what the model for each fold has seen, in all other folds."""
     folds = range(FOLDS)
-    pairs = counted.where("v is not null")
-    # what the model for a fold has seen: all other folds
-    seen = pairs.select("v", "w", *[sum((F.col(f"n{g}") for g in folds if g != f), F.lit(0)).alias(f"n{f}") for f in folds])
-    levels = lambda d, c: [[F.count(F.when(F.col(f"{c}{f}") == k, 1)).alias(f"{c}{f}_{k}") for k in (1, 2, 3, 4)] for f in folds]
-    off = lambda d, n: F.element_at(F.array(*[F.lit(float(x)) for x in d]), (F.least(n, F.lit(3)) + 1).cast("int"))
-    of = seen.agg(*sum(levels(seen, "n"), []), *[F.count(F.when(F.col(f"n{f}") > 0, 1)).alias(f"types{f}") for f in folds]).first()
-    cut2 = [_discounts(np.array([of[f"n{f}_{k}"] for k in (1, 2, 3, 4)])) for f in folds]
-    types = [max(of[f"types{f}"], 1) for f in folds]
-    context = seen.groupBy("v").agg(*[F.sum(f"n{f}").alias(f"c{f}") for f in folds], *[
-        F.sum(off(cut2[f], F.col(f"n{f}"))).alias(f"o{f}") for f in folds]).select(
-        F.col("v").alias("key"), *[f"c{f}" for f in folds], *[
-            F.when(F.col(f"c{f}") > 0, F.greatest(F.col(f"o{f}") / F.col(f"c{f}"), F.lit(1e-9))).otherwise(1.0).alias(f"keep{f}") for f in folds])
-    after = seen.groupBy("w").agg(*[F.count(F.when(F.col(f"n{f}") > 0, 1)).alias(f"k{f}") for f in folds])
-    of = after.agg(*sum(levels(after, "k"), []), *[F.count(F.when(F.col(f"k{f}") > 2, 1)).alias(f"more{f}") for f in folds]).first()
-    cut1 = [_discounts(np.array([of[f"k{f}_{k}"] for k in (1, 2, 3, 4)])) for f in folds]
-    free = [float(cut1[f][1] * of[f"k{f}_1"] + cut1[f][2] * of[f"k{f}_2"] + cut1[f][3] * of[f"more{f}"]) / types[f] for f in folds]
-    free = [max(x, 1e-9) if of[f"k{f}_1"] + of[f"k{f}_2"] + of[f"more{f}"] else 1.0 for f, x in enumerate(free)]
-    spelling = counted.where("v is null").select(F.col("w").alias("key"), *[f"s{f}" for f in folds])
-    both = after.withColumnRenamed("w", "key").join(spelling, "key", "left").join(context, "key", "full")
-    zero = lambda c: F.coalesce(c, F.lit(0.0))
-    # the end of a text is no word and has no spelling
-    unknown = [-np.log2(free[f]) + zero(F.col(f"s{f}")) for f in folds]
-    one = durable(both.select("key", *sum([[
-        F.when(F.col(f"k{f}") > 0, -F.log2((F.col(f"k{f}") - off(cut1[f], F.col(f"k{f}"))) / types[f] + F.pow(F.lit(2.0), -unknown[f]))).otherwise(
-            unknown[f]).alias(f"b{f}"), unknown[f].alias(f"u{f}"),
-        F.coalesce(F.col(f"c{f}"), F.lit(0)).alias(f"c{f}"), F.coalesce(f"keep{f}", F.lit(1.0)).alias(f"keep{f}")] for f in folds], [])))
-    words_ = one.select(F.lit(None).cast("bigint").alias("v"), F.col("key").alias("w"), *[
-        (F.col(f"b{f}") - F.col(f"u{f}") - F.log2(f"keep{f}")).alias(f"d{f}") for f in folds])
-    pair = seen.join(one.select(F.col("key").alias("v"), *[f"c{f}" for f in folds], *[f"keep{f}" for f in folds]), "v").join(
-        one.select(F.col("key").alias("w"), *[f"b{f}" for f in folds]), "w")
-    likely = lambda f: (F.col(f"n{f}") - off(cut2[f], F.col(f"n{f}"))) / F.col(f"c{f}") + F.col(f"keep{f}") * F.pow(F.lit(2.0), -F.col(f"b{f}"))
-    two = pair.select("v", "w", *[F.when(F.col(f"n{f}") > 0, -F.log2(F.greatest(likely(f), F.lit(1e-300))) + F.log2(f"keep{f}") - F.col(
-        f"b{f}")).otherwise(0.0).alias(f"d{f}") for f in folds])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in chunks(batches, "t"):
+            row, left, right, _ = _pairs(words(*utf8(b.column("t")), NOT_SPACE), wave)
+            fold = b.column("fold").to_numpy()[row]
+            with np.errstate(over="ignore"):
+                _, at, n = np.unique(mix(_bigram(left, right) + fold.astype(U64)), return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(left[at].view(np.int64)), pa.array(right[at].view(np.int64)), *(pa.array(np.where(fold[at] != f, n, 0)) for f in folds)],
+                ["v", "w", *(f"n{f}" for f in folds)])
+
+    made = texts.mapInArrow(run, ", ".join(["v bigint, w bigint", *(f"n{f} bigint" for f in folds)]))
+    return made.groupBy("v", "w").agg(*[F.sum(f"n{f}").alias(f"n{f}") for f in folds])
+
+
+def _off(discount: np.ndarray, n: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(float(x)) for x in discount]), (F.least(n, F.lit(3)) + 1).cast("int"))
+
+
+@dataclass
+class WordModel:
+    """``one``: (key, wave, b, c, keep, d for each fold) of each word, start and end; ``cut``: each fold's bigram discounts;
+    what each word and each text costs besides its spelling, and the most frequent words."""
+
+    one: DataFrame
+    cut: list[np.ndarray]
+    per_word: list[float]
+    per_text: list[float]
+    hot: list[int]
+
+
+def word_model(texts: DataFrame, held: list[Broadcast], classes: np.ndarray) -> WordModel:
+    """What words tell under each fold's model: their bigrams are counted in passes, of which only sums for each word stay."""
+    folds, spark = range(FOLDS), texts.sparkSession
+    lefts, rights = [], []
+    with Stages(spark) as counting:
+        spelling = durable(spell_words(texts, held, classes))
+        for wave in range(WAVES):
+            with Stages(spark) as counted:
+                pairs = durable(count_pairs(texts, wave))
+                n = [F.col(f"n{f}") for f in folds]
+                # numbers of bigrams seen 1, 2, 3, 4 and more times
+                lefts.append(counted.keep(pairs.groupBy(F.col("v").alias("key")).agg(
+                    *[F.sum(n[f]).alias(f"c{f}") for f in folds],
+                    *[F.count(F.when(n[f] == k if k < 5 else n[f] >= k, 1)).alias(f"l{f}_{k}") for f in folds for k in range(1, 6)]).withColumn(
+                    "left_wave", F.lit(wave).cast("tinyint"))))
+                rights.append(counted.keep(pairs.groupBy(F.col("w").alias("key")).agg(*[F.count(F.when(n[f] > 0, 1)).alias(f"k{f}") for f in folds])))
+        left = reduce(DataFrame.unionAll, lefts)
+        after = durable(reduce(DataFrame.unionAll, rights).groupBy("key").agg(*[F.sum(f"k{f}").alias(f"k{f}") for f in folds]))
+        of = left.agg(*[F.coalesce(F.sum(f"l{f}_{k}"), F.lit(0)).alias(f"l{f}_{k}") for f in folds for k in range(1, 6)]).first()
+        cut2 = [_discounts(np.array([of[f"l{f}_{k}"] for k in (1, 2, 3, 4)])) for f in folds]
+        types = [max(sum(of[f"l{f}_{k}"] for k in range(1, 6)), 1) for f in folds]
+        kept = [sum((F.col(f"l{f}_{k}") * float(cut2[f][min(k, 3)]) for k in range(1, 6)), F.lit(0.0)) for f in folds]
+        context = left.select("key", "left_wave", *[f"c{f}" for f in folds], *[
+            F.when(F.col(f"c{f}") > 0, F.greatest(kept[f] / F.col(f"c{f}"), F.lit(1e-9))).otherwise(1.0).alias(f"keep{f}") for f in folds])
+        of = after.agg(*[F.count(F.when(F.col(f"k{f}") == k, 1)).alias(f"k{f}_{k}") for f in folds for k in (1, 2, 3, 4)],
+                       *[F.count(F.when(F.col(f"k{f}") > 2, 1)).alias(f"more{f}") for f in folds]).first()
+        cut1 = [_discounts(np.array([of[f"k{f}_{k}"] for k in (1, 2, 3, 4)])) for f in folds]
+        free = [float(cut1[f][1] * of[f"k{f}_1"] + cut1[f][2] * of[f"k{f}_2"] + cut1[f][3] * of[f"more{f}"]) / types[f] for f in folds]
+        free = [max(x, 1e-9) if of[f"k{f}_1"] + of[f"k{f}_2"] + of[f"more{f}"] else 1.0 for f, x in enumerate(free)]
+        both = after.join(spelling, "key", "left").join(context, "key", "full")
+        # the end of a text is no word and has no spelling
+        unknown = [-np.log2(free[f]) + F.coalesce(F.col(f"s{f}"), F.lit(0.0)) for f in folds]
+        bits = [F.when(F.col(f"k{f}") > 0, -F.log2((F.col(f"k{f}") - _off(cut1[f], F.col(f"k{f}"))) / types[f] + F.pow(
+            F.lit(2.0), -unknown[f]))).otherwise(unknown[f]) for f in folds]
+        keep = [F.coalesce(f"keep{f}", F.lit(1.0)) for f in folds]
+        one = counting.keep(both.select("key", F.coalesce("wave", "left_wave").alias("wave"), *sum([[
+            bits[f].alias(f"b{f}"), F.coalesce(F.col(f"c{f}"), F.lit(0)).alias(f"c{f}"), keep[f].alias(f"keep{f}"),
+            (bits[f] - unknown[f] - F.log2(keep[f])).alias(f"d{f}")] for f in folds], [])))
     edge = {r.key: r for r in one.where(F.col("key").isin([int(x.view(np.int64)) for x in (START, END)])).collect()}
     first, last = (edge.get(int(x.view(np.int64))) for x in (START, END))
     text = [(-np.log2(first[f"keep{f}"]) + last[f"b{f}"]) if first and last else 0.0 for f in folds]
     hot = [r.key for r in one.orderBy(F.desc(sum((F.col(f"c{f}") for f in folds), F.lit(0))), "key").limit(HOT).collect()]
-    return words_.unionAll(two), [float(-np.log2(x)) for x in free], [float(x) for x in text], hot
+    return WordModel(one, cut2, [float(-np.log2(x)) for x in free], [float(x) for x in text], hot)
+
+
+def corrections(texts: DataFrame, model: WordModel, wave: int) -> DataFrame:
+    """(v, w, d0, d1 ..): what a pass's words (without v) and bigrams add to the spelled bits under each fold's model."""
+    folds, one = range(FOLDS), model.one
+    own = one.where(F.col("wave") == wave)
+    single = own.select(F.lit(None).cast("bigint").alias("v"), F.col("key").alias("w"), *[f"d{f}" for f in folds])
+    pair = count_pairs(texts, wave).join(own.select(F.col("key").alias("v"), *[f"c{f}" for f in folds], *[f"keep{f}" for f in folds]), "v").join(
+        one.select(F.col("key").alias("w"), *[f"b{f}" for f in folds]), "w")
+    likely = lambda f: (F.col(f"n{f}") - _off(model.cut[f], F.col(f"n{f}"))) / F.col(f"c{f}") + F.col(f"keep{f}") * F.pow(F.lit(2.0), -F.col(f"b{f}"))
+    return single.unionAll(pair.select("v", "w", *[F.when(F.col(f"n{f}") > 0, -F.log2(F.greatest(likely(f), F.lit(1e-300))) + F.log2(f"keep{f}") - F.col(
+        f"b{f}")).otherwise(0.0).alias(f"d{f}") for f in folds]))
 
 
 def _keyed(rows: DataFrame, hot: list[int]) -> DataFrame:
-    """The corrections by the keys that ``document_keys`` gives, a frequent word's once for each salt."""
-    names = [f"d{f}" for f in range(FOLDS)]
+    """(key, d): the corrections by the keys that ``document_keys`` gives, those of each fold, a frequent word's once for each salt."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.array(sorted(hot), np.int64)
         for b in batches:
             v, w = b.column("v"), b.column("w").to_numpy()
             single = v.is_null().to_numpy(zero_copy_only=False)
-            left = v.fill_null(0).to_numpy().view(U64)
-            with np.errstate(over="ignore"):
-                key = np.where(single, w.view(U64), mix(left * U64(0x9E3779B97F4A7C15) + mix(w.view(U64)))).view(np.int64)
+            base = np.where(single, w.view(U64), _bigram(v.fill_null(0).to_numpy().view(U64), w.view(U64)))
             times = np.where(single & np.isin(w, known), SALTS, 1)
-            at = np.repeat(np.arange(len(key)), times)
-            salt = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
-            yield pa.RecordBatch.from_arrays([pa.array(key[at] ^ (salt << 40)), *(b.column(n).take(pa.array(at)) for n in names)], ["key", *names])
+            for f in range(FOLDS):
+                d = b.column(f"d{f}").to_numpy(zero_copy_only=False)
+                some = np.flatnonzero(d)
+                at = np.repeat(some, times[some])
+                salt = np.arange(len(at)) - np.repeat(np.cumsum(times[some]) - times[some], times[some])
+                with np.errstate(over="ignore"):
+                    key = mix(base[at] + U64(f)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(key ^ (salt << 40)), pa.array(d[at])], ["key", "d"])
 
-    return rows.mapInArrow(run, ", ".join(["key bigint", *(f"{n} double" for n in names)]))
+    return rows.mapInArrow(run, "key bigint, d double")
 
 
-def document_keys(docs: DataFrame, hot: list[int]) -> DataFrame:
-    """(key, row, n) for each distinct word and bigram of each row of ``docs`` (``t``, ``row``)."""
+def document_keys(docs: DataFrame, hot: list[int], wave: int) -> DataFrame:
+    """(key, file, place, n) for each distinct word and bigram of a pass in each row of ``docs`` (``t``, ``file``, ``place``,
+    ``fold``), row by row, as repeated row keys take little room in shuffles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.array(sorted(hot), np.int64)
         for b in chunks(batches, "t"):
-            w = words(*utf8(b.column("t")), NOT_SPACE)
-            h = word_hashes(w)[0]
-            in_pair, _, _, pair = _pairs(w, h)
-            rows, key = np.concatenate([w.row, in_pair]), np.concatenate([h, pair])
+            row, left, right, single = _pairs(words(*utf8(b.column("t")), NOT_SPACE), wave)
+            rows, base = np.concatenate([row[:single], row]), np.concatenate([left[:single], _bigram(left, right)])
             with np.errstate(over="ignore"):
+                key = mix(base + b.column("fold").to_numpy().astype(U64)[rows])
                 _, at, n = np.unique(mix(key + rows.astype(U64) * U64(0xD1B54A32D192ED03)), return_index=True, return_counts=True)
-            row, key = b.column("row").to_numpy()[rows[at]], key[at].view(np.int64)
-            salted = (at < len(h)) & np.isin(key, known)
-            key = np.where(salted, key ^ (row % SALTS << 40), key)
+            order = np.argsort(rows[at], kind="stable")
+            at, n = at[order], n[order].astype(np.int32)
+            place, key = b.column("place").to_numpy()[rows[at]], key[at].view(np.int64)
+            salted = (at < single) & np.isin(base[at].view(np.int64), known)
+            key = np.where(salted, key ^ (place % SALTS << 40), key)
+            file = b.column("file").to_numpy()[rows[at]]
             for i in range(0, len(key), 50_000):
                 part = slice(i, i + 50_000)
-                yield pa.RecordBatch.from_arrays([pa.array(key[part]), pa.array(row[part]), pa.array(n[part].astype(np.int32))], ["key", "row", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(x[part]) for x in (key, file, place, n)], ["key", "file", "place", "n"])
 
-    return docs.select("t", "row").mapInArrow(run, "key bigint, row bigint, n int")
+    return docs.select("t", "file", "place", "fold").mapInArrow(run, "key bigint, file bigint, place bigint, n int")
 
 
-def spelled(docs: DataFrame, held: Broadcast, classes: np.ndarray, per_word: list[float], per_text: list[float]) -> DataFrame:
-    """(row, n_bytes, bits, chars) for each row of ``docs`` (``t``, ``row``, ``fold``): bits before corrections, and those by bytes alone.
+def spelled(docs: DataFrame, held: list[Broadcast], classes: np.ndarray, per_word: list[float], per_text: list[float]) -> DataFrame:
+    """(file, place, n_bytes, bits, chars) for each row of ``docs`` (``t``, ``file``, ``place``, ``fold``): bits before corrections, and those by bytes alone.
 
     Space is by the byte tables too, but for the one space that ends a word, which its spelling has.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = _tables(held)
+        tables = [table.value for table in held]
         for b in chunks(batches, "t"):
             data, offsets = utf8(b.column("t"))
             w = words(data, offsets, NOT_SPACE)
@@ -327,9 +389,10 @@ def spelled(docs: DataFrame, held: Broadcast, classes: np.ndarray, per_word: lis
                 sums = np.concatenate([[0.0], np.cumsum(table[every], dtype=np.float64)])
                 chars = np.where(fold == f, sums[offsets[1:]] - sums[offsets[:-1]], chars)
             yield pa.RecordBatch.from_arrays(
-                [b.column("row"), pa.array(np.diff(offsets)), pa.array(bits), pa.array(chars)], ["row", "n_bytes", "bits", "chars"])
+                [b.column("file"), b.column("place"), pa.array(np.diff(offsets)), pa.array(bits), pa.array(chars)],
+                ["file", "place", "n_bytes", "bits", "chars"])
 
-    return docs.select("t", "row", "fold").mapInArrow(run, "row bigint, n_bytes bigint, bits double, chars double")
+    return docs.select("t", "file", "place", "fold").mapInArrow(run, "file bigint, place bigint, n_bytes bigint, bits double, chars double")
 
 
 def _rated(rows: DataFrame, known: DataFrame, bits: str) -> DataFrame:
@@ -364,34 +427,50 @@ def _rated(rows: DataFrame, known: DataFrame, bits: str) -> DataFrame:
         "mean", "low", "high").withColumnRenamed("rate", f"{bits}_rate")
 
 
+def _bits(marked: DataFrame, good: DataFrame, n_keep: int) -> DataFrame:
+    """(id, lang, n_bytes, bits, chars, k0 ..) for each row of ``marked``, by the model of the good ids' texts."""
+    folds, spark = range(FOLDS), marked.sparkSession
+    classes = alphabet(marked.select("t"))
+    # the same join at every size: labels grow with the documents
+    trusted = durable(marked.join(good.hint("merge"), F.col("id") == F.col("good"), "left_semi").select("t", "fold"), "zstd")
+    # one by one, so that the driver holds a single table
+    held = [spark.sparkContext.broadcast(probabilities(durable(count_grams(trusted.where(F.col("fold") != f).select("t"), classes)))) for f in folds]
+    model = word_model(trusted, held, classes)
+    base = durable(spelled(marked, held, classes, model.per_word, model.per_text))
+    for table in held:
+        table.destroy()  # what is written is all that is needed from here on
+    parts = []
+    for wave in range(WAVES):
+        with Stages(spark) as own:
+            some = durable(_keyed(corrections(trusted, model, wave), model.hot))
+            hits = document_keys(marked, model.hot, wave).join(some.hint("merge"), "key")
+            parts.append(own.keep(hits.groupBy("file", "place").agg(F.sum(F.col("n") * F.col("d")).alias("d"))))
+    fixed = reduce(DataFrame.unionAll, parts).groupBy("file", "place").agg(F.sum("d").alias("d"))
+    at = ["file", "place"]
+    return marked.drop("t").join(base.hint("merge"), at).join(fixed.hint("merge"), at, "left").select(
+        "id", "lang", "n_bytes", F.greatest(F.col("bits") + F.coalesce("d", F.lit(0.0)), F.lit(0.0)).alias("bits"), "chars", *[
+            f"k{i}" for i in range(n_keep)])
+
+
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang",
-          label: str = "quality", keep: list[str] | None = None) -> DataFrame:
+          label: str = "quality", keep: list[str] | None = None, key: str | None = None) -> DataFrame:
     """(id, lang, n_bytes, bits, perplexity, low, high, kept) and the ``keep`` columns for each row of ``docs``.
 
     Trusted are rows with label 1.  Languages without trusted rows, and a missing
     language, get the limits of all trusted rows; without any trusted row everything
-    is kept.  Empty and missing texts are at their language's mean and kept.
+    is kept.  Empty and missing texts are at their language's mean and kept.  ``key`` names a
+    column of ``row_keys``; without it the rows are numbered and written.
     """
     keep = list(keep or [])
     good = labels.where(F.col(label) == 1).select(F.col(id_col).alias("good")).distinct()
-    marked = durable(docs.select(
-        F.col(f"`{id_col}`").alias("id"), F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").alias("t"),
-        F.pmod(F.xxhash64(F.col(f"`{text}`")), F.lit(FOLDS)).cast("int").alias("fold"), F.monotonically_increasing_id().alias("row"),
-        *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)]))
-    classes = alphabet(marked.select("t"))
-    # the same join at every size: labels grow with the documents
-    trusted = durable(marked.join(good.hint("merge"), F.col("id") == F.col("good"), "left_semi").select("t", "fold"))
-    tables = [probabilities(durable(count_grams(trusted.where(F.col("fold") != f).select("t"), classes))).tobytes() for f in range(FOLDS)]
-    held = docs.sparkSession.sparkContext.broadcast(b"".join(tables))
-    del tables
-    model, per_word, per_text, hot = corrections(durable(count_words(trusted, held, classes)))
-    hits = document_keys(marked, hot).join(_keyed(model, hot).hint("merge"), "key")
-    fixed = hits.groupBy("row").agg(*[F.sum(F.col("n") * F.col(f"d{f}")).alias(f"d{f}") for f in range(FOLDS)])
-    base = spelled(marked, held, classes, per_word, per_text)
-    own = F.element_at(F.array(*[F.coalesce(f"d{f}", F.lit(0.0)) for f in range(FOLDS)]), F.col("fold") + 1)
-    raw = durable(marked.drop("t").join(base.hint("merge"), "row").join(fixed.hint("merge"), "row", "left").select(
-        "id", "lang", "n_bytes", F.greatest(F.col("bits") + own, F.lit(0.0)).alias("bits"), "chars", *[f"k{i}" for i in range(len(keep))]))
-    held.destroy()  # the written rows are all that is needed from here on
+    with Stages(docs.sparkSession) as stages:
+        row = F.col(f"`{key}`") if key else F.struct(F.lit(0).cast("long").alias("file"), F.monotonically_increasing_id().alias("place"))
+        marked = docs.select(
+            F.col(f"`{id_col}`").alias("id"), F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").alias("t"),
+            F.pmod(F.xxhash64(F.col(f"`{text}`")), F.lit(FOLDS)).cast("int").alias("fold"), row["file"].alias("file"), row["place"].alias("place"),
+            *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)])
+        marked = marked if key else durable(marked)
+        raw = stages.keep(_bits(marked, good, len(keep)))
     known = raw.join(good, F.col("id") == F.col("good"), "left_semi").where("n_bytes > 0")
     rated = _rated(_rated(raw, known, "bits"), known, "chars")
     inside = [(F.col(f"{b}_rate") >= F.col(f"{b}_low")) & (F.col(f"{b}_rate") <= F.col(f"{b}_high")) for b in ("bits", "chars")]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm import (
     chat, decontaminate, dual_tree, ngram_quality, pii, quality_rules, secret_scan, sentencepiece_codec, sharding, simhash, toxicity, warc, whitening,
 )
-from ledgerloom.session import durable
+from ledgerloom.session import durable, row_keys
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -58,7 +58,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_ngram_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return ngram_quality.judge(row_keys(table(spark, sf_dir, "documents"), "__row"), table(spark, sf_dir, "labels"), key="__row")
 
 
 @query

@@ -5,14 +5,17 @@ import gzip
 import hashlib
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import chat, decontaminate, graph, ngram_quality, simhash, text, toxicity, warc
+from ledgerloom.session import row_keys
 
 SCHEMA = "doc_id bigint, text string"
 LONG = " ".join(f"w{i % 977}" for i in range(30_000))
@@ -216,6 +219,40 @@ def test_perplexity_knows_words_and_their_order(spark, table):
     assert not any(got[1000 + i] for i in range(4)) and sum(got[i] for i in range(160)) >= 152
 
 
+def test_passes_hold_every_word_and_bigram_once(spark):
+    rng = random.Random(18)
+    say = lambda n: " ".join("".join(rng.choice("abcdé") for _ in range(rng.randint(1, 6))) for _ in range(n))
+    texts = ["", " ", "a", *(say(rng.randint(0, 40)) for _ in range(30))]
+    one = lambda t: int(text.word_hashes(text.words(*text.utf8(pa.array([t])), text.NOT_SPACE))[0].view(np.int64)[0])
+    edges = [int(x.view(np.int64)) for x in (ngram_quality.START, ngram_quality.END)]
+    want = Counter()
+    for i, t in enumerate(texts):
+        h = [one(x) for x in t.split()]
+        want.update((v, w, i % 2) for v, w in zip([edges[0], *h], [*h, edges[1]], strict=True) if h)
+    docs = spark.createDataFrame([(t, i % 2) for i, t in enumerate(texts)], "t string, fold int")
+    got, waves = Counter(), defaultdict(set)
+    for wave in range(ngram_quality.WAVES):
+        for r in ngram_quality.count_pairs(docs, wave).collect():
+            got.update({(r.v, r.w, 1): r.n0, (r.v, r.w, 0): r.n1})
+            waves[r.v].add(wave)
+    assert +got == want and all(len(x) == 1 for x in waves.values())
+
+
+def test_perplexity_leaves_no_copy_of_the_texts(spark, table, tmp_path, monkeypatch):
+    rng = random.Random(19)
+    say = lambda: " ".join("".join(rng.choice(["an", "the", "ou", "sh"]) for _ in range(3)) for _ in range(80))
+    table([(i % 50, say(), "en") for i in range(120)], SCHEMA + ", lang string").repartition(3).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    labels = spark.createDataFrame([(i, 1) for i in range(40)], "doc_id bigint, quality int")
+    written = []
+    monkeypatch.setattr("ledgerloom.session.shared_folder", lambda spark: written.append(f"{tmp_path}/{len(written)}") or written[-1])
+    got = [ngram_quality.judge(docs, labels), ngram_quality.judge(row_keys(docs, "__row"), labels, key="__row")]
+    left = [w for w in written if Path(w).exists()]
+    assert left and all("t" not in spark.read.parquet(w).columns for w in left)
+    plain, keyed = (sorted((r.doc_id, r.n_bytes, round(r.bits, 6), r.kept) for r in d.collect()) for d in got)
+    assert len(plain) == 120 and plain == keyed
+
+
 @pytest.mark.parametrize("labelled", [1, 3])
 def test_perplexity_keeps_clean_texts_of_a_rare_language(spark, table, labelled):
     rng = random.Random(17)

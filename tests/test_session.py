@@ -1,13 +1,15 @@
 """Written stages: named, reused by plan and input, deleted at the end."""
 
 import os
+import time
 import uuid
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.skew import global_positions
-from ledgerloom.session import Stages, durable, shared_folder
+from ledgerloom.session import SHUFFLES_END, Stages, durable, shared_folder
 
 
 @pytest.fixture
@@ -74,3 +76,16 @@ def test_a_cluster_without_a_shared_folder_is_an_error():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(Elsewhere)
+
+
+def test_durable_leaves_no_shuffle_files(spark):
+    folder = Path(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0])
+    files = lambda: {f.name for f in folder.rglob("shuffle_*.data")}
+    before = files()
+    rows = durable(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    for _ in range(50):  # they go in the background
+        if files() <= before:
+            break
+        time.sleep(0.1)
+    assert files() <= before and rows.count() == 7
+    assert spark.conf.get(SHUFFLES_END) == "false"
