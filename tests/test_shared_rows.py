@@ -81,3 +81,17 @@ def test_tiles_hold_every_aggregate_once_and_are_compiled(spark):
 def test_newest_entity_may_be_missing(spark):
     df = spark.createDataFrame([(1, "a", 1, 1.0), (1, None, 2, 5.0), (2, "b", 1, 3.0), (None, "b", 1, 2.0)], "k int, e string, d int, x double")
     assert {r.k: r.LAST_x_SUM for r in Q.latest_entity_stats(df, "k", "e", [F.col("d")], {"x": ["sum"]}).collect()} == {2: 3.0}
+
+
+def test_master_table_writes_each_block_before_the_join(spark, monkeypatch):
+    from ledgerloom.plans import applicants
+    blocks = ["bureau_features", "previous_features", "pos_features", "installment_features", "card_features"]
+    for name in ["application_features", *blocks]:
+        monkeypatch.setattr(applicants, name, lambda *_, n=name: spark.createDataFrame([(1, 2.0)], f"SK_ID_CURR long, {n} double"))
+    for name in ("post_join_ratios", "duration_group_features"):
+        monkeypatch.setattr(applicants, name, lambda df: df)
+    written = []
+    monkeypatch.setattr(applicants, "durable", lambda df: written.append(df.columns) or df)
+    names = ["application", "bureau", "bureau_balance", "previous_application", "installments_payments", "POS_CASH_balance", "credit_card_balance"]
+    assert applicants.master_feature_table(dict.fromkeys(names)).columns == ["SK_ID_CURR", "application_features", *blocks]
+    assert written[:-1] == [["SK_ID_CURR", n] for n in blocks]
